@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline is a daily batch: it has no stream source, watermark, window
+or state, so nothing here is streamed.  A day is rebuilt by overwriting its
+partition (see ``sources.tables.overwrite_day``), which keeps re-runs
+idempotent without a streaming sink.
+"""
