@@ -37,7 +37,8 @@ def page_rows(info: DataFrame, score_col: str = "ctr_score", suc_col: str = "ctc
 
 
 def page_samples(info: DataFrame, page_size: int = C.PAGE_SIZE,
-                 edges: Sequence[float] = C.BAND_EDGES, day_col: str = "ds", **row_opts) -> DataFrame:
+                 edges: Sequence[float] = C.BAND_EDGES, day_col: str = "ds",
+                 hot_page_rows: int = 1_000_000, **row_opts) -> DataFrame:
     """Aggregate impressions to complete pages.
 
     A page is a group of the nine page keys (NULL is a group value) within
@@ -49,17 +50,21 @@ def page_samples(info: DataFrame, page_size: int = C.PAGE_SIZE,
 
     Plan: sizes first, lists second.  Counting pages is a map-side combined
     aggregate; only rows of complete pages are then shuffled together
-    (a semi-join on the page key, which adaptive execution splits when a
-    page key is skewed) and collected, so no list ever holds more than
-    ``page_size`` values even when one page key holds a large share of the
-    data (e.g. a NULL session).
+    (a semi-join on the page key) and collected, so no list ever holds more
+    than ``page_size`` values.  A page key holding a large share of the
+    data (e.g. a NULL session) is incomplete by definition: keys with more
+    than ``hot_page_rows`` rows (at most rows / hot_page_rows of them) are
+    removed first by an anti-join that adaptive execution broadcasts when
+    its measured size is small, so their rows never reach one task.
     """
     rows = page_rows(info, edges=edges, day_col=day_col, **row_opts)
     group = list(PAGE_KEYS) + [day_col]
     keyed = rows.withColumn("_page", F.struct(*group))
-    complete = (keyed.groupBy("_page").agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") == F.lit(page_size)).select("_page"))
-    kept = keyed.join(complete, "_page", "left_semi")
+    sizes = keyed.groupBy("_page").agg(F.count(F.lit(1)).alias("_n"))
+    complete = sizes.where(F.col("_n") == F.lit(page_size)).select("_page")
+    oversized = sizes.where(F.col("_n") > F.lit(max(hot_page_rows, page_size))).select("_page")
+    kept = (keyed.join(oversized, "_page", "left_anti")
+            .join(complete, "_page", "left_semi"))
 
     nb = len(edges) + 1
     aggs = [F.count_if(F.col("band") == F.lit(b)).alias(f"pct{b}") for b in range(1, nb + 1)]

@@ -13,7 +13,7 @@ from ..operators.features import score_quartiles
 from ..operators.finalize import final_rows
 from ..operators.label import label_impressions
 from ..operators.pages import page_samples
-from ..sources.tables import overwrite_day, read_table, scan_day, scan_days
+from ..sources.tables import materialize, overwrite_day, read_table, scan_day, scan_days
 
 
 @dataclass
@@ -33,17 +33,21 @@ def features_for(info: DataFrame, target: str, lookback: int = C.LOOKBACK_DAYS,
 
 
 def build_day(inputs: DayInputs, target: str, info: DataFrame | None = None,
-              lookback: int = C.LOOKBACK_DAYS, q3_uses_q1: bool = True, **qopts) -> DataFrame:
-    """Final rows of ``target`` as one lazy plan.
-
-    ``info`` is the labelled-impression table; when None, the target day
-    and its look-back days are labelled here (ds is a join key, so one
-    labelling join serves all four days).
+              lookback: int = C.LOOKBACK_DAYS, q3_uses_q1: bool = True,
+              spark: SparkSession | None = None, **qopts) -> DataFrame:
+    """Final rows of ``target``.
+
+    ``info`` is the labelled-impression table.  When None, the target day
+    and its look-back days are labelled here in one join (ds is a join
+    key) and written once to the shared folder, since five later
+    aggregations read it.
     """
     if info is None:
         days = [target] + dates.lookback_days(target, lookback)
-        info = label_impressions(scan_days(inputs.rank_scores, days),
-                                 scan_days(inputs.impressions, days))
+        labelled = label_impressions(scan_days(inputs.rank_scores, days),
+                                     scan_days(inputs.impressions, days))
+        spark = spark or labelled.sparkSession
+        info = materialize(spark, labelled, "labelled")
     ratios, jq, bq, cq = features_for(info, target, lookback, **qopts)
     pages = page_samples(scan_day(info, target))
     profiles = profile_rows(inputs.impressions, target)

@@ -63,10 +63,14 @@ class Ctx:
     def blocks(self) -> DataFrame:
         return self.tables["job_blocks"]
 
-    def info(self) -> DataFrame:
-        """Labelled impressions of all fixture days (one join, ds as a key)."""
+    def labelled(self) -> DataFrame:
+        """Labelled impressions of all fixture days (one join, ds as a key), lazy."""
         return label.label_impressions(self.scores, self.impressions)
 
+    def info(self) -> DataFrame:
+        """The labelled table as later steps read it: written once, then scanned."""
+        return self._memo("info", lambda: tables.materialize(self.spark, self.labelled(), "labelled"))
+
     def lookback(self) -> DataFrame:
         return tables.scan_days(self.info(), LOOKBACK)
 
@@ -160,7 +164,7 @@ def q_score_band(spark, sf):
 # ---------------------------------------------------------------- label, features, pages
 
 def q_label_impressions(spark, sf):
-    return _ctx(spark, sf).info()
+    return _ctx(spark, sf).labelled()
 
 
 def q_band_ratio(spark, sf):

@@ -68,3 +68,22 @@ def read_table(spark, path: str, day_col: str = "ds") -> DataFrame:
     inferred = spark.read.parquet(path).schema
     fields = [StructField(f.name, StringType(), True) if f.name == day_col else f for f in inferred.fields]
     return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def materialize(spark, df: DataFrame, name: str, day_col: str | None = "ds") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the table instead of
+    recomputing the joins behind it) and lets every later reader prune
+    columns and days, which an RDD checkpoint would not.
+    """
+    import uuid
+
+    from ..session import shared_dir
+
+    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("overwrite")
+    if day_col and day_col in df.columns:
+        w = w.partitionBy(day_col)
+    w.parquet(path)
+    return read_table(spark, path, day_col or "ds")
