@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from .. import config as C
@@ -19,12 +20,12 @@ CP_BROADCAST_ROWS = 100_000
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when its size is proven small.
 
-    The table is checkpointed to the shared folder (which also cuts its
-    lineage: a lost executor does not recompute the look-back scan), then
-    counted from the checkpoint.  At most ``max_rows`` rows: broadcast hint;
-    otherwise it stays a shuffled (sort-merge) join side.
+    The table is persisted and counted (one job); the join then reads the
+    persisted rows (recomputed from lineage if an executor is lost).  At
+    most ``max_rows`` rows: broadcast hint; otherwise the persisted table
+    stays a shuffled (sort-merge) join side.
     """
-    df = df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return F.broadcast(df) if df.count() <= max_rows else df
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import config as C
 from ..functions.columns import composite_key
-from .quantiles import grouped_quantiles
+from .quantiles import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, grouped_quantiles, hot_key_hashes_by_set
 
 # entity -> (key column, name used in the output columns)
 ENTITIES = {"job": "job_id", "boss": "boss_id", "cp": "cp"}
@@ -25,10 +25,23 @@ def score_quartiles(info: DataFrame, entity: str = "job", probs: Sequence[float]
     ``salts``, ``accuracy``) go to ``grouped_quantiles``.
     """
     key = ENTITIES[entity]
-    rows = info.where(F.col("deal_type").isin(list(types)))
-    if key == "cp":
-        rows = rows.select(composite_key("boss_city", "boss_position").alias("cp"), score_col)
-    else:
-        rows = rows.select(key, score_col)
+    rows = _quartile_rows(info, types, score_col).select(key, score_col)
     names = {score_col: [f"addf_{entity}_score_q{i + 1}_3days" for i in range(len(probs))]}
     return grouped_quantiles(rows, [key], [score_col], probs, names=names, count_name="num", **qopts)
+
+
+def _quartile_rows(info: DataFrame, types: Sequence[str], score_col: str) -> DataFrame:
+    return (info.where(F.col("deal_type").isin(list(types)))
+            .select("job_id", "boss_id", composite_key("boss_city", "boss_position").alias("cp"), score_col))
+
+
+def quartile_features(info: DataFrame, entities: Sequence[str] = ("job", "boss", "cp"),
+                      types: Sequence[str] = C.QUARTILE_TYPES, score_col: str = "ctr_score",
+                      hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                      **qopts) -> dict[str, DataFrame]:
+    """``score_quartiles`` for several entities; their hot keys are found in one job."""
+    rows = _quartile_rows(info, types, score_col)
+    hot = hot_key_hashes_by_set(rows, {e: [ENTITIES[e]] for e in entities}, hot_rows, max_hot_keys)
+    return {e: score_quartiles(info, e, types=types, score_col=score_col, hot=hot[e],
+                               hot_rows=hot_rows, max_hot_keys=max_hot_keys, **qopts)
+            for e in entities}

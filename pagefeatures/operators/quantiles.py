@@ -1,21 +1,28 @@
 """Grouped quantiles that survive hot groups.
 
 A group may hold a third of all rows (a large city, a common label).  A
-plain ``percentile_approx`` builds one partial sketch per map task and merges
-all of them for that group in a single reduce task.  Here the merge runs in
-two levels instead:
-
-1. rows are tagged with ``salt = spark_partition_id() % salts``, so every map
-   task adds to exactly one (key, salt) sketch per key; the partial sketches
-   of a key are spread over ``salts`` reduce tasks;
-2. the (key, salt) sketches are merged per key; at most ``salts`` sketches
-   per key reach the last task.
-
-The sketch is a KLL sketch of ``k`` items: it keeps every value while a
-group has at most ``k`` of them (then the quantile is exact: the smallest
-value whose rank reaches ``p * n``), and stays bounded (a few times ``k``
-doubles) beyond, with rank error about 1/k.  ``method="percentile_approx"``
-gives the one-level form with Spark's own sketch.
+plain ``percentile_approx`` builds one partial sketch per map task and
+merges all of them for that group in a single reduce task.  So groups are
+split by size first (one cheap, map-side combined count per key):
+
+* ordinary groups (at most ``hot_rows`` rows) use ``percentile_approx``
+  with ``accuracy`` (10000 by default, as the original job's engine): one
+  level, deterministic, exact while a group is small;
+* hot groups (a bounded list of key hashes) go through two levels of KLL
+  sketches:
+
+  1. rows are tagged with ``salt = spark_partition_id() % salts``, so every
+     map task adds to exactly one (key, salt) sketch per key, and the
+     partial sketches of a key are spread over ``salts`` reduce tasks;
+  2. the (key, salt) sketches are merged per key; at most ``salts`` sketches
+     per key reach the last task.
+
+  A KLL sketch of ``k`` items keeps every value while a group has at most
+  ``k`` of them (the quantile is then exact: the smallest value whose rank
+  reaches ``p * n``) and stays bounded (a few times ``k`` doubles) beyond,
+  with rank error about 1/k.
+
+Standard deviations merge exactly across salts (parallel variance formula).
 """
 
 from __future__ import annotations
@@ -34,41 +41,113 @@ def _quantile(sk: Column, p: float) -> Column:
     return F.when(n > F.lit(0), F.kll_sketch_get_quantile_double(sk, F.lit(float(p))))
 
 
+DEFAULT_HOT_ROWS = 1_000_000
+DEFAULT_MAX_HOT_KEYS = 10_000
+
+
+def _route_key(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def hot_key_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int, max_keys: int) -> list[int] | None:
+    """Hashes of the keys with more than ``hot_rows`` rows.
+
+    One map-side combined count per key; at most ``max_keys + 1`` hashes
+    reach the driver.  Returns None when there are more than ``max_keys``
+    hot keys (the caller then sketches every group).
+    """
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(hot_rows))
+           .select(_route_key(keys).alias("h")).limit(max_keys + 1).collect())
+    return None if len(hot) > max_keys else [r.h for r in hot]
+
+
+def hot_key_hashes_by_set(df: DataFrame, key_sets: dict[str, Sequence[str]], hot_rows: int,
+                          max_keys: int) -> dict[str, list[int] | None]:
+    """``hot_key_hashes`` for several key sets of one table in one job.
+
+    One grouping-sets aggregation counts every key set in a single scan.
+    """
+    names = list(key_sets)
+    cols = sorted({c for ks in key_sets.values() for c in ks})
+    counted = (df.groupingSets([list(key_sets[n]) for n in names], *cols)
+               .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
+    hot = counted.where(F.col("_n") > F.lit(hot_rows))
+    # grouping_id has a 1 bit for every column *not* in the set (first column = highest bit)
+    gids = {n: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in key_sets[n]) for n in names}
+    expr = None
+    for n in names:
+        h = _route_key(key_sets[n])
+        expr = F.when(F.col("_gid") == gids[n], h) if expr is None else expr.when(F.col("_gid") == gids[n], h)
+    rows = hot.select(F.col("_gid"), expr.alias("h")).limit((max_keys + 1) * len(names)).collect()
+    out = {}
+    for n in names:
+        hs = [r.h for r in rows if r._gid == gids[n]]
+        out[n] = None if len(hs) > max_keys else hs
+    return out
+
+
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                       probs: Sequence[float], *, names: dict | None = None,
                       count_name: str | None = "num", std: bool = False,
-                      method: str = "kll", k: int = DEFAULT_K, salts: int = DEFAULT_SALTS,
-                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                      method: str = "auto", k: int = DEFAULT_K, salts: int = DEFAULT_SALTS,
+                      accuracy: int = DEFAULT_ACCURACY, hot_rows: int = DEFAULT_HOT_ROWS,
+                      max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, hot="detect") -> DataFrame:
     """Quantiles of each column in ``values`` per ``keys`` group.
 
     Output: ``keys``, one column per (value, prob) named by
     ``names[value][i]`` (default ``{value}_q{i}``), optionally the population
     standard deviation ``{value}_std`` of each value, and ``count_name`` =
     rows per group (NULL values included, as ``count(1)``).
+
+    ``method="auto"`` (default) counts rows per key first: groups of at most
+    ``hot_rows`` rows use ``percentile_approx`` (one level, ``accuracy``);
+    the few larger ones (at most ``max_hot_keys``, routed by key hash) use
+    the two-level KLL sketches.  ``"kll"`` and ``"percentile_approx"`` force
+    one form for every group.  ``hot`` may pass the result of an earlier
+    ``hot_key_hashes`` (a list, or None for "too many") to skip the count.
     """
     keys, values = list(keys), list(values)
     names = names or {v: [f"{v}_q{i}" for i in range(len(probs))] for v in values}
+    opts = dict(names=names, count_name=count_name, std=std)
     if method == "percentile_approx":
-        aggs = []
-        for v in values:
-            q = F.percentile_approx(F.col(v), [float(p) for p in probs], accuracy)
-            aggs += [q.alias(f"_q_{v}")]
-            if std:
-                aggs.append(F.stddev_pop(v).alias(f"{v}_std"))
-        if count_name:
-            aggs.append(F.count(F.lit(1)).alias(count_name))
-        out = df.groupBy(*keys).agg(*aggs)
-        cols = [F.col(c) for c in keys]
-        for v in values:
-            cols += [F.get(F.col(f"_q_{v}"), i).alias(names[v][i]) for i in range(len(probs))]
-            if std:
-                cols.append(F.col(f"{v}_std"))
-        if count_name:
-            cols.append(F.col(count_name))
-        return out.select(*cols)
-    if method != "kll":
+        return _one_level(df, keys, values, probs, accuracy=accuracy, **opts)
+    if method == "kll":
+        return _two_level(df, keys, values, probs, k=k, salts=salts, **opts)
+    if method != "auto":
         raise ValueError(f"unknown method {method!r}")
+    if isinstance(hot, str):
+        hot = hot_key_hashes(df, keys, hot_rows, max_hot_keys)
+    if hot is None:
+        return _two_level(df, keys, values, probs, k=k, salts=salts, **opts)
+    if not hot:
+        return _one_level(df, keys, values, probs, accuracy=accuracy, **opts)
+    is_hot = _route_key(keys).isin(hot)
+    cold = _one_level(df.where(~is_hot), keys, values, probs, accuracy=accuracy, **opts)
+    warm = _two_level(df.where(is_hot), keys, values, probs, k=k, salts=salts, **opts)
+    return cold.unionByName(warm)
+
+
+def _one_level(df, keys, values, probs, *, names, count_name, std, accuracy):
+    aggs = []
+    for v in values:
+        aggs.append(F.percentile_approx(F.col(v), [float(p) for p in probs], accuracy).alias(f"_q_{v}"))
+        if std:
+            aggs.append(F.stddev_pop(v).alias(f"{v}_std"))
+    if count_name:
+        aggs.append(F.count(F.lit(1)).alias(count_name))
+    out = df.groupBy(*keys).agg(*aggs)
+    cols = [F.col(c) for c in keys]
+    for v in values:
+        cols += [F.get(F.col(f"_q_{v}"), i).alias(names[v][i]) for i in range(len(probs))]
+        if std:
+            cols.append(F.col(f"{v}_std"))
+    if count_name:
+        cols.append(F.col(count_name))
+    return out.select(*cols)
+
 
+def _two_level(df, keys, values, probs, *, names, count_name, std, k, salts):
     salted = df.select(*keys, *values, F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt"))
     a1 = [F.count(F.lit(1)).alias("_rows")]
     for v in values:

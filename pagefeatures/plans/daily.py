@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import config as C, dates
 from ..operators.bands import band_ratio_wide
 from ..operators.enrich import joined_rows, profile_rows
-from ..operators.features import score_quartiles
+from ..operators.features import quartile_features
 from ..operators.finalize import final_rows
 from ..operators.label import label_impressions
 from ..operators.pages import page_samples
@@ -26,10 +26,8 @@ class DayInputs:
 def features_for(info: DataFrame, target: str, lookback: int = C.LOOKBACK_DAYS, **qopts):
     """Look-back features of ``target`` from labelled rows (any days present)."""
     back = scan_days(info, dates.lookback_days(target, lookback))
-    return (band_ratio_wide(back),
-            score_quartiles(back, "job", **qopts),
-            score_quartiles(back, "boss", **qopts),
-            score_quartiles(back, "cp", **qopts))
+    q = quartile_features(back, **qopts)
+    return band_ratio_wide(back), q["job"], q["boss"], q["cp"]
 
 
 def build_day(inputs: DayInputs, target: str, info: DataFrame | None = None,

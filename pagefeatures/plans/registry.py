@@ -81,7 +81,7 @@ class Ctx:
         return enrich.profile_rows(self.impressions, T)
 
     def quartiles(self, entity: str) -> DataFrame:
-        return features.score_quartiles(self.lookback(), entity)
+        return self._memo("quartiles", lambda: features.quartile_features(self.lookback()))[entity]
 
     def joined(self) -> DataFrame:
         return enrich.joined_rows(self.pages(), bands.band_ratio_wide(self.lookback()),

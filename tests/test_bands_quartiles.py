@@ -31,12 +31,13 @@ def disc(vals, p):
     return v[max(0, math.ceil(p * len(v)) - 1)]
 
 
-def test_kll_two_level_exact_small_groups(spark):
+@pytest.mark.parametrize("method", ["kll", "auto", "percentile_approx"])
+def test_quantiles_exact_small_groups(spark, method):
     rnd = random.Random(3)
     rows = [(k, rnd.random()) for k in range(20) for _ in range(rnd.randint(1, 400))]
     df = spark.createDataFrame(rows, "k long, v double").repartition(7)
     probs = [0.25, 0.5, 0.75]
-    got = {r.k: r for r in grouped_quantiles(df, ["k"], ["v"], probs, salts=3).collect()}
+    got = {r.k: r for r in grouped_quantiles(df, ["k"], ["v"], probs, salts=3, method=method).collect()}
     for k in range(20):
         vals = [v for kk, v in rows if kk == k]
         assert got[k].num == len(vals)
@@ -46,15 +47,16 @@ def test_kll_two_level_exact_small_groups(spark):
 def test_kll_hot_group_bounded_and_close(spark):
     n = 200_000
     df = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") / n).alias("v")).repartition(16)
-    r = grouped_quantiles(df, ["k"], ["v"], [0.5, 0.9], k=256, salts=8).first()
+    r = grouped_quantiles(df, ["k"], ["v"], [0.5, 0.9], k=256, salts=8, method="kll").first()
     assert abs(r.v_q0 - 0.5) < 0.02 and abs(r.v_q1 - 0.9) < 0.02 and r.num == n
 
 
-def test_std_merge_matches_population_std(spark):
+@pytest.mark.parametrize("method", ["kll", "percentile_approx"])
+def test_std_matches_population_std(spark, method):
     rnd = random.Random(5)
     rows = [(k, rnd.gauss(k, 1 + k)) for k in range(3) for _ in range(500)] + [(3, None)]
     df = spark.createDataFrame(rows, "k long, v double").repartition(5)
-    got = {r.k: r for r in grouped_quantiles(df, ["k"], ["v"], [0.5], std=True, salts=4).collect()}
+    got = {r.k: r for r in grouped_quantiles(df, ["k"], ["v"], [0.5], std=True, salts=4, method=method).collect()}
     for k in range(3):
         vals = np.array([v for kk, v in rows if kk == k])
         assert got[k].v_std == pytest.approx(vals.std(), rel=1e-9)
@@ -66,3 +68,25 @@ def test_percentile_approx_method(spark):
     df = spark.createDataFrame(rows, "k long, v double")
     r = grouped_quantiles(df, ["k"], ["v"], [0.25, 0.5], method="percentile_approx").first()
     assert (r.v_q0, r.v_q1) == (25.0, 50.0)
+
+
+def test_hybrid_routes_hot_keys(spark):
+    rows = [(k, float(i % 97)) for k in range(5) for i in range(50 * (k + 1))]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(3)
+    from pagefeatures.operators.quantiles import hot_key_hashes
+    assert len(hot_key_hashes(df, ["k"], 120, 10)) == 3
+    assert hot_key_hashes(df, ["k"], 120, 2) is None
+    got = {r.k: r for r in grouped_quantiles(df, ["k"], ["v"], [0.5], hot_rows=120).collect()}
+    for k in range(5):
+        vals = [v for kk, v in rows if kk == k]
+        assert got[k].v_q0 == disc(vals, 0.5) and got[k].num == len(vals)
+
+
+def test_hot_keys_by_set_matches_single(spark):
+    from pagefeatures.operators.quantiles import hot_key_hashes, hot_key_hashes_by_set
+    rows = [(a, b, 1.0) for a in range(3) for b in range(2) for _ in range(30 * (a + 1))]
+    df = spark.createDataFrame(rows, "a long, b long, v double")
+    got = hot_key_hashes_by_set(df, {"A": ["a"], "B": ["b"], "AB": ["a", "b"]}, 100, 10)
+    for name, ks in {"A": ["a"], "B": ["b"], "AB": ["a", "b"]}.items():
+        assert sorted(got[name]) == sorted(hot_key_hashes(df, ks, 100, 10))
+    assert len(got["A"]) == 2 and len(got["B"]) == 2 and len(got["AB"]) == 1
