@@ -34,15 +34,15 @@ def profile_rows(impressions: DataFrame, day: str | None = None,
                  rank: str = C.PROFILE_RANK, day_col: str = "ds") -> DataFrame:
     """Distinct profile rows of first-position feed impressions.
 
-    ``rank`` is compared as text (``'01'`` is not ``'1'``).  The rows are
-    hash-partitioned on the join keys before ``distinct``, so the later join
-    on the same keys does not shuffle them again.
+    ``rank`` is compared as text (``'01'`` is not ``'1'``).  ``distinct``
+    shuffles on all columns (a page key with many rows is still spread);
+    the join shuffles on its keys, with adaptive skew splitting.
     """
     rows = impressions if day is None else scan_day(impressions, day, day_col)
     rows = (rows.where((F.col("source") == F.lit(source)) & (F.col("rank").cast("string") == F.lit(rank)))
             .select("boss_id", "job_id", "sessionid", "page", "rank",
                     F.to_date("list_time").alias("date"), *cols, day_col))
-    return rows.repartition(*PROFILE_KEYS, day_col).distinct()
+    return rows.distinct()
 
 
 def join_profile(pages: DataFrame, profiles: DataFrame, day_col: str = "ds") -> DataFrame:
@@ -51,6 +51,11 @@ def join_profile(pages: DataFrame, profiles: DataFrame, day_col: str = "ds") ->
 
 
 def distinct_blocks(blocks: DataFrame) -> DataFrame:
+    """Distinct (boss, job, business), partitioned on (boss, job) for the join.
+
+    A (boss, job) pair has only a handful of business values, so one
+    partitioning serves both the ``distinct`` and the join without skew.
+    """
     return blocks.select("boss_id", "job_id", "business").repartition("boss_id", "job_id").distinct()
 
 

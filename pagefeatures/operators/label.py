@@ -23,14 +23,16 @@ def label_impressions(scores: DataFrame, outcomes: DataFrame, day: str | None =
     the impression (kept on purpose).  ``day`` restricts both sides to one
     partition; without it every day is labelled, with the day as a join key.
 
-    Plan: the score side is hash-partitioned once on the join keys; the
-    ``distinct`` and the join both reuse that partitioning (a partitioning
-    on a subset of the distinct's columns satisfies it), so the score side
-    is shuffled once instead of twice.
+    Plan: ``distinct`` shuffles on every column, so even a key that holds a
+    large share of the rows is spread over many tasks; the join then
+    shuffles on its keys, where adaptive execution splits a skewed key's
+    partition (skew join) instead of giving it to one task.  Partitioning
+    once on the join keys would save a shuffle but put a hot key's whole
+    ``distinct`` in a single task.
     """
     if day is not None:
         scores, outcomes = scan_day(scores, day, day_col), scan_day(outcomes, day, day_col)
     jk = list(keys) + [day_col]
-    a = scores.repartition(*jk).distinct()
+    a = scores.distinct()
     b = outcomes.select(*keys, *OUTCOME_COLUMNS, day_col)
     return a.join(b, jk, "inner").select(*INFO_COLUMNS, day_col)

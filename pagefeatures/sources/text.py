@@ -24,7 +24,7 @@ _LONG = {"boss_id", "job_id", "page", "num", "addf_num", "suc_num",
          *(f"pct{b}" for b in range(1, C.N_BANDS + 1))}
 _INT = {"list_hour", "weekday", "q1_strict", "q2_strict", "q3_strict", "q1_base", "q2_base",
         "q3_base", "business_type", *C.PROFILE_INT_COLUMNS}
-_STRING = {"sessionid", "city", "position", "cp", *C.PROFILE_STRING_COLUMNS}
+_STRING = {"sessionid", "city", "pos", "position", "cp", *C.PROFILE_STRING_COLUMNS}
 
 
 def column_type(name: str) -> DataType:

@@ -55,3 +55,12 @@ def test_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(ocols, res.fetchall())
+
+
+def test_text_schema_equals_final_rows_types(spark):
+    from pagefeatures import config as C
+    from pagefeatures.sources.text import text_schema
+    final = E.queries()["final_rows"](spark, SF)
+    got = [(f.name, f.dataType.simpleString()) for f in final.schema.fields if f.name != "ds"]
+    exp = [(f.name, f.dataType.simpleString()) for f in text_schema(C.FINAL_COLUMNS).fields]
+    assert got == exp

@@ -91,3 +91,17 @@ def test_clipped_mse(spark):
     df = spark.createDataFrame([(20.0, 12)], "prediction double, addf_num long")
     r = metrics.eval_metrics(df).first()
     assert r.mse_clipped == 9.0 and r.mse == 64.0 and r.mae == 8.0 and r.rmse == 8.0
+
+
+def test_threshold_report_and_write(spark, tmp_shared):
+    from pagefeatures.operators import report
+    rows = [(float(i % 7) / 10, float(i % 5) / 10, float(i % 3) / 10, float(i % 11) / 20, i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "addf_1 double, addf_8 double, addf_15 double, avg_addf_score double, addf_num long")
+    rep = report.threshold_report(df, limit=3)
+    got = rep.collect()
+    assert {r.feature for r in got} == {"addf_1", "addf_8", "addf_15", "avg_addf_score"}
+    assert sorted({r.addf_num for r in got}) == [0, 1, 2] and all(r.num == 100 for r in got)
+    path = f"{tmp_shared}/report-{uuid.uuid4().hex}"
+    report.write_report(rep, path)
+    files = [f for f in spark.read.text(path).inputFiles()]
+    assert len(files) == 1 and spark.read.option("header", True).csv(path).count() == 12
