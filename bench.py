@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pagefeatures import config as C, dates  # noqa: E402
 from pagefeatures.functions.columns import composite_key, flag_in  # noqa: E402
 from pagefeatures.operators import bands, enrich, features, finalize, label, pages, report  # noqa: E402
-from pagefeatures.plans.daily import DayInputs, build_day  # noqa: E402
+from pagefeatures.plans.daily import DayInputs, build_day, build_days, lookback_rows  # noqa: E402
 from pagefeatures.session import get_session  # noqa: E402
 from pagefeatures.sources import tables  # noqa: E402
 from pagefeatures.sources.fixtures import TARGET_DAY, input_tables  # noqa: E402
@@ -102,7 +102,7 @@ def main():
     labelled = label.label_impressions(tables.scan_days(tb["rank_scores"], days),
                                        tables.scan_days(tb["impressions"], days))
     info = tables.materialize(spark, labelled, "bench-labelled")
-    back = tables.scan_days(info, BACK)
+    back = lookback_rows(info, [T])
     pg = pages.page_samples(tables.scan_day(info, T))
     final = tables.materialize(spark, build_day(inputs, T, info=info), "bench-final")
 
@@ -120,6 +120,7 @@ def main():
     q["threshold_report"] = timed(lambda: report.threshold_report(final))
     q["threshold_report_literal"] = timed(lambda: report_literal(final))
     q["whole_day"] = timed(lambda: build_day(inputs, T))
+    q["backfill_4_days"] = timed(lambda: build_days(inputs, [T] + BACK))
 
     rows = tb["rank_scores"].count()
     print(json.dumps({"metric": "whole_day_sec", "value": round(q["whole_day"], 3), "unit": "sec",

@@ -16,9 +16,9 @@ from .. import config as C
 from ..functions.columns import composite_key, flag_in, score_band
 
 
-def _band_rows(info: DataFrame, edges, contact, score_col: str) -> DataFrame:
+def _band_rows(info: DataFrame, edges, contact, score_col: str, by: Sequence[str] = ()) -> DataFrame:
     return (info
-            .select(composite_key("boss_city", "boss_position").alias("cp"),
+            .select(*by, composite_key("boss_city", "boss_position").alias("cp"),
                     score_band(score_col, edges).alias("band"),
                     flag_in("deal_type", contact).alias("flag"))
             .where(F.col("band").isNotNull()))
@@ -33,34 +33,40 @@ def _min_for_band(band: Column, min_count: Sequence[int]) -> Column:
 
 def band_ratio(info: DataFrame, edges: Sequence[float] = C.BAND_EDGES,
                min_count: Sequence[int] = C.BAND_MIN_COUNT,
-               contact: Sequence[str] = C.CONTACT_TYPES, score_col: str = "ctr_score") -> DataFrame:
-    """Long form: (cp, band, addf_ratio, num) for bands whose count is above its limit."""
-    rows = _band_rows(info, edges, contact, score_col)
-    agg = rows.groupBy("cp", "band").agg(
+               contact: Sequence[str] = C.CONTACT_TYPES, score_col: str = "ctr_score",
+               by: Sequence[str] = ("ds",)) -> DataFrame:
+    """Long form: (by..., cp, band, addf_ratio, num) for bands whose count is above its limit.
+
+    ``by`` are extra grouping columns; by default ``ds``, the target day the
+    look-back rows serve (see ``plans.daily.lookback_rows``).
+    """
+    rows = _band_rows(info, edges, contact, score_col, by)
+    agg = rows.groupBy(*by, "cp", "band").agg(
         (F.sum("flag") / F.count(F.lit(1))).alias("addf_ratio"),
         F.count(F.lit(1)).alias("num"))
     return agg.where(F.col("num") > _min_for_band(F.col("band"), min_count)).select(
-        "cp", F.col("band").cast("int").alias("band"), "addf_ratio", "num")
+        *by, "cp", F.col("band").cast("int").alias("band"), "addf_ratio", "num")
 
 
 def band_ratio_wide(info: DataFrame, edges: Sequence[float] = C.BAND_EDGES,
                     min_count: Sequence[int] = C.BAND_MIN_COUNT,
                     contact: Sequence[str] = C.CONTACT_TYPES, score_col: str = "ctr_score",
-                    ratio_name: str = "pct{}_ratio", count_name: str = "pct{}_cnt") -> DataFrame:
-    """Wide form: one row per cp with ``pct1_ratio..pct8_ratio`` and counts.
+                    ratio_name: str = "pct{}_ratio", count_name: str = "pct{}_cnt",
+                    by: Sequence[str] = ("ds",)) -> DataFrame:
+    """Wide form: one row per (by..., cp) with ``pct1_ratio..pct8_ratio`` and counts.
 
     A band under its limit gives NULL ratio and count; cps with no band
     above its limit are dropped (a left join would give NULL anyway).
     """
-    rows = _band_rows(info, edges, contact, score_col)
+    rows = _band_rows(info, edges, contact, score_col, by)
     nb = len(edges) + 1
     aggs = []
     for b in range(1, nb + 1):
         inb = F.col("band") == F.lit(b)
         aggs += [F.count_if(inb).alias(f"_n{b}"),
                  F.sum(F.when(inb, F.col("flag"))).alias(f"_s{b}")]
-    agg = rows.groupBy("cp").agg(*aggs)
-    cols, keep = [F.col("cp")], []
+    agg = rows.groupBy(*by, "cp").agg(*aggs)
+    cols, keep = [F.col(c) for c in (*by, "cp")], []
     for b in range(1, nb + 1):
         ok = F.col(f"_n{b}") > F.lit(int(min_count[b - 1]))
         cols.append(F.when(ok, F.try_divide(F.col(f"_s{b}"), F.col(f"_n{b}"))).alias(ratio_name.format(b)))

@@ -68,17 +68,19 @@ def join_block(pages: DataFrame, blocks: DataFrame, default: int = 0) -> DataFra
     return out.withColumn("business_type", F.coalesce(F.col("business"), F.lit(default))).drop("business")
 
 
-def join_ratios(pages: DataFrame, ratios_wide: DataFrame, n_bands: int = C.N_BANDS) -> DataFrame:
-    """One left join with the wide band-ratio table (adds ``pct1_ratio..``)."""
-    r = ratios_wide.select("cp", *[f"pct{b}_ratio" for b in range(1, n_bands + 1)])
-    return pages.join(r, "cp", "left")
+def join_ratios(pages: DataFrame, ratios_wide: DataFrame, n_bands: int = C.N_BANDS,
+                day_col: str = "ds") -> DataFrame:
+    """One left join with the wide band-ratio table (adds ``pct1_ratio..``) on (day, cp)."""
+    r = ratios_wide.select(day_col, "cp", *[f"pct{b}_ratio" for b in range(1, n_bands + 1)])
+    return pages.join(r, [day_col, "cp"], "left")
 
 
-def cp_features(ratios_wide: DataFrame, cp_quartiles: DataFrame, n_bands: int = C.N_BANDS) -> DataFrame:
-    """Everything keyed by cp in one table, so pages join cp once."""
-    r = ratios_wide.select("cp", *[f"pct{b}_ratio" for b in range(1, n_bands + 1)])
+def cp_features(ratios_wide: DataFrame, cp_quartiles: DataFrame, n_bands: int = C.N_BANDS,
+                day_col: str = "ds") -> DataFrame:
+    """Everything keyed by (day, cp) in one table, so pages join cp once."""
+    r = ratios_wide.select(day_col, "cp", *[f"pct{b}_ratio" for b in range(1, n_bands + 1)])
     q = cp_quartiles.withColumnRenamed("num", "cp_addf_num_3days")
-    return r.join(q, "cp", "full")
+    return r.join(q, [day_col, "cp"], "full")
 
 
 def _q(entity: str, i: int) -> str:
@@ -99,13 +101,14 @@ def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss
     The 100 profile columns are joined last, so the wide rows are shuffled
     only once.
     """
-    cpf = bounded_broadcast(cp_features(ratios_wide, cp_q, n_bands), cp_broadcast_rows)
+    cpf = bounded_broadcast(cp_features(ratios_wide, cp_q, n_bands, day_col), cp_broadcast_rows)
     jq = job_q.withColumnRenamed("num", "job_addf_num_3days")
     bq = boss_q.withColumnRenamed("num", "boss_addf_num_3days")
 
-    x = pages.join(cpf, "cp", "left")
+    # feature tables carry the target day: every join includes it
+    x = pages.join(cpf, [day_col, "cp"], "left")
     x = join_block(x, blocks)
-    x = x.join(jq, "job_id", "left").join(bq, "boss_id", "left")
+    x = x.join(jq, [day_col, "job_id"], "left").join(bq, [day_col, "boss_id"], "left")
     x = join_profile(x, profiles, day_col)
 
     addf = [F.col(f"addf_{i}") for i in range(1, page_size + 1)]

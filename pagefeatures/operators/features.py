@@ -16,32 +16,33 @@ ENTITIES = {"job": "job_id", "boss": "boss_id", "cp": "cp"}
 
 def score_quartiles(info: DataFrame, entity: str = "job", probs: Sequence[float] = (0.25, 0.5, 0.75),
                     types: Sequence[str] = C.QUARTILE_TYPES, score_col: str = "ctr_score",
-                    **qopts) -> DataFrame:
+                    by: Sequence[str] = ("ds",), **qopts) -> DataFrame:
     """Quartiles and count of contacted scores per job / boss / cp.
 
-    Output: key, ``addf_{entity}_score_q{1..3}_3days``, ``num``.  Rows are
+    Output: by..., key, ``addf_{entity}_score_q{1..3}_3days``, ``num``
+    (``by`` defaults to ``ds``, the target day of look-back rows).  Rows are
     those whose outcome is in ``types`` (``p_success`` is not one of them,
     unlike the contact flag).  Quantile options (``method``, ``k``,
     ``salts``, ``accuracy``) go to ``grouped_quantiles``.
     """
     key = ENTITIES[entity]
-    rows = _quartile_rows(info, types, score_col).select(key, score_col)
+    rows = _quartile_rows(info, types, score_col, by).select(*by, key, score_col)
     names = {score_col: [f"addf_{entity}_score_q{i + 1}_3days" for i in range(len(probs))]}
-    return grouped_quantiles(rows, [key], [score_col], probs, names=names, count_name="num", **qopts)
+    return grouped_quantiles(rows, [*by, key], [score_col], probs, names=names, count_name="num", **qopts)
 
 
-def _quartile_rows(info: DataFrame, types: Sequence[str], score_col: str) -> DataFrame:
+def _quartile_rows(info: DataFrame, types: Sequence[str], score_col: str, by: Sequence[str]) -> DataFrame:
     return (info.where(F.col("deal_type").isin(list(types)))
-            .select("job_id", "boss_id", composite_key("boss_city", "boss_position").alias("cp"), score_col))
+            .select(*by, "job_id", "boss_id", composite_key("boss_city", "boss_position").alias("cp"), score_col))
 
 
 def quartile_features(info: DataFrame, entities: Sequence[str] = ("job", "boss", "cp"),
                       types: Sequence[str] = C.QUARTILE_TYPES, score_col: str = "ctr_score",
                       hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                      **qopts) -> dict[str, DataFrame]:
+                      by: Sequence[str] = ("ds",), **qopts) -> dict[str, DataFrame]:
     """``score_quartiles`` for several entities; their hot keys are found in one job."""
-    rows = _quartile_rows(info, types, score_col)
-    hot = hot_key_hashes_by_set(rows, {e: [ENTITIES[e]] for e in entities}, hot_rows, max_hot_keys)
-    return {e: score_quartiles(info, e, types=types, score_col=score_col, hot=hot[e],
+    rows = _quartile_rows(info, types, score_col, by)
+    hot = hot_key_hashes_by_set(rows, {e: [*by, ENTITIES[e]] for e in entities}, hot_rows, max_hot_keys)
+    return {e: score_quartiles(info, e, types=types, score_col=score_col, hot=hot[e], by=by,
                                hot_rows=hot_rows, max_hot_keys=max_hot_keys, **qopts)
             for e in entities}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config as C, dates
 from ..operators.bands import band_ratio_wide
@@ -23,36 +23,64 @@ class DayInputs:
     job_blocks: DataFrame
 
 
-def features_for(info: DataFrame, target: str, lookback: int = C.LOOKBACK_DAYS, **qopts):
-    """Look-back features of ``target`` from labelled rows (any days present)."""
-    back = scan_days(info, dates.lookback_days(target, lookback))
+def lookback_rows(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS,
+                  day_col: str = "ds") -> DataFrame:
+    """Labelled rows re-keyed by the target day they serve.
+
+    A row of day d serves the targets d+1 .. d+lookback; each copy gets that
+    target in ``day_col``, and only wanted targets are kept.  So look-back
+    features of many target days come from one aggregation grouped by
+    (target, key), instead of one scan per day.  Only the needed days are
+    read (partition pruning on the original day).
+    """
+    targets = sorted(set(targets))
+    days = sorted({d for t in targets for d in dates.lookback_days(t, lookback)})
+    d = F.to_date(F.col(day_col))
+    shifted = F.explode(F.array(*[F.date_format(F.date_add(d, k), "yyyy-MM-dd") for k in range(1, lookback + 1)]))
+    return (scan_days(info, days).withColumn(day_col, shifted)
+            .where(F.col(day_col).isin(targets)))
+
+
+def features_for(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS, **qopts):
+    """Look-back features of every target day: ratios and job / boss / cp quartiles."""
+    back = lookback_rows(info, targets, lookback)
     q = quartile_features(back, **qopts)
     return band_ratio_wide(back), q["job"], q["boss"], q["cp"]
 
 
-def build_day(inputs: DayInputs, target: str, info: DataFrame | None = None,
-              lookback: int = C.LOOKBACK_DAYS, q3_uses_q1: bool = True,
-              spark: SparkSession | None = None, **qopts) -> DataFrame:
-    """Final rows of ``target``.
+def label_days(inputs: DayInputs, targets, lookback: int = C.LOOKBACK_DAYS,
+               spark: SparkSession | None = None) -> DataFrame:
+    """Label every day the targets need in one join (ds is a join key), written once."""
+    days = sorted({*targets, *[d for t in targets for d in dates.lookback_days(t, lookback)]})
+    labelled = label_impressions(scan_days(inputs.rank_scores, days), scan_days(inputs.impressions, days))
+    return materialize(spark or labelled.sparkSession, labelled, "labelled")
 
-    ``info`` is the labelled-impression table.  When None, the target day
-    and its look-back days are labelled here in one join (ds is a join
-    key) and written once to the shared folder, since five later
-    aggregations read it.
+
+def build_days(inputs: DayInputs, targets, info: DataFrame | None = None,
+               lookback: int = C.LOOKBACK_DAYS, q3_uses_q1: bool = True,
+               spark: SparkSession | None = None, **qopts) -> DataFrame:
+    """Final rows of several target days (a back-fill) as one plan.
+
+    ``info`` is the labelled-impression table; when None, the needed days
+    are labelled here and written once to the shared folder (five later
+    aggregations read it).  Pages, look-back features and profiles are
+    computed for all targets together, keyed by day.
     """
+    targets = sorted(set(targets))
     if info is None:
-        days = [target] + dates.lookback_days(target, lookback)
-        labelled = label_impressions(scan_days(inputs.rank_scores, days),
-                                     scan_days(inputs.impressions, days))
-        spark = spark or labelled.sparkSession
-        info = materialize(spark, labelled, "labelled")
-    ratios, jq, bq, cq = features_for(info, target, lookback, **qopts)
-    pages = page_samples(scan_day(info, target))
-    profiles = profile_rows(inputs.impressions, target)
+        info = label_days(inputs, targets, lookback, spark)
+    ratios, jq, bq, cq = features_for(info, targets, lookback, **qopts)
+    pages = page_samples(scan_days(info, targets))
+    profiles = profile_rows(scan_days(inputs.impressions, targets))
     joined = joined_rows(pages, ratios, jq, bq, cq, inputs.job_blocks, profiles)
     return final_rows(joined, q3_uses_q1=q3_uses_q1)
 
 
+def build_day(inputs: DayInputs, target: str, info: DataFrame | None = None, **kw) -> DataFrame:
+    """Final rows of one target day (``build_days`` with one target)."""
+    return build_days(inputs, [target], info=info, **kw)
+
+
 def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str, out_path: str,
             lookback: int = C.LOOKBACK_DAYS, **qopts) -> DataFrame:
     """Run one day as the scheduled job does, writing two tables.
@@ -72,7 +100,7 @@ def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str,
     return read_table(spark, out_path)
 
 
-def backfill_labels(inputs: DayInputs, days, info_path: str) -> None:
+def backfill_labels(inputs: DayInputs, days, info_path: str) -> None:  # noqa: D401
     """Label several days in one job (ds joins with the keys) and overwrite them."""
     overwrite_day(label_impressions(scan_days(inputs.rank_scores, days),
                                     scan_days(inputs.impressions, days)), info_path)

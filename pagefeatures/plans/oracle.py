@@ -10,7 +10,7 @@ Integer results are cast to the Spark types (BIGINT / INTEGER).
 from __future__ import annotations
 
 from .. import config as C, dates
-from ..sources.fixtures import TARGET_DAY, oracle_prelude
+from ..sources.fixtures import DAYS, TARGET_DAY, oracle_prelude
 
 T = TARGET_DAY
 LOOKBACK = dates.lookback_days(T, C.LOOKBACK_DAYS)
@@ -42,32 +42,42 @@ INFO = f"""info AS (
    AND a.exp_id = b.exp_id AND a.sessionid = b.sessionid AND a.ds = b.ds)"""
 
 
-def _pct_table(b: int) -> str:
+def _pct_table(b: int, t: str = T, sfx: str = "") -> str:
     thres = C.BAND_MIN_COUNT[b - 1]
-    return f"""pct{b} AS (
+    back = dates.lookback_days(t, C.LOOKBACK_DAYS)
+    return f"""pct{b}{sfx} AS (
   SELECT sum(CASE WHEN deal_type IN {CONTACT} THEN 1 ELSE 0 END) / count(1) AS addf_ratio,
          cp, CAST(count(1) AS BIGINT) AS num
   FROM (SELECT concat_ws('-', boss_city, boss_position) AS cp, deal_type, ctr_score
-        FROM info WHERE ds IN {_in(LOOKBACK)} AND {_band_cond(b)}) a
+        FROM info WHERE ds IN {_in(back)} AND {_band_cond(b)}) a
   GROUP BY cp HAVING count(1) > {thres})"""
 
 
-PCT = ",\n".join(_pct_table(b) for b in range(1, C.N_BANDS + 1))
+def pct_tables(t: str = T, sfx: str = "") -> str:
+    return ",\n".join(_pct_table(b, t, sfx) for b in range(1, C.N_BANDS + 1))
 
 
-def _quart(entity: str, key_expr: str, key: str) -> str:
+PCT = pct_tables()
+
+
+def _quart(entity: str, key_expr: str, key: str, t: str = T, sfx: str = "") -> str:
     qs = ",\n         ".join(
         f"quantile_disc(ctr_score, {p}) AS addf_{entity}_score_q{i}_3days"
         for i, p in enumerate((0.25, 0.5, 0.75), start=1))
-    return f"""q_{entity} AS (
+    back = dates.lookback_days(t, C.LOOKBACK_DAYS)
+    return f"""q_{entity}{sfx} AS (
   SELECT {key}, {qs}, CAST(count(1) AS BIGINT) AS num
   FROM (SELECT {key_expr} AS {key}, ctr_score FROM info
-        WHERE ds IN {_in(LOOKBACK)} AND deal_type IN {QTYPES}) a
+        WHERE ds IN {_in(back)} AND deal_type IN {QTYPES}) a
   GROUP BY {key})"""
 
 
-QUARTS = ",\n".join([_quart("job", "job_id", "job_id"), _quart("boss", "boss_id", "boss_id"),
-                     _quart("cp", "concat_ws('-', boss_city, boss_position)", "cp")])
+def quart_tables(t: str = T, sfx: str = "") -> str:
+    return ",\n".join([_quart("job", "job_id", "job_id", t, sfx), _quart("boss", "boss_id", "boss_id", t, sfx),
+                       _quart("cp", "concat_ws('-', boss_city, boss_position)", "cp", t, sfx)])
+
+
+QUARTS = quart_tables()
 
 
 def _hist() -> str:
@@ -76,13 +86,14 @@ def _hist() -> str:
         for b in range(1, C.N_BANDS + 1))
 
 
-SAMPLE = f"""sample AS (
+def sample_table(t: str = T, sfx: str = "") -> str:
+    return f"""sample{sfx} AS (
   SELECT boss_id, job_id, page, sessionid, list_hour, date, weekday, city, pos, cp,
          {', '.join(f'pct{b}' for b in range(1, C.N_BANDS + 1))},
          addf_num, suc_num, num, avg_addf_score, avg_suc_score,
          {', '.join(f'addf_score_list[{i}] AS addf_{i}' for i in range(1, 16))},
          {', '.join(f'suc_score_list[{i}] AS suc_{i}' for i in range(1, 16))},
-         '{T}' AS ds, _addf_s6, _suc_s6, _suc_n
+         '{t}' AS ds, _addf_s6, _suc_s6, _suc_n
   FROM (
     SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos,
            concat_ws('-', city, pos) AS cp,
@@ -105,16 +116,23 @@ SAMPLE = f"""sample AS (
              CASE WHEN deal_type IN {CONTACT} THEN 1 ELSE 0 END AS addf_deal_type,
              CASE WHEN deal_type IN {SUCCESS} THEN 1 ELSE 0 END AS suc_deal_type,
              boss_city AS city, boss_position AS pos
-      FROM info WHERE ctr_score >= 0 AND ds = '{T}') a
+      FROM info WHERE ctr_score >= 0 AND ds = '{t}') a
     GROUP BY boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos
     HAVING count(1) = {C.PAGE_SIZE}) b)"""
 
+
+SAMPLE = sample_table()
+
 PROFILE_LIST = ", ".join(C.PROFILE_COLUMNS)
 
-PROFILES = f"""prof AS (
+def profile_table(t: str = T, sfx: str = "") -> str:
+    return f"""prof{sfx} AS (
   SELECT DISTINCT boss_id, job_id, sessionid, page, rank, CAST(list_time AS DATE) AS date,
          {PROFILE_LIST}
-  FROM impressions WHERE ds = '{T}' AND source = '{C.PROFILE_SOURCE}' AND rank = '{C.PROFILE_RANK}')"""
+  FROM impressions WHERE ds = '{t}' AND source = '{C.PROFILE_SOURCE}' AND rank = '{C.PROFILE_RANK}')"""
+
+
+PROFILES = profile_table()
 
 BLOCKS = "block AS (SELECT DISTINCT boss_id, job_id, business FROM job_blocks)"
 
@@ -164,19 +182,28 @@ TRAIN_SELECT = (
     + PROFILE_LIST + ", a.ds"
 )
 
-TRAIN_FROM = (
-    "FROM sample a "
-    + " ".join(f"LEFT JOIN (SELECT addf_ratio, cp FROM pct{b}) f_pct{b} ON a.cp = f_pct{b}.cp"
-               for b in range(1, 9))
-    + " LEFT JOIN block ON a.boss_id = block.boss_id AND a.job_id = block.job_id"
-    " LEFT JOIN q_job j ON a.job_id = j.job_id"
-    " LEFT JOIN q_boss bos ON a.boss_id = bos.boss_id"
-    " LEFT JOIN q_cp cipo ON concat_ws('-', a.city, a.pos) = cipo.cp"
-    " LEFT JOIN prof b ON a.boss_id = b.boss_id AND a.job_id = b.job_id"
-    " AND a.sessionid = b.sessionid AND a.page = b.page AND a.date = b.date"
-)
+def train_from(sfx: str = "") -> str:
+    return (
+        f"FROM sample{sfx} a "
+        + " ".join(f"LEFT JOIN (SELECT addf_ratio, cp FROM pct{b}{sfx}) f_pct{b} ON a.cp = f_pct{b}.cp"
+                   for b in range(1, 9))
+        + " LEFT JOIN block ON a.boss_id = block.boss_id AND a.job_id = block.job_id"
+        f" LEFT JOIN q_job{sfx} j ON a.job_id = j.job_id"
+        f" LEFT JOIN q_boss{sfx} bos ON a.boss_id = bos.boss_id"
+        f" LEFT JOIN q_cp{sfx} cipo ON concat_ws('-', a.city, a.pos) = cipo.cp"
+        f" LEFT JOIN prof{sfx} b ON a.boss_id = b.boss_id AND a.job_id = b.job_id"
+        " AND a.sessionid = b.sessionid AND a.page = b.page AND a.date = b.date"
+    )
+
 
-TRAIN = f"train AS (SELECT {TRAIN_SELECT} {TRAIN_FROM})"
+TRAIN_FROM = train_from()
+
+
+def train_table(sfx: str = "") -> str:
+    return f"train{sfx} AS (SELECT {TRAIN_SELECT} {train_from(sfx)})"
+
+
+TRAIN = train_table()
 
 
 def _class(i: int, test: str) -> str:
@@ -201,8 +228,26 @@ def _final_expr(c: str) -> str:
     return c
 
 
-FINAL = ("final AS (SELECT " + ", ".join(_final_expr(c) for c in C.FINAL_COLUMNS)
-         + ", ds FROM (SELECT *, q1_strict AS _r1, q2_strict AS _r2, q3_strict AS _r3 FROM train) t)")
+def final_table(sfx: str = "") -> str:
+    return (f"final{sfx} AS (SELECT " + ", ".join(_final_expr(c) for c in C.FINAL_COLUMNS)
+            + f", ds FROM (SELECT *, q1_strict AS _r1, q2_strict AS _r2, q3_strict AS _r3 FROM train{sfx}) t)")
+
+
+FINAL = final_table()
+
+
+def day_chain(t: str, sfx: str) -> list[str]:
+    """The literal per-day chain (band tables, quartiles, pages, profiles, rows) for target ``t``."""
+    return [pct_tables(t, sfx), quart_tables(t, sfx), sample_table(t, sfx), profile_table(t, sfx),
+            train_table(sfx), final_table(sfx)]
+
+
+def backfill_chain(days) -> list[str]:
+    ctes = BASE + [BLOCKS]
+    for i, d in enumerate(days):
+        ctes += day_chain(d, f"_{i}")
+    union = " UNION ALL ".join(f"SELECT * FROM final_{i}" for i in range(len(days)))
+    return ctes + [f"final_all AS ({union})"]
 
 # CTE chains
 BASE = [INFO]
@@ -231,14 +276,15 @@ def _band_case(col: str = "ctr_score") -> str:
 
 
 def _pct_union() -> str:
-    return " UNION ALL ".join(f"SELECT cp, {b} AS band, addf_ratio, num FROM pct{b}" for b in range(1, 9))
+    return " UNION ALL ".join(f"SELECT '{T}' AS ds, cp, {b} AS band, addf_ratio, num FROM pct{b}"
+                              for b in range(1, 9))
 
 
 def _wide() -> str:
     cps = " UNION ".join(f"SELECT cp FROM pct{b}" for b in range(1, 9))
     cols = ", ".join(f"pct{b}.addf_ratio AS pct{b}_ratio, pct{b}.num AS pct{b}_cnt" for b in range(1, 9))
     joins = " ".join(f"LEFT JOIN pct{b} ON cps.cp = pct{b}.cp" for b in range(1, 9))
-    return f"SELECT cps.cp, {cols} FROM ({cps}) cps {joins}"
+    return f"SELECT '{T}' AS ds, cps.cp, {cols} FROM ({cps}) cps {joins}"
 
 
 QUART_JOINS = ("FROM sample a LEFT JOIN q_job j ON a.job_id = j.job_id "
@@ -246,14 +292,14 @@ QUART_JOINS = ("FROM sample a LEFT JOIN q_job j ON a.job_id = j.job_id "
                "LEFT JOIN q_cp cipo ON a.cp = cipo.cp")
 
 
-def _report() -> str:
+def _report(table: str = "final") -> str:
     lo, hi = C.REPORT_RANGE
     parts = []
     for c in C.REPORT_COLUMNS:
         parts.append(
             f"(SELECT '{c}' AS feature, q[1] AS q25, q[2] AS q50, q[3] AS q75, q[4] AS q90, std, addf_num, num "
             f"FROM (SELECT quantile_disc({c}, [0.25, 0.5, 0.75, 0.9]) AS q, stddev_pop({c}) AS std, addf_num, "
-            f"CAST(count(1) AS BIGINT) AS num FROM final WHERE ds <= '{hi}' AND ds >= '{lo}' "
+            f"CAST(count(1) AS BIGINT) AS num FROM {table} WHERE ds <= '{hi}' AND ds >= '{lo}' "
             f"GROUP BY addf_num) a ORDER BY addf_num LIMIT {C.REPORT_LIMIT})")
     return " UNION ALL ".join(parts)
 
@@ -324,9 +370,9 @@ def oracle_sql() -> dict[str, str]:
         "label_impressions": with_(BASE, "SELECT * FROM info"),
         "band_ratio": with_(FEATURES, _pct_union()),
         "band_ratio_wide": with_(FEATURES, _wide()),
-        "quartiles_by_job": with_(FEATURES, "SELECT * FROM q_job"),
-        "quartiles_by_boss": with_(FEATURES, "SELECT * FROM q_boss"),
-        "quartiles_by_cp": with_(FEATURES, "SELECT * FROM q_cp"),
+        "quartiles_by_job": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_job"),
+        "quartiles_by_boss": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_boss"),
+        "quartiles_by_cp": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_cp"),
         "page_samples": with_(PAGES, "SELECT * EXCLUDE (_addf_s6, _suc_s6, _suc_n) FROM sample"),
         "page_histogram": with_(PAGES, "SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, "
                                        "city, pos, " + ", ".join(f"pct{b}" for b in range(1, 9))
@@ -373,7 +419,8 @@ def oracle_sql() -> dict[str, str]:
                                    + ", ".join(_final_expr(f"multi_pct{b}") for b in range(1, 9))
                                    + ", " + _final_expr("pct_sum") + " FROM train"),
         "final_rows": with_(FINAL_CHAIN, "SELECT * FROM final"),
-        "threshold_report": with_(FINAL_CHAIN, _report()),
+        "final_rows_backfill": with_(backfill_chain(DAYS), "SELECT * FROM final_all"),
+        "threshold_report": with_(backfill_chain(DAYS), _report("final_all")),
         "tsv_roundtrip": with_(FINAL_CHAIN + [TEXT], "SELECT * FROM text"),
         "read_days_existing": with_(FINAL_CHAIN, f"SELECT boss_id, job_id, sessionid, page, ds, "
                                                  f"'{T}' AS days_found FROM final"),

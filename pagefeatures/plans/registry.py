@@ -19,6 +19,7 @@ from ..operators import bands, encode, enrich, features, finalize, label, metric
 from ..session import shared_dir
 from ..sources import tables, text
 from ..sources.fixtures import DAYS, TARGET_DAY, input_tables
+from . import daily
 
 T = TARGET_DAY
 LOOKBACK = dates.lookback_days(T, C.LOOKBACK_DAYS)
@@ -72,13 +73,14 @@ class Ctx:
         return self._memo("info", lambda: tables.materialize(self.spark, self.labelled(), "labelled"))
 
     def lookback(self) -> DataFrame:
-        return tables.scan_days(self.info(), LOOKBACK)
+        """Look-back rows of the target day, keyed by it (ds = target)."""
+        return daily.lookback_rows(self.info(), [T])
 
     def pages(self) -> DataFrame:
         return pages.page_samples(tables.scan_day(self.info(), T))
 
     def profiles(self) -> DataFrame:
-        return enrich.profile_rows(self.impressions, T)
+        return enrich.profile_rows(tables.scan_day(self.impressions, T))
 
     def quartiles(self, entity: str) -> DataFrame:
         return self._memo("quartiles", lambda: features.quartile_features(self.lookback()))[entity]
@@ -219,9 +221,9 @@ def q_profile_join(spark, sf):
 
 def _with_quartiles(c: Ctx) -> DataFrame:
     return (c.pages().select(*PAGE_KEY_COLS, "cp", *[f"addf_{i}" for i in range(1, 16)])
-            .join(c.quartiles("job").drop("num"), "job_id", "left")
-            .join(c.quartiles("boss").drop("num"), "boss_id", "left")
-            .join(c.quartiles("cp").drop("num"), "cp", "left"))
+            .join(c.quartiles("job").drop("num"), ["ds", "job_id"], "left")
+            .join(c.quartiles("boss").drop("num"), ["ds", "boss_id"], "left")
+            .join(c.quartiles("cp").drop("num"), ["ds", "cp"], "left"))
 
 
 def _q(e, i):
@@ -275,8 +277,15 @@ def q_final_rows(spark, sf):
     return _ctx(spark, sf).final()
 
 
+def q_final_rows_backfill(spark, sf):
+    """Final rows of every fixture day, each with its own look-back (one plan)."""
+    c = _ctx(spark, sf)
+    return c._memo("backfill", lambda: daily.build_days(
+        daily.DayInputs(c.scores, c.impressions, c.blocks), DAYS, info=c.info()))
+
+
 def q_threshold_report(spark, sf):
-    f = tables.scan_range(_ctx(spark, sf).final(), *C.REPORT_RANGE)
+    f = tables.scan_range(q_final_rows_backfill(spark, sf), *C.REPORT_RANGE)
     return report.threshold_report(f)
 
 

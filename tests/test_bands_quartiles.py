@@ -19,9 +19,9 @@ def test_ratio_threshold_strict(spark):
     rows = (rows_for("A", 300, 0.15, 30) + rows_for("B", 301, 0.15, 30)
             + rows_for("A", 150, 0.45, 15) + rows_for("B", 151, 0.45, 151))
     df = spark.createDataFrame(rows, SCHEMA)
-    long = {(r.cp, r.band): (r.addf_ratio, r.num) for r in band_ratio(df).collect()}
+    long = {(r.cp, r.band): (r.addf_ratio, r.num) for r in band_ratio(df, by=()).collect()}
     assert long == {("B-eng", 2): (30 / 301, 301), ("B-eng", 5): (1.0, 151)}
-    wide = {r.cp: r for r in band_ratio_wide(df).collect()}
+    wide = {r.cp: r for r in band_ratio_wide(df, by=()).collect()}
     assert set(wide) == {"B-eng"}
     assert wide["B-eng"].pct2_ratio == 30 / 301 and wide["B-eng"].pct1_ratio is None
 
