@@ -38,7 +38,8 @@ class Ctx:
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Ctx":
-        key = (id(spark), sf_dir)
+        # a new session (or a restarted context) gets fresh state
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
         if key not in cls._cache:
             cls._cache[key] = Ctx(spark, sf_dir)
         return cls._cache[key]
