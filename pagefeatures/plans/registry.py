@@ -372,6 +372,23 @@ def q_shuffled_rows(spark, sf):
     return encode.shuffled(_model_rows(spark, sf), seed=11).select(*MODEL_KEYS)
 
 
+def q_train_evaluate(spark, sf):
+    """Back-filled days as text -> fit on 07-23..07-24 -> metrics on the train and test splits."""
+    from . import training
+    c = _ctx(spark, sf)
+
+    def write():
+        base = f"{shared_dir(spark)}/text/{uuid.uuid4().hex}"
+        rows = q_final_rows_backfill(spark, sf)
+        for d in DAYS:
+            text.write_text_day(rows, base, d)
+        return base
+    base = c._memo("backfill_text", write)
+    res = training.train(spark, base, DAYS[1], DAYS[2], T, f"{shared_dir(spark)}/models/{uuid.uuid4().hex}",
+                         max_iter=20, factor_size=4, seed=7)
+    return res.metrics.select("split", "n", (F.col("rmse") >= 0).alias("rmse_ok"))
+
+
 def q_eval_metrics(spark, sf):
     f = _ctx(spark, sf).final()
     return metrics.eval_metrics(f, label="addf_num", prediction="pct_sum")

@@ -11,7 +11,7 @@ import __spark_entry__ as E  # noqa: E402
 from tools.check_oracle import rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"encoded_rows", "fit_and_score", "score_rows", "shuffled_rows"}
+ROWS_ONLY = {"encoded_rows", "fit_and_score", "score_rows", "shuffled_rows", "train_evaluate"}
 
 
 def test_keys():
