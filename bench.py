@@ -16,7 +16,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -92,10 +91,10 @@ def report_literal(final):
 
 
 def main():
-    shared = tempfile.mkdtemp(prefix="pf-bench-")
+    # the shared folder comes from the session (spark.checkpoint.dir); only a
+    # local session without one gets a private folder (see session.shared_dir)
     spark = get_session(f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2,
-                        conf={"spark.checkpoint.dir": shared, "spark.ui.showConsoleProgress": "false",
-                              "spark.driver.memory": "16g"})
+                        conf={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     tb = input_tables(spark, SF_DIR)
     inputs = DayInputs(**tb)
     days = [T] + BACK

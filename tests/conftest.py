@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,9 +10,9 @@ from pagefeatures.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    d = tempfile.mkdtemp(prefix="pf-test-")
-    s = get_session("local[4]", shuffle_partitions=4,
-                    conf={"spark.checkpoint.dir": d, "spark.ui.showConsoleProgress": "false"})
+    # spark.checkpoint.dir is read from the session; shared_dir() sets a
+    # private one only when it is unset (local mode)
+    s = get_session("local[4]", shuffle_partitions=4, conf={"spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
 

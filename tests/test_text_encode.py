@@ -32,6 +32,14 @@ def final_like(spark, n=3, nulls=False):
     return df.withColumn("ds", F.lit("2020-07-25"))
 
 
+def with_template(df, template):
+    """``df`` plus the columns of a one-row ``template`` (typed literals), for test rows."""
+    row = template.first()
+    extra = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in template.schema.fields
+             if f.name not in df.columns]
+    return df.select("*", *extra)
+
+
 def test_text_schema_matches_final_rows():
     assert len(text.text_schema()) == 190
     assert text.text_schema().fieldNames()[8] == "position"
