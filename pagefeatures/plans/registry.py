@@ -379,9 +379,7 @@ def q_train_evaluate(spark, sf):
 
     def write():
         base = f"{shared_dir(spark)}/text/{uuid.uuid4().hex}"
-        rows = q_final_rows_backfill(spark, sf)
-        for d in DAYS:
-            text.write_text_day(rows, base, d)
+        text.write_text(q_final_rows_backfill(spark, sf), base)
         return base
     base = c._memo("backfill_text", write)
     res = training.train(spark, base, DAYS[1], DAYS[2], T, f"{shared_dir(spark)}/models/{uuid.uuid4().hex}",

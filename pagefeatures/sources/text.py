@@ -1,4 +1,4 @@
-"""Training text: one tab-separated folder per day, NULL written as ``\\N``.
+"""Training text: one tab-separated folder per day (``<base>/ds=<day>``), NULL written as ``\\N``.
 
 The text has no header and no types; the layout (``config.TEXT_COLUMNS``)
 and the types below are the contract between writer and reader.  Reading
@@ -44,14 +44,27 @@ def text_schema(layout: Sequence[str] = C.TEXT_COLUMNS) -> StructType:
 
 
 def day_path(base: str, day: str) -> str:
-    return f"{base.rstrip('/')}/{day}.merge"
+    return f"{base.rstrip('/')}/ds={day}"
+
+
+def write_text(rows: DataFrame, base: str, days=None, day_col: str = "ds") -> None:
+    """Write final rows as one text folder per day, in one job.
+
+    Dynamic partition overwrite replaces only the days present in ``rows``
+    (or in ``days``); other day folders stay.  The files hold the 190 layout
+    columns only: the day is the folder.
+    """
+    if days is not None:
+        rows = rows.where(F.col(day_col).isin(list(days)))
+    out = to_text_layout(rows).select(*C.TEXT_COLUMNS, F.col(day_col).alias("ds"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("sep", SEP).option("nullValue", NULL).option("header", False)
+        .partitionBy("ds").csv(base))
 
 
 def write_text_day(rows: DataFrame, base: str, day: str, day_col: str = "ds") -> None:
-    """Write one day of final rows as ``<base>/<day>.merge`` (overwrites that day only)."""
-    out = to_text_layout(rows.where(F.col(day_col) == F.lit(day))).select(*C.TEXT_COLUMNS)
-    (out.write.mode("overwrite").option("sep", SEP).option("nullValue", NULL)
-        .option("header", False).csv(day_path(base, day)))
+    """Write (or replace) one day's folder."""
+    write_text(rows, base, [day], day_col)
 
 
 def existing_days(spark: SparkSession, base: str, lo: str, hi: str, shift_days: int = 0) -> list[str]:
@@ -65,7 +78,7 @@ def read_text(spark: SparkSession, paths: Sequence[str], cols: Sequence[str] | N
     """Read day folders in one scan; adds ``ds`` from the folder name."""
     df = (spark.read.schema(text_schema(layout)).option("sep", SEP).option("nullValue", NULL)
           .option("header", False).option("mode", "FAILFAST").csv(list(paths)))
-    ds = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2}-\d{2})\.merge", 1)
+    ds = F.regexp_extract(F.col("_metadata.file_path"), r"ds=(\d{4}-\d{2}-\d{2})", 1)
     return df.select(*(cols or layout), ds.alias("ds"))
 
 
