@@ -19,6 +19,9 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Python call sites in error messages cost several JVM round trips per
+    # Column call; the 190-column plans are built from thousands of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
