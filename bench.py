@@ -24,7 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from pagefeatures import config as C, dates  # noqa: E402
 from pagefeatures.functions.columns import composite_key, flag_in  # noqa: E402
-from pagefeatures.operators import bands, enrich, features, finalize, label, pages, report  # noqa: E402
+from pagefeatures.operators import bands, enrich, features, label, pages, report  # noqa: E402
 from pagefeatures.plans.daily import DayInputs, build_day, build_days, lookback_rows  # noqa: E402
 from pagefeatures.session import get_session  # noqa: E402
 from pagefeatures.sources import tables  # noqa: E402

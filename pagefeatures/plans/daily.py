@@ -13,7 +13,7 @@ from ..operators.features import quartile_features
 from ..operators.finalize import final_rows
 from ..operators.label import label_impressions
 from ..operators.pages import page_samples
-from ..sources.tables import materialize, overwrite_day, read_table, scan_day, scan_days
+from ..sources.tables import materialize, overwrite_day, read_table, scan_days
 
 
 @dataclass
@@ -100,7 +100,7 @@ def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str,
     return read_table(spark, out_path)
 
 
-def backfill_labels(inputs: DayInputs, days, info_path: str) -> None:  # noqa: D401
+def backfill_labels(inputs: DayInputs, days, info_path: str) -> None:
     """Label several days in one job (ds joins with the keys) and overwrite them."""
     overwrite_day(label_impressions(scan_days(inputs.rank_scores, days),
                                     scan_days(inputs.impressions, days)), info_path)

@@ -65,3 +65,21 @@ def test_whole_day_plan_prunes_and_stays_in_jvm(spark):
         if "FileScan parquet" in line and "ReadSchema" in line:
             assert line.count(":double") < 100 or "boss_title_type" in line
     assert "PartitionFilters: [isnotnull(ds" in plan
+
+
+def test_run_day_writes_tables_idempotently(spark, tmp_shared):
+    import uuid
+
+    from pagefeatures import dates
+    c = Ctx.get(spark, SF)
+    inputs = daily.DayInputs(c.scores, c.impressions, c.blocks)
+    t = DAYS[-1]
+    info_path = f"{tmp_shared}/labelled-{uuid.uuid4().hex}"
+    out_path = f"{tmp_shared}/final-{uuid.uuid4().hex}"
+    daily.backfill_labels(inputs, dates.lookback_days(t), info_path)
+    first = daily.run_day(spark, inputs, t, info_path, out_path)
+    rows1 = sorted(map(str, first.collect()))
+    again = daily.run_day(spark, inputs, t, info_path, out_path)
+    rows2 = sorted(map(str, again.collect()))
+    lazy = sorted(map(str, E.queries()["final_rows"](spark, SF).collect()))
+    assert rows1 == rows2 == lazy and len(rows1) > 0
