@@ -53,3 +53,44 @@ def test_dates():
     assert dates.training_days("2020-07-01", "2020-07-02") == ["2020-07-01", "2020-07-02"]
     assert dates.training_days("2020-07-01", "2020-07-02", shift_days=1) == ["2020-07-02", "2020-07-03"]
     assert dates.day_range("2020-02-28", "2020-03-01") == ["2020-02-28", "2020-02-29", "2020-03-01"]
+
+
+def test_label_join_splits_a_hot_key(spark):
+    """A key holding a third of the rows: adaptive execution splits its join partition."""
+    from pyspark.sql import functions as F
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        n = 30000
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+        base = spark.range(n).select(hot.alias("boss_id"), hot.alias("job_id"), hot.alias("geek_id"),
+                                     F.lit(1).alias("exp_id"), F.lit("s").alias("sessionid"),
+                                     F.lit("d").alias("ds"), "id")
+        scores = base.select("boss_id", "job_id", "geek_id", "exp_id", "sessionid", F.lit(1).alias("page"),
+                             F.lit("1").alias("rank"), (F.col("id") / n).alias("ctr_score"),
+                             F.lit(0.1).alias("ctcvr_score"), "ds")
+        outs = base.where(F.col("id") % 3 != 0).select(
+            "boss_id", "job_id", "geek_id", "exp_id", "sessionid", F.lit("addf").alias("deal_type"),
+            F.lit("eng").alias("boss_position"), F.lit("A").alias("boss_city"),
+            F.lit(None).cast("timestamp").alias("list_time"), "ds")
+        df = label_impressions(scores, outs)
+        qe = df._jdf.queryExecution()
+        rows = df.collect()
+        plan = qe.executedPlan().toString()
+        # 20,000 ordinary rows plus the hot key's 10,000 score rows, all matching
+        # the one outcome row that carries the hot key (id 7)
+        assert len(rows) == n
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
