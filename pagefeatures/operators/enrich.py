@@ -51,12 +51,12 @@ def join_profile(pages: DataFrame, profiles: DataFrame, day_col: str = "ds") ->
 
 
 def distinct_blocks(blocks: DataFrame) -> DataFrame:
-    """Distinct (boss, job, business), partitioned on (boss, job) for the join.
+    """Distinct (boss, job, business).
 
-    A (boss, job) pair has only a handful of business values, so one
-    partitioning serves both the ``distinct`` and the join without skew.
+    Copies of a row are combined map-side before any shuffle, so a pair
+    repeated many times in the dimension never lands whole in one task.
     """
-    return blocks.select("boss_id", "job_id", "business").repartition("boss_id", "job_id").distinct()
+    return blocks.select("boss_id", "job_id", "business").distinct()
 
 
 def join_block(pages: DataFrame, blocks: DataFrame, default: int = 0) -> DataFrame:
