@@ -82,7 +82,7 @@ def build_day(inputs: DayInputs, target: str, info: DataFrame | None = None, **k
 
 
 def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str, out_path: str,
-            lookback: int = C.LOOKBACK_DAYS, **qopts) -> DataFrame:
+            lookback: int = C.LOOKBACK_DAYS, release_cache: bool = True, **qopts) -> DataFrame:
     """Run one day as the scheduled job does, writing two tables.
 
     1. label the target day and overwrite its partition of ``info_path``
@@ -92,11 +92,16 @@ def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str,
 
     Both writes replace only the target day, so a re-run is idempotent, and
     the written labelled table cuts the lineage between the two steps.
+    With ``release_cache`` the small tables persisted on the way (segment
+    features, quartiles) are dropped once the day is written, so a loop over
+    many days in one session does not accumulate them.
     """
     overwrite_day(label_impressions(inputs.rank_scores, inputs.impressions, day=target), info_path)
     info = read_table(spark, info_path)
     out = build_day(inputs, target, info=info, lookback=lookback, **qopts)
     overwrite_day(out, out_path)
+    if release_cache:
+        spark.catalog.clearCache()
     return read_table(spark, out_path)
 
 
