@@ -4,7 +4,10 @@ The SQL follows the original job's literal form (eight band tables joined
 eight times, the full comparison ladder, three quartile queries), while the
 Spark side uses the rewritten plans, so a match checks the rewrite.  The
 input tables are rebuilt from the raw views with the fixture SQL.
-Integer results are cast to the Spark types (BIGINT / INTEGER).
+Integer results are cast to the Spark types (BIGINT / INTEGER).  Doubles
+from floating sums (page averages, report std, metrics) are rounded to 9
+decimals on both sides (see ``registry.SHOWN_DIGITS``): their last bits
+depend on summation order.
 """
 
 from __future__ import annotations
@@ -297,7 +300,8 @@ def _report(table: str = "final") -> str:
     parts = []
     for c in C.REPORT_COLUMNS:
         parts.append(
-            f"(SELECT '{c}' AS feature, q[1] AS q25, q[2] AS q50, q[3] AS q75, q[4] AS q90, std, addf_num, num "
+            f"(SELECT '{c}' AS feature, q[1] AS q25, q[2] AS q50, q[3] AS q75, q[4] AS q90, round(std, 9) AS std, "
+            "addf_num, num "
             f"FROM (SELECT quantile_disc({c}, [0.25, 0.5, 0.75, 0.9]) AS q, stddev_pop({c}) AS std, addf_num, "
             f"CAST(count(1) AS BIGINT) AS num FROM {table} WHERE ds <= '{hi}' AND ds >= '{lo}' "
             f"GROUP BY addf_num) a ORDER BY addf_num LIMIT {C.REPORT_LIMIT})")
@@ -373,7 +377,9 @@ def oracle_sql() -> dict[str, str]:
         "quartiles_by_job": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_job"),
         "quartiles_by_boss": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_boss"),
         "quartiles_by_cp": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_cp"),
-        "page_samples": with_(PAGES, "SELECT * EXCLUDE (_addf_s6, _suc_s6, _suc_n) FROM sample"),
+        "page_samples": with_(PAGES, "SELECT * EXCLUDE (_addf_s6, _suc_s6, _suc_n, avg_addf_score, avg_suc_score), "
+                                     "round(avg_addf_score, 9) AS avg_addf_score, "
+                                     "round(avg_suc_score, 9) AS avg_suc_score FROM sample"),
         "page_histogram": with_(PAGES, "SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, "
                                        "city, pos, " + ", ".join(f"pct{b}" for b in range(1, 9))
                                 + ", num, ds FROM sample"),
@@ -438,9 +444,10 @@ def oracle_sql() -> dict[str, str]:
                                           + ", ".join(_hash(c, n) for c, n in C.HASH_SIZES.items())
                                           + " FROM filled"),
         "eval_metrics": with_(FINAL_CHAIN,
-                              "SELECT sqrt(avg(pow(pct_sum - addf_num, 2))) AS rmse, "
-                              "avg(abs(pct_sum - addf_num)) AS mae, avg(pow(pct_sum - addf_num, 2)) AS mse, "
-                              f"avg(pow(least(pct_sum, {C.PREDICTION_CAP}) - addf_num, 2)) AS mse_clipped, "
+                              "SELECT round(sqrt(avg(pow(pct_sum - addf_num, 2))), 9) AS rmse, "
+                              "round(avg(abs(pct_sum - addf_num)), 9) AS mae, "
+                              "round(avg(pow(pct_sum - addf_num, 2)), 9) AS mse, "
+                              f"round(avg(pow(least(pct_sum, {C.PREDICTION_CAP}) - addf_num, 2)), 9) AS mse_clipped, "
                               "CAST(count(1) AS BIGINT) AS n FROM final"),
     }
     return q

@@ -190,8 +190,19 @@ def q_quartiles_by_cp(spark, sf):
     return _ctx(spark, sf).quartiles("cp")
 
 
+# Doubles that come from floating sums (averages, standard deviations,
+# metrics) depend on summation order, which differs between engines and
+# between runs; registered results show them at this many decimals, and the
+# oracle SQL rounds the same columns the same way.
+SHOWN_DIGITS = 9
+
+
+def _shown(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), SHOWN_DIGITS) for c in cols})
+
+
 def q_page_samples(spark, sf):
-    return _ctx(spark, sf).pages()
+    return _shown(_ctx(spark, sf).pages(), ["avg_addf_score", "avg_suc_score"])
 
 
 def q_page_histogram(spark, sf):
@@ -287,7 +298,7 @@ def q_final_rows_backfill(spark, sf):
 
 def q_threshold_report(spark, sf):
     f = tables.scan_range(q_final_rows_backfill(spark, sf), *C.REPORT_RANGE)
-    return report.threshold_report(f)
+    return _shown(report.threshold_report(f), ["std"])
 
 
 # ---------------------------------------------------------------- text, model rows
@@ -389,7 +400,8 @@ def q_train_evaluate(spark, sf):
 
 def q_eval_metrics(spark, sf):
     f = _ctx(spark, sf).final()
-    return metrics.eval_metrics(f, label="addf_num", prediction="pct_sum")
+    return _shown(metrics.eval_metrics(f, label="addf_num", prediction="pct_sum"),
+                  ["rmse", "mae", "mse", "mse_clipped"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
