@@ -44,14 +44,18 @@ def distinct_rows(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame
     return (df.select(*cols) if cols else df).distinct()
 
 
-def overwrite_day(df: DataFrame, path: str, day_col: str = "ds") -> None:
+def overwrite_day(df: DataFrame, path: str, day_col: str = "ds", rebalance: bool = False) -> None:
     """Replace the days present in ``df`` at ``path``; other days stay.
 
     Dynamic partition overwrite is set on the writer itself, so the call is
     safe in any session.  Re-running a day gives the same table (idempotent),
     and a failed task is retried by Spark's commit protocol without leaving
-    partial files in the table.
+    partial files in the table.  ``rebalance`` (for writes of many days)
+    lets adaptive execution size the files per day, at the cost of one
+    shuffle; without it every task writes one file per day it holds.
     """
+    if rebalance:
+        df = df.hint("rebalance", day_col)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(day_col)
@@ -70,7 +74,8 @@ def read_table(spark, path: str, day_col: str = "ds") -> DataFrame:
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def materialize(spark, df: DataFrame, name: str, day_col: str | None = "ds") -> DataFrame:
+def materialize(spark, df: DataFrame, name: str, day_col: str | None = "ds",
+                rebalance: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the table instead of
@@ -82,8 +87,11 @@ def materialize(spark, df: DataFrame, name: str, day_col: str | None = "ds") ->
     from ..session import shared_dir
 
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    partitioned = bool(day_col) and day_col in df.columns
+    if partitioned and rebalance:
+        df = df.hint("rebalance", day_col)
     w = df.write.mode("overwrite")
-    if day_col and day_col in df.columns:
+    if partitioned:
         w = w.partitionBy(day_col)
     w.parquet(path)
     return read_table(spark, path, day_col or "ds")

@@ -94,3 +94,13 @@ def test_label_join_splits_a_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rebalanced_day_write_has_fewer_files(spark, tmp_shared):
+    from pyspark.sql import functions as F
+    df = spark.range(4000).select(F.col("id"), F.concat(F.lit("d"), (F.col("id") % 4).cast("string")).alias("ds"))
+    df = df.repartition(16)
+    plain = tables.materialize(spark, df, "plain")
+    reb = tables.materialize(spark, df, "reb", rebalance=True)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, reb.collect()))
+    assert len(reb.inputFiles()) < len(plain.inputFiles())
