@@ -106,6 +106,12 @@ def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str,
 
 
 def backfill_labels(inputs: DayInputs, days, info_path: str) -> None:
-    """Label several days in one job (ds joins with the keys) and overwrite them."""
+    """Label several days in one job (ds joins with the keys) and overwrite them.
+
+    With more than one day the write is rebalanced by day, so a long
+    back-fill writes files sized per day rather than one per task and day.
+    """
+    days = list(days)
     overwrite_day(label_impressions(scan_days(inputs.rank_scores, days),
-                                    scan_days(inputs.impressions, days)), info_path)
+                                    scan_days(inputs.impressions, days)), info_path,
+                  rebalance=len(days) > 1)
