@@ -3,9 +3,9 @@
 Known shapes (``assign``, ``access``, ``hex``) are regular expressions.  The
 battery judges every other run of 20 or more code characters that has
 letters and digits.  The smallest alphabet that holds a run is its inferred
-encoding.  If a run really is random in that encoding, three statistics have
+encoding.  If a run really is random in that encoding, these statistics have
 known distributions: chi-squared of symbol counts against a uniform
-alphabet, the number of runs above and below the alphabet's middle, and the
+alphabet (by symbol, and by digits, capitals, small letters and marks), the number of runs above and below the alphabet's middle, and the
 correlation of neighbouring symbols.  Their p-values combine by Bonferroni.
 
 A corpus has very many runs, so a fixed limit would either drop true secrets
@@ -40,6 +40,7 @@ ENCODINGS = (("hex", DIGITS + "abcdef"), ("HEX", DIGITS + "ABCDEF"), ("base32",
              ("base36", DIGITS + LOWER), ("BASE36", DIGITS + UPPER), ("base62", UPPER + LOWER + DIGITS),
              ("base64", UPPER + LOWER + DIGITS + "+/"), ("base64url", UPPER + LOWER + DIGITS + "-_"),
              ("mixed", UPPER + LOWER + DIGITS + "+/-_"))
+CLASSES = (DIGITS, UPPER, LOWER, "+/-_")
 LAST_BIN = 300
 BODY = "whole_text_searched"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -102,18 +103,26 @@ def battery(run: Column) -> Column:
         squares = F.aggregate(F.split(x["alphabet"], ""), F.lit(0.0), lambda acc, c: acc + F.pow(
             (length - F.char_length(F.replace(x["body"], c, F.lit("")))).cast("double"), F.lit(2.0)))
         high = F.size(F.filter(codes, lambda c: c > k / 2)).cast("double")
+        held = lambda word, marks: (F.char_length(word) - F.char_length(F.translate(word, marks, ""))).cast("double")
+        classes = F.filter(F.array(*[F.struct(held(x["alphabet"], c).alias("size"), held(x["body"], c).alias("count"))
+                                     for c in CLASSES]), lambda c: c["size"] > 0)
         total = F.aggregate(codes, F.lit(0.0), lambda acc, c: acc + c)
         pairs = F.zip_with(F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(0))), F.slice(codes, F.lit(2), F.size(codes)),
                            lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         return F.struct(x["encoding"].alias("encoding"), k.alias("k"), n.alias("n"), squares.alias("squares"),
-                        high.alias("high"), (total / n).alias("mean"), codes.alias("codes"), pairs.alias("pairs"))
+                        high.alias("high"), (total / n).alias("mean"), codes.alias("codes"), pairs.alias("pairs"),
+                        classes.alias("classes"))
+
+    def upper_z(chi: Column, free: Column) -> Column:
+        """Normal deviate of a chi-squared value (cube root)."""
+        spread = F.lit(2.0) / (F.lit(9.0) * free)
+        return (F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1.0 / 3)) - (F.lit(1.0) - spread)) / F.sqrt(spread)
 
     def with_z(x: Column) -> Column:
         k, n = x["k"], x["n"]
-        free = k - 1
-        chi = k / n * x["squares"] - n
-        spread = F.lit(2.0) / (F.lit(9.0) * free)
-        z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1.0 / 3)) - (F.lit(1.0) - spread)) / F.sqrt(spread)
+        z_chi = upper_z(k / n * x["squares"] - n, k - 1)
+        by_class = F.aggregate(x["classes"], F.lit(0.0), lambda acc, c: acc + c["count"] * c["count"] * k / (n * c["size"])) - n
+        z_class = upper_z(by_class, F.size(x["classes"]).cast("double") - 1)
         runs = F.lit(1.0) + F.size(F.filter(x["pairs"], lambda p: (p["a"] > k / 2) != (p["b"] > k / 2)))
         mean = F.lit(2.0) * x["high"] * (n - x["high"]) / n + 1
         variance = (mean - 1) * (mean - 2) / (n - 1)
@@ -121,9 +130,9 @@ def battery(run: Column) -> Column:
         around = F.aggregate(x["codes"], F.lit(0.0), lambda acc, c: acc + F.pow(c - x["mean"], F.lit(2.0)))
         lagged = F.aggregate(x["pairs"], F.lit(0.0), lambda acc, p: acc + (p["a"] - x["mean"]) * (p["b"] - x["mean"]))
         z_serial = F.when(around > 0, (lagged / around + F.lit(1.0) / n) * F.sqrt(n)).otherwise(F.lit(40.0))
-        least = F.least(normal_tail(z_chi), normal_tail(F.abs(z_runs)) * 2, normal_tail(F.abs(z_serial)) * 2)
+        least = F.least(normal_tail(z_chi), normal_tail(z_class), normal_tail(F.abs(z_runs)) * 2, normal_tail(F.abs(z_serial)) * 2)
         return F.struct(x["encoding"].alias("encoding"), n.cast("int").alias("n"),
-                        F.least(F.lit(1.0), least * 3).alias("p"))
+                        F.least(F.lit(1.0), least * 4).alias("p"))
 
     first = let(encoding, lambda e: F.struct(e.alias("encoding"), body.alias("body"), F.get(alphabets, e).alias("alphabet"),
                                              F.get(sizes, e).alias("k")))
