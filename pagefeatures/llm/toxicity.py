@@ -87,7 +87,7 @@ def fit_logistic(row: np.ndarray, feature: np.ndarray, value: np.ndarray, labels
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_features: int = 1 << 13,
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_features: int = 1 << 11,
           least_texts: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           learn: Column | None = None) -> Model:
     """Fit on at most ``max_rows`` labelled rows, chosen by the hash of their id.
