@@ -48,9 +48,9 @@ def score_band(score: ColumnOrName, edges: Sequence[float] = C.BAND_EDGES) -> Co
     """Band 1..len(edges)+1 of a score, half-open ``lo <= s < hi``.
 
     Band 1 has no lower limit (negative scores fall in it), the last band no
-    upper limit; a NULL score has no band (NULL).
+    upper limit; a NULL or NaN score has no band (NULL).
     """
-    s = _c(score)
+    s = F.when(~F.isnan(_c(score)), _c(score))
     expr = F.when(s < F.lit(float(edges[0])), F.lit(1))
     for i, e in enumerate(edges[1:], start=2):
         expr = expr.when(s < F.lit(float(e)), F.lit(i))
@@ -153,13 +153,13 @@ def mean_rounded(cols: Sequence[ColumnOrName], digits: int = 3) -> Column:
 
     Summed as decimals, so the result does not depend on the order of a
     floating-point sum (a mean of exactly x.xxx5 always rounds up).
-    NULL when every value is NULL.
+    NaN counts as missing, like NULL; NULL when every value is missing.
     """
     dec = "decimal(30,15)"
     total = None
     count = None
     for c in cols:
-        v = _c(c)
+        v = F.when(~F.isnan(_c(c)), _c(c))
         s = F.coalesce(v.cast(dec), F.lit(0).cast(dec))
         n = F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0))
         total = s if total is None else total + s

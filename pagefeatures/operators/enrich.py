@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from .. import config as C
@@ -13,22 +12,6 @@ from ..sources.tables import scan_day
 
 PROFILE_KEYS = ("boss_id", "job_id", "sessionid", "page", "date")
 
-# Largest cp feature table that is broadcast (rows; ~30 doubles per row).
-CP_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its size is proven small.
-
-    The table is persisted and counted (one job); the join then reads the
-    persisted rows (recomputed from lineage if an executor is lost).  At
-    most ``max_rows`` rows: broadcast hint; otherwise the persisted table
-    stays a shuffled (sort-merge) join side.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def profile_rows(impressions: DataFrame, day: str | None = None,
                  cols: Sequence[str] = C.PROFILE_COLUMNS, source: str = C.PROFILE_SOURCE,
                  rank: str = C.PROFILE_RANK, day_col: str = "ds") -> DataFrame:
@@ -90,18 +73,17 @@ def _q(entity: str, i: int) -> str:
 def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss_q: DataFrame,
                 cp_q: DataFrame, blocks: DataFrame, profiles: DataFrame,
                 page_size: int = C.PAGE_SIZE, n_bands: int = C.N_BANDS,
-                steps=C.PAGE_WEIGHT_STEPS, cp_broadcast_rows: int = CP_BROADCAST_ROWS,
+                steps=C.PAGE_WEIGHT_STEPS,
                 day_col: str = "ds") -> DataFrame:
     """Page rows with every feature joined and the relative features derived.
 
     Join plan: the cp-keyed features (eight band ratios and cp quartiles)
-    are one small table joined once, broadcast behind a row-count check;
-    job and boss quartiles, blocks and profiles are shuffled joins whose
+    are one small table joined once; it, job and boss quartiles, blocks and profiles are shuffled joins whose
     sides adaptive execution may still broadcast when they turn out small.
     The 100 profile columns are joined last, so the wide rows are shuffled
     only once.
     """
-    cpf = bounded_broadcast(cp_features(ratios_wide, cp_q, n_bands, day_col), cp_broadcast_rows)
+    cpf = cp_features(ratios_wide, cp_q, n_bands, day_col)
     jq = job_q.withColumnRenamed("num", "job_addf_num_3days")
     bq = boss_q.withColumnRenamed("num", "boss_addf_num_3days")
 

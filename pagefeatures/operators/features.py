@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from .. import config as C
 from ..functions.columns import composite_key
-from .quantiles import (DEFAULT_ACCURACY, DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, grouped_quantiles,
-                        hot_key_hashes_by_set)
+from .quantiles import grouped_quantiles
 
 # entity -> (key column, name used in the output columns)
 ENTITIES = {"job": "job_id", "boss": "boss_id", "cp": "cp"}
@@ -18,19 +16,18 @@ ENTITIES = {"job": "job_id", "boss": "boss_id", "cp": "cp"}
 
 def score_quartiles(info: DataFrame, entity: str = "job", probs: Sequence[float] = (0.25, 0.5, 0.75),
                     types: Sequence[str] = C.QUARTILE_TYPES, score_col: str = "ctr_score",
-                    by: Sequence[str] = ("ds",), **qopts) -> DataFrame:
+                    by: Sequence[str] = ("ds",)) -> DataFrame:
     """Quartiles and count of contacted scores per job / boss / cp.
 
     Output: by..., key, ``addf_{entity}_score_q{1..3}_3days``, ``num``
     (``by`` defaults to ``ds``, the target day of look-back rows).  Rows are
     those whose outcome is in ``types`` (``p_success`` is not one of them,
-    unlike the contact flag).  Quantile options (``method``, ``k``,
-    ``salts``, ``accuracy``) go to ``grouped_quantiles``.
+    unlike the contact flag).  NaN scores count as rows but not as values.
     """
     key = ENTITIES[entity]
     rows = _quartile_rows(info, types, score_col, by).select(*by, key, score_col)
     names = {score_col: [f"addf_{entity}_score_q{i + 1}_3days" for i in range(len(probs))]}
-    return grouped_quantiles(rows, [*by, key], [score_col], probs, names=names, count_name="num", **qopts)
+    return grouped_quantiles(rows, [*by, key], [score_col], probs, names=names, count_name="num")
 
 
 def _quartile_rows(info: DataFrame, types: Sequence[str], score_col: str, by: Sequence[str]) -> DataFrame:
@@ -41,38 +38,6 @@ def _quartile_rows(info: DataFrame, types: Sequence[str], score_col: str, by: Se
 def quartile_features(info: DataFrame, entities: Sequence[str] = ("job", "boss", "cp"),
                       types: Sequence[str] = C.QUARTILE_TYPES, score_col: str = "ctr_score",
                       probs: Sequence[float] = (0.25, 0.5, 0.75),
-                      hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                      by: Sequence[str] = ("ds",), **qopts) -> dict[str, DataFrame]:
-    """``score_quartiles`` for several entities.
-
-    One grouping-sets count finds the hot keys of every entity.  When none
-    is hot (the usual case), all entities come from one more scan: a
-    grouping-sets aggregation with ``percentile_approx``, persisted once and
-    split by ``grouping_id``.  Otherwise each entity takes the hybrid path
-    of ``grouped_quantiles`` (salted sketches for its hot keys).
-    """
-    rows = _quartile_rows(info, types, score_col, by)
-    sets = {e: [*by, ENTITIES[e]] for e in entities}
-    hot = hot_key_hashes_by_set(rows, sets, hot_rows, max_hot_keys)
-    method = qopts.get("method", "auto")
-    if method == "percentile_approx" or (method == "auto" and all(h == [] for h in hot.values())):
-        return _one_pass(rows, sets, score_col, probs, qopts.get("accuracy", DEFAULT_ACCURACY))
-    return {e: score_quartiles(info, e, probs=probs, types=types, score_col=score_col, hot=hot[e], by=by,
-                               hot_rows=hot_rows, max_hot_keys=max_hot_keys, **qopts)
-            for e in entities}
-
-
-def _one_pass(rows: DataFrame, sets: dict, score_col: str, probs: Sequence[float],
-              accuracy: int) -> dict[str, DataFrame]:
-    cols = sorted({c for ks in sets.values() for c in ks})
-    agg = (rows.groupingSets([list(ks) for ks in sets.values()], *cols)
-           .agg(F.percentile_approx(F.col(score_col), [float(p) for p in probs], accuracy).alias("_q"),
-                F.count(F.lit(1)).alias("num"), F.grouping_id().alias("_gid"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    out = {}
-    for e, ks in sets.items():
-        # grouping_id has a 1 bit for every column *not* in the set (first column = highest bit)
-        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks)
-        qs = [F.get(F.col("_q"), i).alias(f"addf_{e}_score_q{i + 1}_3days") for i in range(len(probs))]
-        out[e] = agg.where(F.col("_gid") == F.lit(gid)).select(*ks, *qs, "num")
-    return out
+                      by: Sequence[str] = ("ds",)) -> dict[str, DataFrame]:
+    """``score_quartiles`` for several entities, each one lazy plan over its own columns."""
+    return {e: score_quartiles(info, e, probs=probs, types=types, score_col=score_col, by=by) for e in entities}

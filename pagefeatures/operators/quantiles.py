@@ -1,189 +1,94 @@
-"""Grouped quantiles that survive hot groups.
-
-A group may hold a third of all rows (a large city, a common label).  A
-plain ``percentile_approx`` builds one partial sketch per map task and
-merges all of them for that group in a single reduce task.  So groups are
-split by size first (one cheap, map-side combined count per key):
-
-* ordinary groups (at most ``hot_rows`` rows) use ``percentile_approx``
-  with ``accuracy`` (10000 by default, as the original job's engine): one
-  level, deterministic, exact while a group is small;
-* hot groups (a bounded list of key hashes) go through two levels of KLL
-  sketches:
-
-  1. rows are tagged with ``salt = spark_partition_id() % salts``, so every
-     map task adds to exactly one (key, salt) sketch per key, and the
-     partial sketches of a key are spread over ``salts`` reduce tasks;
-  2. the (key, salt) sketches are merged per key; at most ``salts`` sketches
-     per key reach the last task.
-
-  A KLL sketch of ``k`` items keeps every value while a group has at most
-  ``k`` of them (the quantile is then exact: the smallest value whose rank
-  reaches ``p * n``) and stays bounded (a few times ``k`` doubles) beyond,
-  with rank error about 1/k.
-
-Standard deviations merge exactly across salts (parallel variance formula).
+"""Exact grouped quantiles: one method for every group size.
+
+The quantile of probability p in a group of n values is the smallest value
+whose rank reaches ``p * n``.  It is found without sorting a group:
+
+1. rows are counted by (group, value); copies combine on the map side;
+2. those counts are summed by (group, bucket), a bucket being 1/65,536 of a
+   unit of the value, and running sums tell the bucket of each rank;
+3. only the values inside these buckets are ranked.
+
+No task holds a group: the second step has one row for each bucket, the
+third the distinct values of one bucket.  Results don't depend on group
+size, partitioning or the run.  NULL and NaN values are missing values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_K = 8192
-DEFAULT_SALTS = 256
-DEFAULT_ACCURACY = 10000
-
-
-def _quantile(sk: Column, p: float) -> Column:
-    n = F.kll_sketch_get_n_double(sk)
-    return F.when(n > F.lit(0), F.kll_sketch_get_quantile_double(sk, F.lit(float(p))))
+BUCKETS_PER_UNIT = 65_536
+_FAR = 1e12  # values beyond share the outermost buckets
 
 
-DEFAULT_HOT_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
+def _present(col: str) -> Column:
+    v = F.col(col).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
-def _route_key(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Join condition: keys are equal, NULL keys too (``right`` has them as ``_k_<key>``)."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int, max_keys: int) -> list[int] | None:
-    """Hashes of the keys with more than ``hot_rows`` rows.
-
-    One map-side combined count per key; at most ``max_keys + 1`` hashes
-    reach the driver.  Returns None when there are more than ``max_keys``
-    hot keys (the caller then sketches every group).
-    """
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > F.lit(hot_rows))
-           .select(_route_key(keys).alias("h")).limit(max_keys + 1).collect())
-    return None if len(hot) > max_keys else [r.h for r in hot]
+def _renamed(df: DataFrame, keys: Sequence[str], *cols) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *cols)
 
 
-def hot_key_hashes_by_set(df: DataFrame, key_sets: dict[str, Sequence[str]], hot_rows: int,
-                          max_keys: int) -> dict[str, list[int] | None]:
-    """``hot_key_hashes`` for several key sets of one table in one job.
-
-    One grouping-sets aggregation counts every key set in a single scan.
-    """
-    names = list(key_sets)
-    cols = sorted({c for ks in key_sets.values() for c in ks})
-    counted = (df.groupingSets([list(key_sets[n]) for n in names], *cols)
-               .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
-    hot = counted.where(F.col("_n") > F.lit(hot_rows))
-    # grouping_id has a 1 bit for every column *not* in the set (first column = highest bit)
-    gids = {n: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in key_sets[n]) for n in names}
-    expr = None
-    for n in names:
-        h = _route_key(key_sets[n])
-        expr = F.when(F.col("_gid") == gids[n], h) if expr is None else expr.when(F.col("_gid") == gids[n], h)
-    rows = hot.select(F.col("_gid"), expr.alias("h")).limit((max_keys + 1) * len(names)).collect()
-    out = {}
-    for n in names:
-        hs = [r.h for r in rows if r._gid == gids[n]]
-        out[n] = None if len(hs) > max_keys else hs
-    return out
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                    names: Sequence[str]) -> DataFrame:
+    """(keys, names...): quantiles of one column per group; groups without a value are absent."""
+    keys = list(keys)
+    counts = (df.select(*keys, _present(value).alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    near = F.least(F.greatest(F.col("_v"), F.lit(-_FAR)), F.lit(_FAR))
+    counts = counts.withColumn("_bucket", F.floor(near * F.lit(float(BUCKETS_PER_UNIT))))
+    group = Window.partitionBy(*keys)
+    upto = Window.unboundedPreceding, Window.currentRow
+    buckets = (counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+               .withColumn("_total", F.sum("_n").over(group))
+               .withColumn("_upto", F.sum("_n").over(group.orderBy("_bucket").rowsBetween(*upto))))
+    ranks = F.array(*[F.struct(F.lit(i).alias("_i"), F.greatest(
+        F.ceil(F.lit(str(p)).cast("decimal(12,10)") * F.col("_total")), F.lit(1)).cast("long").alias("_rank"))
+        for i, p in enumerate(probs)])
+    here = F.filter(ranks, lambda r: (r["_rank"] <= F.col("_upto")) & (r["_rank"] > F.col("_upto") - F.col("_n")))
+    wanted = _renamed(buckets, keys, F.col("_bucket").alias("_b"), (F.col("_upto") - F.col("_n")).alias("_before"),
+                      F.inline(here))
+    inside = counts.join(wanted, _same(counts, wanted, keys) & (counts["_bucket"] == wanted["_b"]))
+    rank = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(*upto))
+    found = (inside.select(*keys, "_i", "_rank", "_v", "_n", rank.alias("_upto"))
+             .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))))
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                       probs: Sequence[float], *, names: dict | None = None,
-                      count_name: str | None = "num", std: bool = False,
-                      method: str = "auto", k: int = DEFAULT_K, salts: int = DEFAULT_SALTS,
-                      accuracy: int = DEFAULT_ACCURACY, hot_rows: int = DEFAULT_HOT_ROWS,
-                      max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, hot="detect") -> DataFrame:
+                      count_name: str | None = "num", std: bool = False) -> DataFrame:
     """Quantiles of each column in ``values`` per ``keys`` group.
 
     Output: ``keys``, one column per (value, prob) named by
     ``names[value][i]`` (default ``{value}_q{i}``), optionally the population
     standard deviation ``{value}_std`` of each value, and ``count_name`` =
-    rows per group (NULL values included, as ``count(1)``).
-
-    ``method="auto"`` (default) counts rows per key first: groups of at most
-    ``hot_rows`` rows use ``percentile_approx`` (one level, ``accuracy``);
-    the few larger ones (at most ``max_hot_keys``, routed by key hash) use
-    the two-level KLL sketches.  ``"kll"`` and ``"percentile_approx"`` force
-    one form for every group.  ``hot`` may pass the result of an earlier
-    ``hot_key_hashes`` (a list, or None for "too many") to skip the count.
+    rows per group (missing values included, as ``count(1)``).  A group
+    without values has NULL quantiles.
     """
     keys, values = list(keys), list(values)
     names = names or {v: [f"{v}_q{i}" for i in range(len(probs))] for v in values}
-    opts = dict(names=names, count_name=count_name, std=std)
-    if method == "percentile_approx":
-        return _one_level(df, keys, values, probs, accuracy=accuracy, **opts)
-    if method == "kll":
-        return _two_level(df, keys, values, probs, k=k, salts=salts, **opts)
-    if method != "auto":
-        raise ValueError(f"unknown method {method!r}")
-    if isinstance(hot, str):
-        hot = hot_key_hashes(df, keys, hot_rows, max_hot_keys)
-    if hot is None:
-        return _two_level(df, keys, values, probs, k=k, salts=salts, **opts)
-    if not hot:
-        return _one_level(df, keys, values, probs, accuracy=accuracy, **opts)
-    is_hot = _route_key(keys).isin(hot)
-    cold = _one_level(df.where(~is_hot), keys, values, probs, accuracy=accuracy, **opts)
-    warm = _two_level(df.where(is_hot), keys, values, probs, k=k, salts=salts, **opts)
-    return cold.unionByName(warm)
-
-
-def _one_level(df, keys, values, probs, *, names, count_name, std, accuracy):
-    aggs = []
+    aggs = [F.stddev_pop(_present(v)).alias(f"{v}_std") for v in values] if std else []
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    # several columns share the steps: one narrow row for each column's value
+    long = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(v).alias("_name"), _present(v).alias("_value")) for v in values])))
+    q = exact_quantiles(long, [*keys, "_name"], "_value", probs, [f"_q{i}" for i in range(len(probs))])
+    q = q.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == v, F.col(f"_q{i}"))).alias(n)
+                               for v in values for i, n in enumerate(names[v])])
+    q = _renamed(q, keys, *[n for v in values for n in names[v]])
+    out = out.join(q, _same(out, q, keys), "left").drop(*[f"_k_{k}" for k in keys])
+    cols = [F.col(k) for k in keys]
     for v in values:
-        aggs.append(F.percentile_approx(F.col(v), [float(p) for p in probs], accuracy).alias(f"_q_{v}"))
-        if std:
-            aggs.append(F.stddev_pop(v).alias(f"{v}_std"))
-    if count_name:
-        aggs.append(F.count(F.lit(1)).alias(count_name))
-    out = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(c) for c in keys]
-    for v in values:
-        cols += [F.get(F.col(f"_q_{v}"), i).alias(names[v][i]) for i in range(len(probs))]
-        if std:
-            cols.append(F.col(f"{v}_std"))
-    if count_name:
-        cols.append(F.col(count_name))
-    return out.select(*cols)
-
-
-def _two_level(df, keys, values, probs, *, names, count_name, std, k, salts):
-    salted = df.select(*keys, *values, F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt"))
-    a1 = [F.count(F.lit(1)).alias("_rows")]
-    for v in values:
-        a1.append(F.kll_sketch_agg_double(F.col(v).cast("double"), F.lit(k)).alias(f"_sk_{v}"))
-        if std:
-            # per-salt moments; merged exactly below (parallel variance formula)
-            a1 += [F.count(v).alias(f"_n_{v}"), F.avg(v).alias(f"_m_{v}"),
-                   (F.var_pop(v) * F.count(v)).alias(f"_m2_{v}")]
-    level1 = salted.groupBy(*keys, "_salt").agg(*a1)
-
-    if std:
-        # overall mean per group, needed by the merge of second moments; the
-        # level-1 table holds at most `salts` rows per group
-        w = Window.partitionBy(*keys)
-        for v in values:
-            n_tot = F.sum(f"_n_{v}").over(w)
-            level1 = level1.withColumn(
-                f"_gm_{v}", F.try_divide(F.sum(F.col(f"_n_{v}") * F.col(f"_m_{v}")).over(w), n_tot))
-
-    a2 = [F.sum("_rows").alias("_rows")]
-    for v in values:
-        a2.append(F.kll_merge_agg_double(f"_sk_{v}", F.lit(k)).alias(f"_sk_{v}"))
-        if std:
-            dev = F.col(f"_n_{v}") * F.pow(F.col(f"_m_{v}") - F.col(f"_gm_{v}"), 2)
-            a2 += [F.sum(f"_n_{v}").alias(f"_n_{v}"),
-                   F.sum(F.coalesce(F.col(f"_m2_{v}"), F.lit(0.0)) + F.coalesce(dev, F.lit(0.0))).alias(f"_m2_{v}")]
-    level2 = level1.groupBy(*keys).agg(*a2)
-
-    cols = [F.col(c) for c in keys]
-    for v in values:
-        sk = F.col(f"_sk_{v}")
-        cols += [_quantile(sk, p).alias(names[v][i]) for i, p in enumerate(probs)]
-        if std:
-            n = F.col(f"_n_{v}")
-            cols.append(F.when(n > 0, F.sqrt(F.greatest(F.col(f"_m2_{v}") / n, F.lit(0.0))))
-                        .alias(f"{v}_std"))
+        cols += [F.col(n) for n in names[v]] + ([F.col(f"{v}_std")] if std else [])
     if count_name:
         cols.append(F.col("_rows").alias(count_name))
-    return level2.select(*cols)
+    return out.select(*cols)

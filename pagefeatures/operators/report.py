@@ -14,18 +14,18 @@ PROB_NAMES = ("q25", "q50", "q75", "q90")
 
 def threshold_report(rows: DataFrame, cols: Sequence[str] = C.REPORT_COLUMNS, label: str = "addf_num",
                      probs: Sequence[float] = C.REPORT_PROBS, limit: int = C.REPORT_LIMIT,
-                     prob_names: Sequence[str] = PROB_NAMES, **qopts) -> DataFrame:
+                     prob_names: Sequence[str] = PROB_NAMES) -> DataFrame:
     """Per label value and column: quantiles, population std and row count.
 
     Output: (feature, q25, q50, q75, q90, std, <label>, num), the ``limit``
-    smallest labels per feature.  All columns come from one scan and one
-    (two-level, skew-safe) aggregation: every label group is large, since
-    there are only as many groups as label values.  The label groups are
+    smallest labels per feature.  Every label group is large, since
+    there are only as many groups as label values; the quantiles are exact
+    whatever their size.  The label groups are
     the same for every feature, so the limit is taken once, before the
     unpivot (a top-k of ``limit`` rows, not a global sort).
     """
     names = {c: [f"{c}__{n}" for n in prob_names] for c in cols}
-    stats = grouped_quantiles(rows, [label], cols, probs, names=names, count_name="num", std=True, **qopts)
+    stats = grouped_quantiles(rows, [label], cols, probs, names=names, count_name="num", std=True)
     top = stats.orderBy(label).limit(limit)
     per_feature = F.array(*[
         F.struct(F.lit(c).alias("feature"),

@@ -35,16 +35,18 @@ def lookback_rows(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS,
     """
     targets = sorted(set(targets))
     days = sorted({d for t in targets for d in dates.lookback_days(t, lookback)})
+    if len(targets) == 1:
+        return scan_days(info, days).withColumn(day_col, F.lit(targets[0]))
     d = F.to_date(F.col(day_col))
     shifted = F.explode(F.array(*[F.date_format(F.date_add(d, k), "yyyy-MM-dd") for k in range(1, lookback + 1)]))
     return (scan_days(info, days).withColumn(day_col, shifted)
             .where(F.col(day_col).isin(targets)))
 
 
-def features_for(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS, **qopts):
+def features_for(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS):
     """Look-back features of every target day: ratios and job / boss / cp quartiles."""
     back = lookback_rows(info, targets, lookback)
-    q = quartile_features(back, **qopts)
+    q = quartile_features(back)
     return band_ratio_wide(back), q["job"], q["boss"], q["cp"]
 
 
@@ -58,7 +60,7 @@ def label_days(inputs: DayInputs, targets, lookback: int = C.LOOKBACK_DAYS,
 
 def build_days(inputs: DayInputs, targets, info: DataFrame | None = None,
                lookback: int = C.LOOKBACK_DAYS, q3_uses_q1: bool = True,
-               spark: SparkSession | None = None, **qopts) -> DataFrame:
+               spark: SparkSession | None = None, **opts) -> DataFrame:
     """Final rows of several target days (a back-fill) as one plan.
 
     ``info`` is the labelled-impression table; when None, the needed days
@@ -69,7 +71,7 @@ def build_days(inputs: DayInputs, targets, info: DataFrame | None = None,
     targets = sorted(set(targets))
     if info is None:
         info = label_days(inputs, targets, lookback, spark)
-    ratios, jq, bq, cq = features_for(info, targets, lookback, **qopts)
+    ratios, jq, bq, cq = features_for(info, targets, lookback)
     pages = page_samples(scan_days(info, targets))
     profiles = profile_rows(scan_days(inputs.impressions, targets))
     joined = joined_rows(pages, ratios, jq, bq, cq, inputs.job_blocks, profiles)
@@ -82,7 +84,7 @@ def build_day(inputs: DayInputs, target: str, info: DataFrame | None = None, **k
 
 
 def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str, out_path: str,
-            lookback: int = C.LOOKBACK_DAYS, release_cache: bool = True, **qopts) -> DataFrame:
+            lookback: int = C.LOOKBACK_DAYS, **opts) -> DataFrame:
     """Run one day as the scheduled job does, writing two tables.
 
     1. label the target day and overwrite its partition of ``info_path``
@@ -92,16 +94,12 @@ def run_day(spark: SparkSession, inputs: DayInputs, target: str, info_path: str,
 
     Both writes replace only the target day, so a re-run is idempotent, and
     the written labelled table cuts the lineage between the two steps.
-    With ``release_cache`` the small tables persisted on the way (segment
-    features, quartiles) are dropped once the day is written, so a loop over
-    many days in one session does not accumulate them.
+    Nothing is cached, so the caller's cached tables are left alone.
     """
     overwrite_day(label_impressions(inputs.rank_scores, inputs.impressions, day=target), info_path)
     info = read_table(spark, info_path)
-    out = build_day(inputs, target, info=info, lookback=lookback, **qopts)
+    out = build_day(inputs, target, info=info, lookback=lookback, **opts)
     overwrite_day(out, out_path)
-    if release_cache:
-        spark.catalog.clearCache()
     return read_table(spark, out_path)
 
 

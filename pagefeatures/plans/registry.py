@@ -298,6 +298,8 @@ def q_final_rows_backfill(spark, sf):
 
 def q_threshold_report(spark, sf):
     f = tables.scan_range(q_final_rows_backfill(spark, sf), *C.REPORT_RANGE)
+    # the report reads its rows several times: five columns of them, written once
+    f = tables.materialize(spark, f.select("ds", "addf_num", *C.REPORT_COLUMNS), "report-rows")
     return _shown(report.threshold_report(f), ["std"])
 
 

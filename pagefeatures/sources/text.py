@@ -59,6 +59,7 @@ def write_text(rows: DataFrame, base: str, days=None, day_col: str = "ds") -> No
     out = to_text_layout(rows).select(*C.TEXT_COLUMNS, F.col(day_col).alias("ds"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("sep", SEP).option("nullValue", NULL).option("header", False)
+        .option("escape", '"')  # a quote inside a field is doubled, as its other readers expect
         .partitionBy("ds").csv(base))
 
 
@@ -77,7 +78,7 @@ def read_text(spark: SparkSession, paths: Sequence[str], cols: Sequence[str] | N
               layout: Sequence[str] = C.TEXT_COLUMNS) -> DataFrame:
     """Read day folders in one scan; adds ``ds`` from the folder name."""
     df = (spark.read.schema(text_schema(layout)).option("sep", SEP).option("nullValue", NULL)
-          .option("header", False).option("mode", "FAILFAST").csv(list(paths)))
+          .option("escape", '"').option("header", False).option("mode", "FAILFAST").csv(list(paths)))
     ds = F.regexp_extract(F.col("_metadata.file_path"), r"ds=(\d{4}-\d{2}-\d{2})", 1)
     return df.select(*(cols or layout), ds.alias("ds"))
 

@@ -43,17 +43,10 @@ def test_backfill_contains_single_day(spark):
     assert {r.ds for r in full.select("ds").distinct().collect()} <= set(DAYS)
 
 
-def test_hot_key_routing_keeps_results(spark):
-    """Forcing every large key onto the salted sketch path changes nothing (groups < k)."""
-    from pagefeatures.operators.features import quartile_features
+def test_single_target_has_no_row_copies(spark):
     c = Ctx.get(spark, SF)
-    back = daily.lookback_rows(c.info(), DAYS)
-    base = quartile_features(back)
-    hot = quartile_features(back, hot_rows=5)
-    for e in ("job", "boss", "cp"):
-        a = sorted(map(tuple, base[e].collect()))
-        b = sorted(map(tuple, hot[e].collect()))
-        assert a == b and len(a) > 0
+    plan = daily.lookback_rows(c.info(), DAYS[:1])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
 
 
 def test_whole_day_plan_prunes_and_stays_in_jvm(spark):

@@ -93,3 +93,10 @@ def test_hash_bucket_is_md5_prefix(spark):
     got = one(spark, [(v,) for v in vals], "v string", FC.hash_bucket("v", 350))
     exp = [int(hashlib.md5((v or "0").encode()).hexdigest()[:15], 16) % 350 for v in vals]
     assert got == exp
+
+
+def test_nan_has_no_band_and_no_part_in_a_mean(spark):
+    from pagefeatures.functions.columns import mean_rounded, score_band
+    df = spark.createDataFrame([(float("nan"), 0.2, None), (0.75, 0.2, 0.4)], "a double, b double, c double")
+    got = [tuple(r) for r in df.select(score_band("a"), mean_rounded(["a", "b", "c"])).collect()]
+    assert got == [(None, 0.2), (8, 0.45)]

@@ -113,19 +113,3 @@ def test_threshold_report_and_write(spark, tmp_shared):
     report.write_report(rep, path)
     files = [f for f in spark.read.text(path).inputFiles()]
     assert len(files) == 1 and spark.read.option("header", True).csv(path).count() == 12
-
-
-def test_report_hot_path_equals_ordinary_path(spark):
-    """At scale every label group is hot: the salted sketch path must agree (exact below k)."""
-    from pagefeatures.operators import report
-    rows = [(float(i % 7) / 10, float(i % 5) / 10, float(i % 3) / 10, float(i % 11) / 20, i % 4) for i in range(400)]
-    df = spark.createDataFrame(rows, "addf_1 double, addf_8 double, addf_15 double, avg_addf_score double, "
-                                     "addf_num long").repartition(5)
-    def key(r):
-        return (r.feature, r.addf_num)
-    cold = [tuple(r) for r in sorted(report.threshold_report(df).collect(), key=key)]
-    hot = [tuple(r) for r in sorted(report.threshold_report(df, hot_rows=10).collect(), key=key)]
-    assert len(cold) == len(hot) == 16
-    for a, b in zip(cold, hot):
-        assert a[:5] == b[:5] and a[6:] == b[6:]
-        assert abs(a[5] - b[5]) < 1e-12   # std: merged moments vs one pass
