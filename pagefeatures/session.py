@@ -66,7 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
             # the context appends a random sub-folder; share its parent
             d = jdir.get().rsplit("/", 1)[0]
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         d = tempfile.mkdtemp(prefix="pagefeatures-")
         sc.setCheckpointDir(os.path.join(d, "checkpoints"))
