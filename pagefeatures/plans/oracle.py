@@ -1,9 +1,12 @@
 """Independent DuckDB SQL for every registered query.
 
-The SQL follows the original job's literal form (eight band tables joined
-eight times, the full comparison ladder, three quartile queries), while the
-Spark side uses the rewritten plans, so a match checks the rewrite.  The
-input tables are rebuilt from the raw views with the fixture SQL.
+The SQL is written from the operators' rules, in another form than the Spark
+plans: look-back rows come from a table of (target day, source day) pairs,
+the ratios of all bands and the quartiles of all entities are long tables
+that are pivoted, and a ladder position is a count.  A match checks the
+plans.  The input tables are rebuilt from the raw views with the fixture SQL;
+limits and column names come from ``config``, days are literals.
+
 Integer results are cast to the Spark types (BIGINT / INTEGER).  Doubles
 from floating sums (page averages, report std, metrics) are rounded to 9
 decimals on both sides (see ``registry.SHOWN_DIGITS``): their last bits
@@ -12,252 +15,184 @@ depend on summation order.
 
 from __future__ import annotations
 
-from .. import config as C, dates
-from ..sources.fixtures import DAYS, TARGET_DAY, oracle_prelude
-
-T = TARGET_DAY
-LOOKBACK = dates.lookback_days(T, C.LOOKBACK_DAYS)
+from .. import config as C
+from ..sources.fixtures import oracle_prelude
+
+T = "2020-07-25"
+LOOKBACK = ("2020-07-22", "2020-07-23", "2020-07-24")
+ALL_DAYS = ("2020-07-22", "2020-07-23", "2020-07-24", "2020-07-25")
+#: (target day, a day it looks back to)
+SERVED = (
+    ("2020-07-22", "2020-07-19"), ("2020-07-22", "2020-07-20"), ("2020-07-22", "2020-07-21"),
+    ("2020-07-23", "2020-07-20"), ("2020-07-23", "2020-07-21"), ("2020-07-23", "2020-07-22"),
+    ("2020-07-24", "2020-07-21"), ("2020-07-24", "2020-07-22"), ("2020-07-24", "2020-07-23"),
+    ("2020-07-25", "2020-07-22"), ("2020-07-25", "2020-07-23"), ("2020-07-25", "2020-07-24"),
+)
 CONTACT = "('addf', 'success', 'p_success')"
 SUCCESS = "('success', 'p_success')"
-QTYPES = "('addf', 'success')"
+BANDS = range(1, C.N_BANDS + 1)
+PLACES = range(1, C.PAGE_SIZE + 1)
+#: entity -> key column
+QUARTILE_KEYS = {"job": "job_id", "boss": "boss_id", "cp": "cp"}
+PROFILE_LIST = ", ".join(C.PROFILE_COLUMNS)
+WEEKDAY = "CAST(dayofweek(list_time) AS INTEGER)"
 
 
 def _in(days) -> str:
     return "(" + ", ".join(f"'{d}'" for d in days) + ")"
 
 
-def _band_cond(b: int, col: str = "ctr_score") -> str:
-    e = C.BAND_EDGES
-    if b == 1:
-        return f"{col} < {e[0]}"
-    if b == len(e) + 1:
-        return f"{col} >= {e[-1]}"
-    return f"{col} < {e[b - 1]} AND {col} >= {e[b - 2]}"
-
-
-INFO = f"""info AS (
-  SELECT a.boss_id, a.job_id, a.geek_id, a.exp_id, a.sessionid, a.page, a.rank,
-         b.list_time, b.boss_position, b.boss_city, a.ctcvr_score, a.ctr_score, b.deal_type, a.ds
-  FROM (SELECT DISTINCT * FROM rank_scores) a
-  JOIN (SELECT boss_id, job_id, geek_id, exp_id, sessionid, deal_type, boss_position, boss_city,
-               list_time, ds FROM impressions) b
-    ON a.boss_id = b.boss_id AND a.job_id = b.job_id AND a.geek_id = b.geek_id
-   AND a.exp_id = b.exp_id AND a.sessionid = b.sessionid AND a.ds = b.ds)"""
-
-
-def _pct_table(b: int, t: str = T, sfx: str = "") -> str:
-    thres = C.BAND_MIN_COUNT[b - 1]
-    back = dates.lookback_days(t, C.LOOKBACK_DAYS)
-    return f"""pct{b}{sfx} AS (
-  SELECT sum(CASE WHEN deal_type IN {CONTACT} THEN 1 ELSE 0 END) / count(1) AS addf_ratio,
-         cp, CAST(count(1) AS BIGINT) AS num
-  FROM (SELECT concat_ws('-', boss_city, boss_position) AS cp, deal_type, ctr_score
-        FROM info WHERE ds IN {_in(back)} AND {_band_cond(b)}) a
-  GROUP BY cp HAVING count(1) > {thres})"""
-
-
-def pct_tables(t: str = T, sfx: str = "") -> str:
-    return ",\n".join(_pct_table(b, t, sfx) for b in range(1, C.N_BANDS + 1))
-
-
-PCT = pct_tables()
-
-
-def _quart(entity: str, key_expr: str, key: str, t: str = T, sfx: str = "") -> str:
-    qs = ",\n         ".join(
-        f"quantile_disc(ctr_score, {p}) AS addf_{entity}_score_q{i}_3days"
-        for i, p in enumerate((0.25, 0.5, 0.75), start=1))
-    back = dates.lookback_days(t, C.LOOKBACK_DAYS)
-    return f"""q_{entity}{sfx} AS (
-  SELECT {key}, {qs}, CAST(count(1) AS BIGINT) AS num
-  FROM (SELECT {key_expr} AS {key}, ctr_score FROM info
-        WHERE ds IN {_in(back)} AND deal_type IN {QTYPES}) a
-  GROUP BY {key})"""
-
-
-def quart_tables(t: str = T, sfx: str = "") -> str:
-    return ",\n".join([_quart("job", "job_id", "job_id", t, sfx), _quart("boss", "boss_id", "boss_id", t, sfx),
-                       _quart("cp", "concat_ws('-', boss_city, boss_position)", "cp", t, sfx)])
-
-
-QUARTS = quart_tables()
-
-
-def _hist() -> str:
-    return ",\n            ".join(
-        f"CAST(sum(CASE WHEN {_band_cond(b, 'addf_score')} THEN 1 ELSE 0 END) AS BIGINT) AS pct{b}"
-        for b in range(1, C.N_BANDS + 1))
-
-
-def sample_table(t: str = T, sfx: str = "") -> str:
-    return f"""sample{sfx} AS (
-  SELECT boss_id, job_id, page, sessionid, list_hour, date, weekday, city, pos, cp,
-         {', '.join(f'pct{b}' for b in range(1, C.N_BANDS + 1))},
-         addf_num, suc_num, num, avg_addf_score, avg_suc_score,
-         {', '.join(f'addf_score_list[{i}] AS addf_{i}' for i in range(1, 16))},
-         {', '.join(f'suc_score_list[{i}] AS suc_{i}' for i in range(1, 16))},
-         '{t}' AS ds, _addf_s6, _suc_s6, _suc_n
-  FROM (
-    SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos,
-           concat_ws('-', city, pos) AS cp,
-           CAST(sum(addf_deal_type) AS BIGINT) AS addf_num,
-           CAST(sum(suc_deal_type) AS BIGINT) AS suc_num,
-           list_sort(list(addf_score) FILTER (WHERE addf_score IS NOT NULL)) AS addf_score_list,
-           list_sort(list(suc_score) FILTER (WHERE suc_score IS NOT NULL)) AS suc_score_list,
-           avg(addf_score) AS avg_addf_score,
-           avg(suc_score) AS avg_suc_score,
-           {_hist()},
-           CAST(count(1) AS BIGINT) AS num,
-           sum(CAST(round(addf_score * 1000000) AS BIGINT)) AS _addf_s6,
-           sum(CAST(round(suc_score * 1000000) AS BIGINT)) AS _suc_s6,
-           count(suc_score) AS _suc_n
-    FROM (
-      SELECT boss_id, job_id, sessionid, page, ctr_score AS addf_score, ctcvr_score AS suc_score,
-             CAST(list_time AS DATE) AS date,
-             CAST(hour(list_time) AS INTEGER) AS list_hour,
-             CAST((date_diff('day', DATE '1920-01-01', CAST(list_time AS DATE)) - 3) % 7 AS INTEGER) AS weekday,
-             CASE WHEN deal_type IN {CONTACT} THEN 1 ELSE 0 END AS addf_deal_type,
-             CASE WHEN deal_type IN {SUCCESS} THEN 1 ELSE 0 END AS suc_deal_type,
-             boss_city AS city, boss_position AS pos
-      FROM info WHERE ctr_score >= 0 AND ds = '{t}') a
-    GROUP BY boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos
-    HAVING count(1) = {C.PAGE_SIZE}) b)"""
-
-
-SAMPLE = sample_table()
-
-PROFILE_LIST = ", ".join(C.PROFILE_COLUMNS)
-
-def profile_table(t: str = T, sfx: str = "") -> str:
-    return f"""prof{sfx} AS (
-  SELECT DISTINCT boss_id, job_id, sessionid, page, rank, CAST(list_time AS DATE) AS date,
-         {PROFILE_LIST}
-  FROM impressions WHERE ds = '{t}' AND source = '{C.PROFILE_SOURCE}' AND rank = '{C.PROFILE_RANK}')"""
+def _band(col: str = "ctr_score") -> str:
+    """1 plus the number of edges that the score reaches; NULL and NaN have no band."""
+    return (f"CASE WHEN NOT isnan({col}) THEN CAST(1 + "
+            + " + ".join(f"CAST({col} >= {e} AS INTEGER)" for e in C.BAND_EDGES) + " AS INTEGER) END")
+
+
+def _quartile(entity: str, i: int) -> str:
+    return f"addf_{entity}_score_q{i}_3days"
+
+
+LABELLED = """scores_once AS (SELECT DISTINCT * FROM rank_scores),
+labelled AS (
+  SELECT boss_id, job_id, geek_id, exp_id, sessionid, s.page, s.rank, o.list_time, o.boss_position, o.boss_city,
+         s.ctcvr_score, s.ctr_score, o.deal_type, ds
+  FROM scores_once AS s JOIN impressions AS o USING (boss_id, job_id, geek_id, exp_id, sessionid, ds))"""
+
+
+def history(days) -> str:
+    """Labelled rows by the target day that looks back to them."""
+    pairs = ", ".join(f"('{t}', '{d}')" for t, d in SERVED if t in days)
+    return f"""served(ds, source_day) AS (VALUES {pairs}),
+history AS (
+  SELECT served.ds, job_id, boss_id, concat_ws('-', boss_city, boss_position) AS cp, deal_type, ctr_score, {_band()} AS band
+  FROM labelled JOIN served ON labelled.ds = source_day)"""
+
+
+RATIOS = f"""ratios AS (
+  SELECT ds, cp, band, count(*) FILTER (deal_type IN {CONTACT}) / count(*) AS addf_ratio, CAST(count(*) AS BIGINT) AS num
+  FROM history WHERE band IS NOT NULL GROUP BY ds, cp, band
+  HAVING count(*) > list_extract({list(C.BAND_MIN_COUNT)}, band)),
+segment AS (
+  SELECT ds, cp, {", ".join(f"max(addf_ratio) FILTER (band = {b}) AS pct{b}_ratio, max(num) FILTER (band = {b}) AS pct{b}_cnt"
+                            for b in BANDS)}
+  FROM ratios GROUP BY ds, cp)"""
+
+# One grouping over three key sets; grouping() tells which key a row belongs to.
+QUARTILES = """quartiles AS (
+  SELECT ds, job_id, boss_id, cp, grouping(job_id, boss_id, cp) AS without,
+         quantile_disc(ctr_score, [0.25, 0.5, 0.75]) FILTER (NOT isnan(ctr_score)) AS q, CAST(count(*) AS BIGINT) AS n
+  FROM history WHERE deal_type IN ('addf', 'success')
+  GROUP BY GROUPING SETS ((ds, job_id), (ds, boss_id), (ds, cp))),
+""" + ",\n".join(
+    f"q_{e} AS (SELECT ds, {key}, {', '.join(f'q[{i}] AS {_quartile(e, i)}' for i in (1, 2, 3))}, "
+    f"n AS {e}_addf_num_3days FROM quartiles WHERE without = {without})"
+    for (e, key), without in zip(QUARTILE_KEYS.items(), (3, 5, 6)))
+
+
+def sample(days) -> str:
+    """Complete pages, with their scores as sorted lists and then as columns."""
+    counts = ", ".join(f"CAST(count(*) FILTER (band = {b}) AS BIGINT) AS pct{b}" for b in BANDS)
+    return f"""shown AS (
+  SELECT *, {_band()} AS band FROM labelled WHERE ctr_score >= 0 AND NOT isnan(ctr_score) AND ds IN {_in(days)}),
+page_lists AS (
+  SELECT boss_id, job_id, page, sessionid, ds, CAST(hour(list_time) AS INTEGER) AS list_hour,
+         CAST(list_time AS DATE) AS date, {WEEKDAY} AS weekday, boss_city AS city, boss_position AS pos,
+         {counts}, CAST(count(*) AS BIGINT) AS num,
+         CAST(count(*) FILTER (deal_type IN {CONTACT}) AS BIGINT) AS addf_num,
+         CAST(count(*) FILTER (deal_type IN {SUCCESS}) AS BIGINT) AS suc_num,
+         avg(ctr_score) AS avg_addf_score, avg(ctcvr_score) AS avg_suc_score,
+         list(ctr_score ORDER BY ctr_score) AS opens,
+         list(ctcvr_score ORDER BY ctcvr_score) FILTER (ctcvr_score IS NOT NULL) AS wins
+  FROM shown GROUP BY ALL HAVING count(*) = {C.PAGE_SIZE}),
+sample AS (
+  SELECT * EXCLUDE (opens, wins), concat_ws('-', city, pos) AS cp,
+         {", ".join(f"opens[{n}] AS addf_{n}, wins[{n}] AS suc_{n}" for n in PLACES)}
+  FROM page_lists)"""
+
+
+def profiles(days) -> str:
+    return f"""prof AS (
+  SELECT DISTINCT boss_id, job_id, sessionid, page, rank, CAST(list_time AS DATE) AS date, {PROFILE_LIST}, ds
+  FROM impressions WHERE source = '{C.PROFILE_SOURCE}' AND rank = '{C.PROFILE_RANK}' AND ds IN {_in(days)})"""
 
 
-PROFILES = profile_table()
-
 BLOCKS = "block AS (SELECT DISTINCT boss_id, job_id, business FROM job_blocks)"
 
 
-def _nvl3(i: int) -> str:
-    return (f"coalesce(addf_job_score_q{i}_3days, coalesce(addf_boss_score_q{i}_3days, "
-            f"addf_cp_score_q{i}_3days))")
+def _reference(i: int) -> str:
+    """The job's quartile, else the boss's, else the segment's."""
+    return "coalesce(" + ", ".join(_quartile(e, i) for e in QUARTILE_KEYS) + ")"
 
 
 def _ladder(i: int) -> str:
-    q = _nvl3(i)
-    lines = [f"WHEN {q} IS NULL THEN 0"]
-    for n in range(15, 0, -1):
-        lines.append(f"WHEN addf_{n} < {q} THEN {15 - n}")
-    return "CASE " + " ".join(lines) + " ELSE 15 END"
-
-
-def _page_base(col: str = "a.page") -> str:
-    parts = " ".join(f"WHEN {col} <= {lim} THEN {w}" for lim, w in C.PAGE_WEIGHT_STEPS)
-    return f"CAST(CASE {parts} ELSE {C.PAGE_WEIGHT_DEFAULT} END AS DOUBLE)"
+    """How many of the page's scores reach the reference quartile."""
+    reach = " + ".join(f"CAST(addf_{n} >= {_reference(i)} AS INTEGER)" for n in PLACES)
+    return f"CAST(coalesce({reach}, 0) AS INTEGER)"
 
 
 def _strict_ratio(i: int) -> str:
-    return (f"coalesce(j.addf_job_score_q{i}_3days, bos.addf_boss_score_q{i}_3days) "
-            f"/ nullif(cipo.addf_cp_score_q{i}_3days, 0) - 1")
-
-
-TRAIN_SELECT = (
-    "a.boss_id, a.job_id, a.sessionid, a.page, list_hour, a.date, weekday, city, pos, a.cp, a.num, "
-    + ", ".join(f"pct{b}" for b in range(1, 9)) + ", "
-    + ", ".join(f"f_pct{b}.addf_ratio AS pct{b}_ratio" for b in range(1, 9)) + ", "
-    "addf_num, suc_num, "
-    # round(avg, 3) half-up, in exact integer micro-units
-    "CAST((2 * _addf_s6 + a.num * 1000) // (2 * a.num * 1000) AS DOUBLE) / 1000 AS avg_addf_score, "
-    "CASE WHEN _suc_n > 0 THEN CAST((2 * _suc_s6 + _suc_n * 1000) // (2 * _suc_n * 1000) AS DOUBLE) / 1000 "
-    "END AS avg_suc_score, "
-    + ", ".join(f"suc_{i}" for i in range(1, 16)) + ", "
-    + ", ".join(f"addf_{i}" for i in range(1, 16)) + ", "
-    "j.addf_job_score_q1_3days, j.addf_job_score_q2_3days, j.addf_job_score_q3_3days, "
-    "bos.addf_boss_score_q1_3days, bos.addf_boss_score_q2_3days, bos.addf_boss_score_q3_3days, "
-    "cipo.addf_cp_score_q1_3days, cipo.addf_cp_score_q2_3days, cipo.addf_cp_score_q3_3days, "
-    + ", ".join(f"{_strict_ratio(i)} AS q{i}_strict" for i in (1, 2, 3)) + ", "
-    + ", ".join(f"CAST({_ladder(i)} AS INTEGER) AS q{i}_base" for i in (1, 2, 3)) + ", "
-    "j.num AS job_addf_num_3days, bos.num AS boss_addf_num_3days, cipo.num AS cp_addf_num_3days, "
-    f"{_page_base()} AS page_base, "
-    "CAST(coalesce(block.business, 0) AS INTEGER) AS business_type, "
-    + PROFILE_LIST + ", a.ds"
-)
+    return (f"coalesce({_quartile('job', i)}, {_quartile('boss', i)}) / nullif({_quartile('cp', i)}, 0) - 1")
 
-def train_from(sfx: str = "") -> str:
-    return (
-        f"FROM sample{sfx} a "
-        + " ".join(f"LEFT JOIN (SELECT addf_ratio, cp FROM pct{b}{sfx}) f_pct{b} ON a.cp = f_pct{b}.cp"
-                   for b in range(1, 9))
-        + " LEFT JOIN block ON a.boss_id = block.boss_id AND a.job_id = block.job_id"
-        f" LEFT JOIN q_job{sfx} j ON a.job_id = j.job_id"
-        f" LEFT JOIN q_boss{sfx} bos ON a.boss_id = bos.boss_id"
-        f" LEFT JOIN q_cp{sfx} cipo ON concat_ws('-', a.city, a.pos) = cipo.cp"
-        f" LEFT JOIN prof{sfx} b ON a.boss_id = b.boss_id AND a.job_id = b.job_id"
-        " AND a.sessionid = b.sessionid AND a.page = b.page AND a.date = b.date"
-    )
 
+def _page_base() -> str:
+    parts = " ".join(f"WHEN page <= {last} THEN {weight}" for last, weight in C.PAGE_WEIGHT_STEPS)
+    return f"CAST(CASE {parts} ELSE {C.PAGE_WEIGHT_DEFAULT} END AS DOUBLE)"
 
-TRAIN_FROM = train_from()
 
+def _mean3(prefix: str) -> str:
+    """Mean of a page's scores at 3 decimals, half up, in whole millionths."""
+    values = "[" + ", ".join(f"{prefix}_{n}" for n in PLACES) + "]"
+    n, total = f"list_count({values})", f"list_sum([CAST(round(v * 1000000) AS BIGINT) FOR v IN {values}])"
+    return f"CASE WHEN {n} > 0 THEN CAST((2 * {total} + {n} * 1000) // (2 * {n} * 1000) AS DOUBLE) / 1000 END"
 
-def train_table(sfx: str = "") -> str:
-    return f"train{sfx} AS (SELECT {TRAIN_SELECT} {train_from(sfx)})"
 
+WITH_QUARTILES = ("FROM sample LEFT JOIN q_job USING (ds, job_id) LEFT JOIN q_boss USING (ds, boss_id) "
+                  "LEFT JOIN q_cp USING (ds, cp)")
 
-TRAIN = train_table()
+JOINED = (
+    "joined AS (SELECT sample.* REPLACE (" + _mean3("addf") + " AS avg_addf_score, " + _mean3("suc") + " AS avg_suc_score), "
+    + ", ".join(f"pct{b}_ratio" for b in BANDS) + ", "
+    + ", ".join(f"{_quartile(e, i)}" for e in QUARTILE_KEYS for i in (1, 2, 3)) + ", "
+    + ", ".join(f"{e}_addf_num_3days" for e in QUARTILE_KEYS) + ", "
+    + ", ".join(f"{_strict_ratio(i)} AS q{i}_strict, {_ladder(i)} AS q{i}_base" for i in (1, 2, 3)) + ", "
+    + f"{_page_base()} AS page_base, CAST(coalesce(business, 0) AS INTEGER) AS business_type, {PROFILE_LIST} "
+    + WITH_QUARTILES
+    + " LEFT JOIN segment USING (ds, cp) LEFT JOIN block USING (boss_id, job_id)"
+    " LEFT JOIN prof USING (boss_id, job_id, sessionid, page, date, ds))")
 
 
-def _class(i: int, test: str) -> str:
-    lo, hi = C.STRICT_LIMITS[f"q{i}"]
-    return (f"CAST(CASE WHEN {test} < {lo} THEN 1 WHEN _r{i} < {hi} THEN 2 "
-            f"WHEN _r{i} > {hi} THEN 3 ELSE 0 END AS INTEGER)")
+def _class(i: int, low: int | None = None) -> str:
+    """Class of a strictness ratio; ``low`` names the ratio that the first limit tests."""
+    first, second = C.STRICT_LIMITS[f"q{i}"]
+    return (f"CAST(CASE WHEN q{low or i}_strict < {first} THEN 1 WHEN q{i}_strict < {second} THEN 2 "
+            f"WHEN q{i}_strict > {second} THEN 3 ELSE 0 END AS INTEGER)")
 
 
-def _final_expr(c: str) -> str:
-    if c.startswith("multi_pct"):
-        b = c[len("multi_pct"):]
-        return f"coalesce(pct{b} * pct{b}_ratio, 0) AS {c}"
-    if c == "pct_sum":
-        return " + ".join(f"coalesce(pct{b} * pct{b}_ratio, 0)" for b in range(1, 9)) + " AS pct_sum"
-    if c == "q1_strict":
-        return _class(1, "_r1") + " AS q1_strict"
-    if c == "q2_strict":
-        return _class(2, "_r2") + " AS q2_strict"
-    if c == "q3_strict":
-        # the original's first q3 branch tests the q1 ratio
-        return _class(3, "_r1") + " AS q3_strict"
-    return c
+# The third class tests the first ratio, as the job does.
+CLASSES = {1: _class(1), 2: _class(2), 3: _class(3, 1)}
 
 
-def final_table(sfx: str = "") -> str:
-    return (f"final{sfx} AS (SELECT " + ", ".join(_final_expr(c) for c in C.FINAL_COLUMNS)
-            + f", ds FROM (SELECT *, q1_strict AS _r1, q2_strict AS _r2, q3_strict AS _r3 FROM train{sfx}) t)")
+def _product(b: int) -> str:
+    return f"coalesce(pct{b} * pct{b}_ratio, 0)"
 
 
-FINAL = final_table()
+PRODUCTS = ", ".join(f"{_product(b)} AS multi_pct{b}" for b in BANDS)
+PCT_SUM = " + ".join(_product(b) for b in BANDS) + " AS pct_sum"
+FINAL = (f"final AS (SELECT {', '.join(C.FINAL_COLUMNS)}, ds FROM (SELECT * REPLACE ("
+         + ", ".join(f"{c} AS q{i}_strict" for i, c in CLASSES.items()) + f"), {PRODUCTS}, {PCT_SUM} FROM joined))")
 
 
-def day_chain(t: str, sfx: str) -> list[str]:
-    """The literal per-day chain (band tables, quartiles, pages, profiles, rows) for target ``t``."""
-    return [pct_tables(t, sfx), quart_tables(t, sfx), sample_table(t, sfx), profile_table(t, sfx),
-            train_table(sfx), final_table(sfx)]
+def joined_chain(days=(T,)) -> list[str]:
+    return [LABELLED, history(days), RATIOS, QUARTILES, sample(days), profiles(days), BLOCKS, JOINED]
 
 
-def backfill_chain(days) -> list[str]:
-    ctes = BASE + [BLOCKS]
-    for i, d in enumerate(days):
-        ctes += day_chain(d, f"_{i}")
-    union = " UNION ALL ".join(f"SELECT * FROM final_{i}" for i in range(len(days)))
-    return ctes + [f"final_all AS ({union})"]
+def final_chain(days=(T,)) -> list[str]:
+    return [*joined_chain(days), FINAL]
 
-# CTE chains
-BASE = [INFO]
-FEATURES = BASE + [PCT, QUARTS]
-PAGES = BASE + [SAMPLE]
-TRAIN_CHAIN = BASE + [PCT, QUARTS, SAMPLE, PROFILES, BLOCKS, TRAIN]
-FINAL_CHAIN = TRAIN_CHAIN + [FINAL]
+
+# CTE chains of the target day
+FEATURES = [LABELLED, history((T,)), RATIOS, QUARTILES]
+PAGES = [LABELLED, sample((T,))]
 
 
 def with_(ctes, body: str) -> str:
@@ -270,42 +205,18 @@ def with_(ctes, body: str) -> str:
 # ---------------------------------------------------------------- per-query SQL
 
 ROW_KEYS = "boss_id, job_id, geek_id, exp_id, sessionid, ds"
-PAGE_KEYS = "a.boss_id, a.job_id, a.sessionid, a.page, a.list_hour, a.date, a.weekday, a.city, a.pos, a.ds"
-WEEKDAY = "CAST((date_diff('day', DATE '1920-01-01', CAST(list_time AS DATE)) - 3) % 7 AS INTEGER)"
-
-
-def _band_case(col: str = "ctr_score") -> str:
-    return "CASE " + " ".join(f"WHEN {_band_cond(b, col)} THEN {b}" for b in range(1, C.N_BANDS + 1)) + " END"
-
-
-def _pct_union() -> str:
-    return " UNION ALL ".join(f"SELECT '{T}' AS ds, cp, {b} AS band, addf_ratio, num FROM pct{b}"
-                              for b in range(1, 9))
-
-
-def _wide() -> str:
-    cps = " UNION ".join(f"SELECT cp FROM pct{b}" for b in range(1, 9))
-    cols = ", ".join(f"pct{b}.addf_ratio AS pct{b}_ratio, pct{b}.num AS pct{b}_cnt" for b in range(1, 9))
-    joins = " ".join(f"LEFT JOIN pct{b} ON cps.cp = pct{b}.cp" for b in range(1, 9))
-    return f"SELECT '{T}' AS ds, cps.cp, {cols} FROM ({cps}) cps {joins}"
-
-
-QUART_JOINS = ("FROM sample a LEFT JOIN q_job j ON a.job_id = j.job_id "
-               "LEFT JOIN q_boss bos ON a.boss_id = bos.boss_id "
-               "LEFT JOIN q_cp cipo ON a.cp = cipo.cp")
+PAGE_KEYS = "boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos, ds"
 
 
 def _report(table: str = "final") -> str:
-    lo, hi = C.REPORT_RANGE
-    parts = []
-    for c in C.REPORT_COLUMNS:
-        parts.append(
-            f"(SELECT '{c}' AS feature, q[1] AS q25, q[2] AS q50, q[3] AS q75, q[4] AS q90, round(std, 9) AS std, "
-            "addf_num, num "
-            f"FROM (SELECT quantile_disc({c}, [0.25, 0.5, 0.75, 0.9]) AS q, stddev_pop({c}) AS std, addf_num, "
-            f"CAST(count(1) AS BIGINT) AS num FROM {table} WHERE ds <= '{hi}' AND ds >= '{lo}' "
-            f"GROUP BY addf_num) a ORDER BY addf_num LIMIT {C.REPORT_LIMIT})")
-    return " UNION ALL ".join(parts)
+    """Long table of the reported columns, grouped by column and label; the smallest labels of each."""
+    lo, hi = "2020-07-14", "2020-07-26"
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, addf_num FROM {table} WHERE ds BETWEEN '{lo}' AND '{hi}'"
+                              for c in C.REPORT_COLUMNS)
+    return (f"SELECT feature, q[1] AS q25, q[2] AS q50, q[3] AS q75, q[4] AS q90, round(std, 9) AS std, addf_num, num FROM ("
+            f"SELECT feature, addf_num, quantile_disc(value, {list(C.REPORT_PROBS)}) AS q, stddev_pop(value) AS std, "
+            f"CAST(count(*) AS BIGINT) AS num FROM ({long}) GROUP BY feature, addf_num "
+            f"QUALIFY row_number() OVER (PARTITION BY feature ORDER BY addf_num) <= {C.REPORT_LIMIT})")
 
 
 def _text_select() -> str:
@@ -332,18 +243,19 @@ TEXT = f"text AS (SELECT {_text_select()}, ds FROM final)"
 FILLED = ("filled AS (SELECT " + ", ".join(_filled(c) for c in _features_in_layout())
           + ", sessionid, page, job_id, ds FROM text)")
 MODEL_KEYS = "boss_id, job_id, sessionid, page, ds"
-MODEL_CHAIN = FINAL_CHAIN + [TEXT, FILLED]
+# The training text and the model read every back-filled day.
+TEXT_CHAIN = [*final_chain(ALL_DAYS), TEXT]
+MODEL_CHAIN = [*TEXT_CHAIN, FILLED]
 
 
 def _bucket(c: str) -> str:
     lim = C.BUCKET_LIMITS[c]
-    return "CAST(" + " + ".join(f"(CASE WHEN {c} >= {b} THEN 1 ELSE 0 END)" for b in lim) + f" AS INTEGER) AS {c}_bucket"
+    return f"CAST(len([b FOR b IN {[float(x) for x in lim]} IF b <= {c}]) AS INTEGER) AS {c}_bucket"
 
 
 def _vocab(c: str) -> str:
     v = C.VOCABULARIES[c]
-    whens = " ".join(f"WHEN {c} = {x} THEN {i}" for i, x in enumerate(v))
-    return f"CAST(CASE {whens} ELSE {len(v)} END AS INTEGER) AS {c}_index"
+    return f"CAST(coalesce(nullif(list_position({list(v)}, {c}), 0) - 1, {len(v)}) AS INTEGER) AS {c}_index"
 
 
 def _hash(c: str, n: int) -> str:
@@ -351,12 +263,27 @@ def _hash(c: str, n: int) -> str:
             f"AS INTEGER) AS {c}_hash")
 
 
+def _encoded() -> str:
+    """Width, non-zero slots and sum of the assembled vector: plain numbers, then one slot for each one-hot.
+
+    Values outside a vocabulary have no slot.
+    """
+    plain = [*C.NUMERIC_FEATURES, *(c for c in C.ADDF_FEATURES if c != "avg_addf_score")]
+    known = " + ".join(f"CAST({c} IN ({', '.join(map(str, C.VOCABULARIES[c]))}) AS INTEGER)" for c in C.CATEGORICAL_FEATURES)
+    always = len(C.BUCKET_LIMITS) + len(C.HASH_SIZES)
+    width = (len(plain) + sum(len(x) + 1 for x in C.BUCKET_LIMITS.values())
+             + sum(len(C.VOCABULARIES[c]) for c in C.CATEGORICAL_FEATURES) + sum(C.HASH_SIZES.values()))
+    return (f"SELECT {MODEL_KEYS}, CAST({width} AS INTEGER) AS n_features, "
+            f"CAST({' + '.join(f'CAST({c} <> 0 AS INTEGER)' for c in plain)} + {known} + {always} AS INTEGER) AS nnz, "
+            f"round({' + '.join(plain)} + {known} + {always}, 6) AS feature_sum FROM filled")
+
+
 def oracle_sql() -> dict[str, str]:
-    lo, hi = C.REPORT_RANGE
+    lo, hi = "2020-07-14", "2020-07-26"
     q = {
         "scan_day": with_([], f"SELECT * FROM rank_scores WHERE ds = '{T}'"),
         "scan_lookback": with_([], f"SELECT * FROM rank_scores WHERE ds IN {_in(LOOKBACK)}"),
-        "scan_range": with_([], f"SELECT * FROM rank_scores WHERE ds <= '{hi}' AND ds >= '{lo}'"),
+        "scan_range": with_([], f"SELECT * FROM rank_scores WHERE ds BETWEEN '{lo}' AND '{hi}'"),
         "scan_dim": with_([], "SELECT * FROM job_blocks"),
         "distinct_rows": with_([], "SELECT DISTINCT * FROM job_blocks"),
         "overwrite_day": with_([], "SELECT * FROM rank_scores"),
@@ -366,76 +293,52 @@ def oracle_sql() -> dict[str, str]:
         "composite_key": with_([], f"SELECT {ROW_KEYS}, concat_ws('-', boss_city, boss_position) AS cp "
                                    "FROM impressions"),
         "outcome_flags": with_([], f"SELECT {ROW_KEYS}, deal_type, "
-                                   f"CASE WHEN deal_type IN {CONTACT} THEN 1 ELSE 0 END AS addf_flag, "
-                                   f"CASE WHEN deal_type IN {SUCCESS} THEN 1 ELSE 0 END AS suc_flag "
+                                   f"CAST(coalesce(deal_type IN {CONTACT}, false) AS INTEGER) AS addf_flag, "
+                                   f"CAST(coalesce(deal_type IN {SUCCESS}, false) AS INTEGER) AS suc_flag "
                                    "FROM impressions"),
-        "score_band": with_([], f"SELECT {ROW_KEYS}, ctr_score, CAST({_band_case()} AS INTEGER) AS band "
-                                "FROM rank_scores"),
-        "label_impressions": with_(BASE, "SELECT * FROM info"),
-        "band_ratio": with_(FEATURES, _pct_union()),
-        "band_ratio_wide": with_(FEATURES, _wide()),
-        "quartiles_by_job": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_job"),
-        "quartiles_by_boss": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_boss"),
-        "quartiles_by_cp": with_(FEATURES, f"SELECT '{T}' AS ds, * FROM q_cp"),
-        "page_samples": with_(PAGES, "SELECT * EXCLUDE (_addf_s6, _suc_s6, _suc_n, avg_addf_score, avg_suc_score), "
-                                     "round(avg_addf_score, 9) AS avg_addf_score, "
-                                     "round(avg_suc_score, 9) AS avg_suc_score FROM sample"),
-        "page_histogram": with_(PAGES, "SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, "
-                                       "city, pos, " + ", ".join(f"pct{b}" for b in range(1, 9))
-                                + ", num, ds FROM sample"),
-        "ratio_join": with_(FEATURES + [SAMPLE],
-                            f"SELECT {PAGE_KEYS}, "
-                            + ", ".join(f"f_pct{b}.addf_ratio AS pct{b}_ratio" for b in range(1, 9))
-                            + " FROM sample a "
-                            + " ".join(f"LEFT JOIN (SELECT addf_ratio, cp FROM pct{b}) f_pct{b} "
-                                       f"ON a.cp = f_pct{b}.cp" for b in range(1, 9))),
+        "score_band": with_([], f"SELECT {ROW_KEYS}, ctr_score, {_band()} AS band FROM rank_scores"),
+        "label_impressions": with_([LABELLED], "SELECT * FROM labelled"),
+        "band_ratio": with_(FEATURES, "SELECT * FROM ratios"),
+        "band_ratio_wide": with_(FEATURES, "SELECT * FROM segment"),
+        **{f"quartiles_by_{e}": with_(FEATURES, f"SELECT * RENAME ({e}_addf_num_3days AS num) FROM q_{e}")
+           for e in QUARTILE_KEYS},
+        "page_samples": with_(PAGES, "SELECT * REPLACE (round(avg_addf_score, 9) AS avg_addf_score, "
+                                     "round(avg_suc_score, 9) AS avg_suc_score) FROM sample"),
+        "page_histogram": with_(PAGES, f"SELECT {PAGE_KEYS}, {', '.join(f'pct{b}' for b in BANDS)}, num FROM sample"),
+        "ratio_join": with_(FEATURES + [sample((T,))],
+                            f"SELECT {PAGE_KEYS}, {', '.join(f'pct{b}_ratio' for b in BANDS)} "
+                            "FROM sample LEFT JOIN segment USING (ds, cp)"),
         "block_join": with_(PAGES + [BLOCKS],
-                            f"SELECT {PAGE_KEYS}, CAST(coalesce(block.business, 0) AS INTEGER) AS business_type "
-                            "FROM sample a LEFT JOIN block ON a.boss_id = block.boss_id "
-                            "AND a.job_id = block.job_id"),
-        "profile_rows": with_([PROFILES], "SELECT * FROM prof"),
-        "profile_join": with_(PAGES + [PROFILES],
-                              f"SELECT {PAGE_KEYS}, {PROFILE_LIST} FROM sample a LEFT JOIN prof b "
-                              "ON a.boss_id = b.boss_id AND a.job_id = b.job_id AND a.sessionid = b.sessionid "
-                              "AND a.page = b.page AND a.date = b.date"),
-        "fallback_quantile": with_(FEATURES + [SAMPLE],
-                                   f"SELECT {PAGE_KEYS}, "
-                                   + ", ".join(f"{_nvl3(i)} AS q{i}_ref" for i in (1, 2, 3))
-                                   + " " + QUART_JOINS),
-        "strictness_ratio": with_(FEATURES + [SAMPLE],
-                                  f"SELECT {PAGE_KEYS}, "
-                                  + ", ".join(f"{_strict_ratio(i)} AS q{i}_strict" for i in (1, 2, 3))
-                                  + " " + QUART_JOINS),
-        "ladder_position": with_(FEATURES + [SAMPLE],
-                                 f"SELECT {PAGE_KEYS}, "
-                                 + ", ".join(f"CAST({_ladder(i)} AS INTEGER) AS q{i}_base" for i in (1, 2, 3))
-                                 + " " + QUART_JOINS),
-        "page_weight": with_(PAGES, f"SELECT {PAGE_KEYS}, {_page_base()} AS page_base FROM sample a"),
-        "joined_rows": with_(TRAIN_CHAIN, "SELECT * FROM train"),
-        "strictness_class": with_(TRAIN_CHAIN,
-                                  "SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos, ds, "
-                                  "business_type, "
-                                  + ", ".join(_class(i, "_r1" if i == 3 else f"_r{i}") + f" AS q{i}_class"
-                                              for i in (1, 2, 3))
-                                  + " FROM (SELECT *, q1_strict AS _r1, q2_strict AS _r2, q3_strict AS _r3 "
-                                    "FROM train) t"),
-        "expected_contacts": with_(TRAIN_CHAIN,
-                                   "SELECT boss_id, job_id, sessionid, page, list_hour, date, weekday, city, pos, "
-                                   "ds, business_type, "
-                                   + ", ".join(_final_expr(f"multi_pct{b}") for b in range(1, 9))
-                                   + ", " + _final_expr("pct_sum") + " FROM train"),
-        "final_rows": with_(FINAL_CHAIN, "SELECT * FROM final"),
-        "final_rows_backfill": with_(backfill_chain(DAYS), "SELECT * FROM final_all"),
-        "threshold_report": with_(backfill_chain(DAYS), _report("final_all")),
-        "tsv_roundtrip": with_(FINAL_CHAIN + [TEXT], "SELECT * FROM text"),
-        "read_days_existing": with_(FINAL_CHAIN, f"SELECT boss_id, job_id, sessionid, page, ds, "
-                                                 f"'{T}' AS days_found FROM final"),
-        "feature_select": with_(FINAL_CHAIN + [TEXT],
-                                "SELECT " + ", ".join(_features_in_layout()) + ", ds FROM text"),
-        "fill_defaults": with_(FINAL_CHAIN + [TEXT],
-                               "SELECT " + ", ".join(_filled(c) for c in _features_in_layout()) + ", ds FROM text"),
-        "date_split": with_(BASE, f"SELECT {ROW_KEYS}, CASE WHEN ds = '{T}' THEN 'test' ELSE 'train' END AS split "
-                                  f"FROM info WHERE ds = '{T}' OR (ds >= '2020-07-22' AND ds <= '2020-07-23')"),
+                            f"SELECT {PAGE_KEYS}, CAST(coalesce(business, 0) AS INTEGER) AS business_type "
+                            "FROM sample LEFT JOIN block USING (boss_id, job_id)"),
+        "profile_rows": with_([profiles((T,))], "SELECT * EXCLUDE (ds) FROM prof"),
+        "profile_join": with_(PAGES + [profiles((T,))],
+                              f"SELECT {PAGE_KEYS}, {PROFILE_LIST} FROM sample "
+                              "LEFT JOIN prof USING (boss_id, job_id, sessionid, page, date, ds)"),
+        "fallback_quantile": with_(FEATURES + [sample((T,))],
+                                   f"SELECT {PAGE_KEYS}, {', '.join(f'{_reference(i)} AS q{i}_ref' for i in (1, 2, 3))} "
+                                   + WITH_QUARTILES),
+        "strictness_ratio": with_(FEATURES + [sample((T,))],
+                                  f"SELECT {PAGE_KEYS}, {', '.join(f'{_strict_ratio(i)} AS q{i}_strict' for i in (1, 2, 3))} "
+                                  + WITH_QUARTILES),
+        "ladder_position": with_(FEATURES + [sample((T,))],
+                                 f"SELECT {PAGE_KEYS}, {', '.join(f'{_ladder(i)} AS q{i}_base' for i in (1, 2, 3))} "
+                                 + WITH_QUARTILES),
+        "page_weight": with_(PAGES, f"SELECT {PAGE_KEYS}, {_page_base()} AS page_base FROM sample"),
+        "joined_rows": with_(joined_chain(), "SELECT * FROM joined"),
+        "strictness_class": with_(joined_chain(), f"SELECT {PAGE_KEYS}, business_type, "
+                                  + ", ".join(f"{c} AS q{i}_class" for i, c in CLASSES.items()) + " FROM joined"),
+        "expected_contacts": with_(joined_chain(), f"SELECT {PAGE_KEYS}, business_type, {PRODUCTS}, {PCT_SUM} FROM joined"),
+        "final_rows": with_(final_chain(), "SELECT * FROM final"),
+        "final_rows_backfill": with_(final_chain(ALL_DAYS), "SELECT * FROM final"),
+        "threshold_report": with_(final_chain(ALL_DAYS), _report()),
+        "tsv_roundtrip": with_(TEXT_CHAIN, "SELECT * FROM text"),
+        "read_days_existing": with_(TEXT_CHAIN, f"SELECT {MODEL_KEYS}, "
+                                    "'2020-07-22,2020-07-23,2020-07-24,2020-07-25' AS days_found FROM text"),
+        "feature_select": with_(TEXT_CHAIN, f"SELECT {', '.join(_features_in_layout())}, ds FROM text"),
+        "fill_defaults": with_(TEXT_CHAIN, f"SELECT {', '.join(_filled(c) for c in _features_in_layout())}, ds FROM text"),
+        "date_split": with_([LABELLED], f"SELECT {ROW_KEYS}, CASE ds WHEN '{T}' THEN 'test' ELSE 'train' END AS split "
+                                        f"FROM labelled WHERE ds IN ('2020-07-22', '2020-07-23', '{T}')"),
         "bucketize": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS}, "
                                         + ", ".join(_bucket(c) for c in C.BUCKET_LIMITS) + " FROM filled"),
         "vocab_onehot": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS}, "
@@ -443,11 +346,13 @@ def oracle_sql() -> dict[str, str]:
         "hash_bucket": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS}, "
                                           + ", ".join(_hash(c, n) for c, n in C.HASH_SIZES.items())
                                           + " FROM filled"),
-        "eval_metrics": with_(FINAL_CHAIN,
+        "encoded_rows": with_(MODEL_CHAIN, _encoded()),
+        "shuffled_rows": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS} FROM filled"),
+        "eval_metrics": with_(final_chain(ALL_DAYS),
                               "SELECT round(sqrt(avg(pow(pct_sum - addf_num, 2))), 9) AS rmse, "
                               "round(avg(abs(pct_sum - addf_num)), 9) AS mae, "
                               "round(avg(pow(pct_sum - addf_num, 2)), 9) AS mse, "
                               f"round(avg(pow(least(pct_sum, {C.PREDICTION_CAP}) - addf_num, 2)), 9) AS mse_clipped, "
-                              "CAST(count(1) AS BIGINT) AS n FROM final"),
+                              "CAST(count(*) AS BIGINT) AS n FROM final"),
     }
     return q

@@ -23,6 +23,8 @@ from . import daily
 
 T = TARGET_DAY
 LOOKBACK = dates.lookback_days(T, C.LOOKBACK_DAYS)
+#: days asked for when training text is read; some have no folder
+TEXT_RANGE = ("2020-07-20", "2020-07-26")
 PAGE_KEY_COLS = list(pages.PAGE_KEYS) + ["ds"]
 ROW_KEYS = ["boss_id", "job_id", "geek_id", "exp_id", "sessionid", "ds"]
 
@@ -94,14 +96,17 @@ class Ctx:
     def final(self) -> DataFrame:
         return finalize.final_rows(self.joined())
 
-    def text_rows(self) -> DataFrame:
-        """Final rows written as training text for the target day and read back."""
+    def text_base(self) -> str:
+        """Folder of the training text: final rows of every back-filled day, one folder a day."""
         def build():
             base = f"{shared_dir(self.spark)}/text/{uuid.uuid4().hex}"
-            text.write_text_day(self.final(), base, T)
+            text.write_text(q_final_rows_backfill(self.spark, self.sf_dir), base)
             return base
-        base = self._memo("text_dir", build)
-        return text.read_days(self.spark, base, DAYS[0], "2020-07-26")
+        return self._memo("text_dir", build)
+
+    def text_rows(self) -> DataFrame:
+        """The training text of all days, read back."""
+        return text.read_days(self.spark, self.text_base(), *TEXT_RANGE)
 
 
 def _ctx(spark, sf_dir) -> Ctx:
@@ -311,11 +316,8 @@ def q_tsv_roundtrip(spark, sf):
 
 def q_read_days_existing(spark, sf):
     c = _ctx(spark, sf)
-    c.text_rows()
-    base = c._parts["text_dir"]
-    days = text.existing_days(spark, base, "2020-07-20", "2020-07-26")
-    return text.read_days(spark, base, "2020-07-20", "2020-07-26").select(
-        "boss_id", "job_id", "sessionid", "page", "ds", F.lit(",".join(days)).alias("days_found"))
+    days = text.existing_days(spark, c.text_base(), *TEXT_RANGE)
+    return c.text_rows().select(*MODEL_KEYS, F.lit(",".join(days)).alias("days_found"))
 
 
 def q_feature_select(spark, sf):
@@ -357,28 +359,31 @@ def q_hash_bucket(spark, sf):
 def q_encoded_rows(spark, sf):
     rows = encode.index_rows(_model_rows(spark, sf))
     model = encode.encoding_pipeline().fit(rows)
-    out = model.transform(rows)
-    return encode.vector_summary(out, MODEL_KEYS)
+    out = encode.vector_summary(model.transform(rows), MODEL_KEYS)
+    return out.withColumn("feature_sum", F.round("feature_sum", 6))
 
 
-def _fit(spark, sf):
-    c = _ctx(spark, sf)
+#: mini-batches of half the rows, since there are few; 32 factors
+FIT = {"epochs": 5, "mini_batch_fraction": 0.5, "seed": 7}
 
+
+def _fit(spark, sf):
+    """Fitted on all days but the target day."""
     def build():
         rows = _model_rows(spark, sf)
-        return regress.fit(rows, label="addf_num", max_iter=20, factor_size=4, seed=7)
-    return c, c._memo("fm_model", build)
+        return regress.fit(rows.where(F.col("ds") != T), label="addf_num", **FIT)
+    return _ctx(spark, sf)._memo("fm_model", build)
 
 
 def q_fit_and_score(spark, sf):
-    c, model = _fit(spark, sf)
-    return regress.score(model, _model_rows(spark, sf)).select(*MODEL_KEYS, "addf_num", "prediction")
+    """Label and prediction of the held-out target day."""
+    rows = _model_rows(spark, sf).where(F.col("ds") == T)
+    return regress.score(_fit(spark, sf), rows).select(*MODEL_KEYS, "addf_num", "prediction")
 
 
 def q_score_rows(spark, sf):
-    c, model = _fit(spark, sf)
-    scored = regress.score(model, _model_rows(spark, sf))
-    return scored.select(*MODEL_KEYS, (F.col("prediction") >= 0).alias("non_negative"))
+    """Predictions of all days."""
+    return regress.score(_fit(spark, sf), _model_rows(spark, sf)).select(*MODEL_KEYS, "prediction")
 
 
 def q_shuffled_rows(spark, sf):
@@ -386,22 +391,15 @@ def q_shuffled_rows(spark, sf):
 
 
 def q_train_evaluate(spark, sf):
-    """Back-filled days as text -> fit on 07-23..07-24 -> metrics on the train and test splits."""
+    """Back-filled days as text -> fit on all days but the target -> metrics on the train and test splits."""
     from . import training
-    c = _ctx(spark, sf)
-
-    def write():
-        base = f"{shared_dir(spark)}/text/{uuid.uuid4().hex}"
-        text.write_text(q_final_rows_backfill(spark, sf), base)
-        return base
-    base = c._memo("backfill_text", write)
-    res = training.train(spark, base, DAYS[1], DAYS[2], T, f"{shared_dir(spark)}/models/{uuid.uuid4().hex}",
-                         max_iter=20, factor_size=4, seed=7)
-    return res.metrics.select("split", "n", (F.col("rmse") >= 0).alias("rmse_ok"))
+    res = training.train(spark, _ctx(spark, sf).text_base(), DAYS[0], DAYS[2], T,
+                         f"{shared_dir(spark)}/models/{uuid.uuid4().hex}", **FIT)
+    return _shown(res.metrics, ["rmse", "mae", "mse", "mse_clipped"])
 
 
 def q_eval_metrics(spark, sf):
-    f = _ctx(spark, sf).final()
+    f = q_final_rows_backfill(spark, sf)
     return _shown(metrics.eval_metrics(f, label="addf_num", prediction="pct_sum"),
                   ["rmse", "mae", "mse", "mse_clipped"])
 

@@ -7,11 +7,13 @@ lists or opens files of other days.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import dates
+from ..session import remove_path, shared_dir
 
 
 def _day(df: DataFrame, day_col: str) -> Column:
@@ -74,19 +76,29 @@ def read_table(spark, path: str, day_col: str = "ds") -> DataFrame:
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
+def _own_tables(spark) -> str:
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def clear_tables(spark) -> None:
+    """Delete the tables that this application wrote with ``materialize``.
+
+    Call it when the results built on them are written: until then Spark
+    reads them again, also after the loss of an executor.
+    """
+    remove_path(spark, _own_tables(spark))
+
+
 def materialize(spark, df: DataFrame, name: str, day_col: str | None = "ds",
                 rebalance: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the table instead of
     recomputing the joins behind it) and lets every later reader prune
-    columns and days, which an RDD checkpoint would not.
+    columns and days, which an RDD checkpoint would not.  The table is this
+    application's own and stays until ``clear_tables``.
     """
-    import uuid
-
-    from ..session import shared_dir
-
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_tables(spark)}/{name}-{uuid.uuid4().hex}"
     partitioned = bool(day_col) and day_col in df.columns
     if partitioned and rebalance:
         df = df.hint("rebalance", day_col)

@@ -47,16 +47,24 @@ def day_path(base: str, day: str) -> str:
     return f"{base.rstrip('/')}/ds={day}"
 
 
+def _writable(name: str):
+    refused = F.raise_error(F.lit(f"{name}: the text \\N stands for NULL"))
+    return F.when(F.col(name) == F.lit(NULL), refused).otherwise(F.col(name)).alias(name)
+
+
 def write_text(rows: DataFrame, base: str, days=None, day_col: str = "ds") -> None:
     """Write final rows as one text folder per day, in one job.
 
     Dynamic partition overwrite replaces only the days present in ``rows``
     (or in ``days``); other day folders stay.  The files hold the 190 layout
-    columns only: the day is the folder.
+    columns only: the day is the folder.  A string that equals the mark of
+    NULL is an error, since it would come back as NULL.
     """
     if days is not None:
         rows = rows.where(F.col(day_col).isin(list(days)))
-    out = to_text_layout(rows).select(*C.TEXT_COLUMNS, F.col(day_col).alias("ds"))
+    laid_out = to_text_layout(rows)
+    out = laid_out.select(*[_writable(c) if isinstance(laid_out.schema[c].dataType, StringType) else F.col(c)
+                            for c in C.TEXT_COLUMNS], F.col(day_col).alias("ds"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("sep", SEP).option("nullValue", NULL).option("header", False)
         .option("escape", '"')  # a quote inside a field is doubled, as its other readers expect

@@ -104,3 +104,15 @@ def test_rebalanced_day_write_has_fewer_files(spark, tmp_shared):
     reb = tables.materialize(spark, df, "reb", rebalance=True)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, reb.collect()))
     assert len(reb.inputFiles()) < len(plain.inputFiles())
+
+
+def test_clear_tables_removes_only_own_tables(spark, tmp_shared):
+    from pagefeatures.session import path_exists
+    kept = f"{tmp_shared}/other-{uuid.uuid4().hex}"
+    spark.range(3).write.parquet(kept)
+    mine = tables.materialize(spark, spark.range(3), "mine", day_col=None)
+    folder = mine.inputFiles()[0].rsplit("/", 1)[0]
+    # other tests' tables of this application may still be in use: remove this one the same way
+    assert f"/tables/{spark.sparkContext.applicationId}/" in folder and path_exists(spark, folder)
+    tables.remove_path(spark, folder)
+    assert not path_exists(spark, folder) and path_exists(spark, kept)
