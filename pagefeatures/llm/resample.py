@@ -82,13 +82,11 @@ def kth_largest(rows: DataFrame, k: int, col: str = "step") -> int | None:
 
 
 def importance_sample(docs: DataFrame, target: DataFrame, share: float, buckets: int = 10_000,
-                      max_target: int = 50_000, seed: int = 1, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, log_weight, sample_key, kept) of every row; ``share`` of the rows are kept.
 
-    ``target`` lists the ids of the target texts; the target model is fitted
-    on at most ``max_target`` of them, chosen by the hash of the id, the raw
-    model on all rows.  A null or empty text has weight 0 (log), repeated
+    ``target`` lists the ids of the target texts; the target model counts all
+    of them, the raw model all rows.  A null or empty text has weight 0 (log), repeated
     rows have equal keys, and rows that tie with the last one kept are all
     kept.  An empty table gives no rows; without target texts all weights
     come from the smoothing alone.
@@ -96,10 +94,9 @@ def importance_sample(docs: DataFrame, target: DataFrame, share: float, buckets:
     ship_code(docs.sparkSession)
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col), whole_text(text_col).alias("text"))
-    chosen = stored(target.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-                    .orderBy(F.xxhash64(id_col), id_col).limit(max_target), "resample-target")
+    chosen = stored(target.select(id_col).where(F.col(id_col).isNotNull()).distinct(), "resample-target")
     raw_counts = ngram_counts(texts, buckets)
-    target_counts = ngram_counts(texts.join(F.broadcast(chosen), id_col, "left_semi"), buckets)  # max_target ids
+    target_counts = ngram_counts(texts.join(chosen, id_col, "left_semi"), buckets)
     shared = spark.sparkContext.broadcast(log_ratios(target_counts, raw_counts))
 
     @F.pandas_udf("double")
