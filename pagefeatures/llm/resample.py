@@ -96,7 +96,8 @@ def importance_sample(docs: DataFrame, target: DataFrame, share: float, buckets:
     texts = docs.select(F.col(id_col), whole_text(text_col).alias("text"))
     chosen = stored(target.select(id_col).where(F.col(id_col).isNotNull()).distinct(), "resample-target")
     raw_counts = ngram_counts(texts, buckets)
-    target_counts = ngram_counts(texts.join(chosen, id_col, "left_semi"), buckets)
+    # a merge join at every size: the list of targets grows with the corpus
+    target_counts = ngram_counts(texts.join(chosen.hint("merge"), id_col, "left_semi"), buckets)
     shared = spark.sparkContext.broadcast(log_ratios(target_counts, raw_counts))
 
     @F.pandas_udf("double")
