@@ -4,24 +4,31 @@ The quantile of probability p in a group of n values is the smallest value
 whose rank reaches ``p * n``.  It is found without sorting a group:
 
 1. rows are counted by (group, value); copies combine on the map side;
-2. those counts are summed by (group, bucket), a bucket being 1/65,536 of a
-   unit of the value, and running sums tell the bucket of each rank;
-3. only the values inside these buckets are ranked.
+2. the counts are dealt out by (group, bucket), a bucket being 1/65,536 of a
+   unit of the value; the buckets' sums, run over each group, tell the
+   bucket of every rank;
+3. only the values inside these buckets are ranked, where they already lie.
 
-No task holds a group: the second step has one row for each bucket, the
-third the distinct values of one bucket.  Results don't depend on group
+No task holds a group: the running sums have one row for each bucket, the
+ranking the distinct values of one bucket.  Results don't depend on group
 size, partitioning or the run.  NULL and NaN values are missing values.
+
+A group is one struct column: its parts may be NULL, the struct is not, so
+joins on it are plain equalities that keep the partitioning of step 2.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS_PER_UNIT = 65_536
 _FAR = 1e12  # values beyond share the outermost buckets
+_MISSING = -(1 << 62)  # bucket of missing values, before all others
 
 
 def _present(col: str) -> Column:
@@ -29,39 +36,47 @@ def _present(col: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition: keys are equal, NULL keys too (``right`` has them as ``_k_<key>``)."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
+def _group(keys: Sequence[str], *more: Column) -> Column:
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *more)
+
 
+def _rank(p: float, total: str) -> Column:
+    """Rank of probability ``p`` among ``total`` values: p * total rounded up, 1 at least (whole numbers only)."""
+    share = Fraction(str(p))
+    over, of = share.numerator, share.denominator
+    return F.greatest(F.expr(f"({total} div {of}) * {over} + ({total} % {of} * {over} + {of - 1}) div {of}"), F.lit(1).cast("long"))
 
-def _renamed(df: DataFrame, keys: Sequence[str], *cols) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *cols)
 
+def _ranked(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(_g, _v, _rows, _hit0, _hit1, ...) from rows (_g, _v): the values that a rank falls on.
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    names: Sequence[str]) -> DataFrame:
-    """(keys, names...): quantiles of one column per group; groups without a value are absent."""
-    keys = list(keys)
-    counts = (df.select(*keys, _present(value).alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    ``_hit{i}`` tells whether the i-th probability's rank does, ``_rows``
+    counts all rows of the group.  A group without values has one row.
+    """
     near = F.least(F.greatest(F.col("_v"), F.lit(-_FAR)), F.lit(_FAR))
-    counts = counts.withColumn("_bucket", F.floor(near * F.lit(float(BUCKETS_PER_UNIT))))
-    group = Window.partitionBy(*keys)
+    counts = (rows.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_bucket", F.coalesce(F.floor(near * F.lit(float(BUCKETS_PER_UNIT))), F.lit(_MISSING)))
+              .repartition("_g", "_bucket"))
+    group = Window.partitionBy("_g")
     upto = Window.unboundedPreceding, Window.currentRow
-    buckets = (counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
-               .withColumn("_total", F.sum("_n").over(group))
-               .withColumn("_upto", F.sum("_n").over(group.orderBy("_bucket").rowsBetween(*upto))))
-    ranks = F.array(*[F.struct(F.lit(i).alias("_i"), F.greatest(
-        F.ceil(F.lit(str(p)).cast("decimal(12,10)") * F.col("_total")), F.lit(1)).cast("long").alias("_rank"))
-        for i, p in enumerate(probs)])
-    here = F.filter(ranks, lambda r: (r["_rank"] <= F.col("_upto")) & (r["_rank"] > F.col("_upto") - F.col("_n")))
-    wanted = _renamed(buckets, keys, F.col("_bucket").alias("_b"), (F.col("_upto") - F.col("_n")).alias("_before"),
-                      F.inline(here))
-    inside = counts.join(wanted, _same(counts, wanted, keys) & (counts["_bucket"] == wanted["_b"]))
-    rank = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(*upto))
-    found = (inside.select(*keys, "_i", "_rank", "_v", "_n", rank.alias("_upto"))
-             .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))))
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    places = range(len(probs))
+
+    def hits(n: str) -> list[Column]:
+        """Whether each rank is among the ``n`` ranks that end at ``_upto``."""
+        return [(F.col(f"_rank{i}") <= F.col("_upto")) & (F.col(f"_rank{i}") > F.col("_upto") - F.col(n)) for i in places]
+
+    buckets = (counts.groupBy("_g", "_bucket")
+               .agg(F.sum("_n").alias("_n"), F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("_m"))
+               .withColumn("_upto", F.sum("_m").over(group.orderBy("_bucket").rowsBetween(*upto)))
+               .withColumns({"_rows": F.sum("_n").over(group), "_total": F.sum("_m").over(group)})
+               .withColumns({f"_rank{i}": _rank(p, "_total") for i, p in enumerate(probs)}))
+    wanted = (buckets.where(reduce(or_, hits("_m"), F.col("_total") == 0))
+              .select("_g", "_bucket", "_rows", (F.col("_upto") - F.col("_m")).alias("_before"), *[f"_rank{i}" for i in places]))
+    inside = (counts.join(wanted, ["_g", "_bucket"])
+              .withColumn("_upto", F.col("_before") + F.sum("_n").over(
+                  Window.partitionBy("_g", "_bucket").orderBy("_v").rowsBetween(*upto))))
+    return (inside.where(reduce(or_, hits("_n"), F.col("_v").isNull()))
+            .select("_g", "_v", "_rows", *[h.alias(f"_hit{i}") for i, h in enumerate(hits("_n"))]))
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str],
@@ -77,18 +92,23 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     """
     keys, values = list(keys), list(values)
     names = names or {v: [f"{v}_q{i}" for i in range(len(probs))] for v in values}
-    aggs = [F.stddev_pop(_present(v)).alias(f"{v}_std") for v in values] if std else []
-    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
     # several columns share the steps: one narrow row for each column's value
-    long = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(v).alias("_name"), _present(v).alias("_value")) for v in values])))
-    q = exact_quantiles(long, [*keys, "_name"], "_value", probs, [f"_q{i}" for i in range(len(probs))])
-    q = q.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == v, F.col(f"_q{i}"))).alias(n)
-                               for v in values for i, n in enumerate(names[v])])
-    q = _renamed(q, keys, *[n for v in values for n in names[v]])
-    out = out.join(q, _same(out, q, keys), "left").drop(*[f"_k_{k}" for k in keys])
-    cols = [F.col(k) for k in keys]
-    for v in values:
-        cols += [F.col(n) for n in names[v]] + ([F.col(f"{v}_std")] if std else [])
+    each = [F.struct(_group(keys, F.lit(j).alias("of")).alias("_g"), _present(v).alias("_v")) for j, v in enumerate(values)]
+    found = _ranked(df.select(F.inline(F.array(*each))) if len(each) > 1 else df.select(each[0].alias("x")).select("x.*"), probs)
+    out = found.groupBy(*[F.col(f"_g.k{i}").alias(f"_k{i}") for i in range(len(keys))]).agg(
+        F.max("_rows").alias("_rows"),
+        *[F.max(F.when((F.col("_g.of") == j) & F.col(f"_hit{i}"), F.col("_v"))).alias(f"_q{j}_{i}")
+          for j in range(len(values)) for i in range(len(probs))])
+    out = out.select(F.struct(*[F.col(f"_k{i}").alias(f"k{i}") for i in range(len(keys))]).alias("_g"),
+                     "_rows", *[f"_q{j}_{i}" for j in range(len(values)) for i in range(len(probs))])
+    if std:
+        spread = df.groupBy(_group(keys).alias("_g")).agg(
+            *[F.stddev_pop(_present(v)).alias(f"_std{j}") for j, v in enumerate(values)])
+        out = out.join(spread, "_g")
+    cols = [F.col(f"_g.k{i}").alias(k) for i, k in enumerate(keys)]
+    for j, v in enumerate(values):
+        cols += [F.col(f"_q{j}_{i}").alias(n) for i, n in enumerate(names[v])]
+        cols += [F.col(f"_std{j}").alias(f"{v}_std")] if std else []
     if count_name:
         cols.append(F.col("_rows").alias(count_name))
     return out.select(*cols)

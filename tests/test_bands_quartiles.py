@@ -1,12 +1,13 @@
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pagefeatures.operators.bands import band_ratio, band_ratio_wide
-from pagefeatures.operators.quantiles import grouped_quantiles
+from pagefeatures.operators.quantiles import _rank, grouped_quantiles
 
 SCHEMA = "boss_city string, boss_position string, ctr_score double, deal_type string"
 
@@ -70,3 +71,19 @@ def test_std_matches_population_std(spark):
         vals = np.array([v for kk, v in rows if kk == k])
         assert got[k].v_std == pytest.approx(vals.std(), rel=1e-9)
     assert got[3].v_std is None and got[3].v_q0 is None and got[3].num == 1
+
+
+def test_quantiles_shuffle_the_counts_once_for_both_uses(spark):
+    df = spark.createDataFrame([(i % 5, float(i)) for i in range(100)], "k long, v double")
+    out = grouped_quantiles(df, ["k"], ["v"], [0.25, 0.5])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count(" ReusedExchange ") == 1
+    assert plan.count("Exchange hashpartitioning") - 1 == 4  # by value, by bucket, by group, by key
+
+
+def test_whole_number_ranks(spark):
+    for n in (1, 2, 3, 7, 100, 10**15 + 1):
+        for p in (0.0, 0.1, 0.25, 0.75, 0.9, 1.0):
+            got = spark.range(1).select(_rank(p, f"{n}L").alias("r")).first().r
+            assert got == max(1, math.ceil(Fraction(str(p)) * n))
