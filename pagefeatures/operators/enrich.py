@@ -74,23 +74,30 @@ def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss
                 cp_q: DataFrame, blocks: DataFrame, profiles: DataFrame,
                 page_size: int = C.PAGE_SIZE, n_bands: int = C.N_BANDS,
                 steps=C.PAGE_WEIGHT_STEPS,
-                day_col: str = "ds") -> DataFrame:
+                day_col: str = "ds", places: DataFrame | None = None) -> DataFrame:
     """Page rows with every feature joined and the relative features derived.
 
-    Join plan: the cp-keyed features (eight band ratios and cp quartiles)
-    are one small table joined once; it, job and boss quartiles, blocks and profiles are shuffled joins whose
-    sides adaptive execution may still broadcast when they turn out small.
-    The 100 profile columns are joined last, so the wide rows are shuffled
-    only once.
+    Join plan: the features depend on (day, boss, job, cp) alone, so they are
+    joined with the distinct ones of these, which is a narrow table, and
+    that with the pages once.  Profiles, with their 100 columns, come last.
+    The page rows are shuffled twice, however many features there are;
+    adaptive execution may still broadcast a side that turns out small.
+    ``places`` lists these keys for at least all pages (a caller with a
+    cheaper source than the finished pages gives them); the default is the
+    pages' own.  A NULL key has the features of its other keys.
     """
     cpf = cp_features(ratios_wide, cp_q, n_bands, day_col)
     jq = job_q.withColumnRenamed("num", "job_addf_num_3days")
     bq = boss_q.withColumnRenamed("num", "boss_addf_num_3days")
 
     # feature tables carry the target day: every join includes it
-    x = pages.join(cpf, [day_col, "cp"], "left")
-    x = join_block(x, blocks)
-    x = x.join(jq, [day_col, "job_id"], "left").join(bq, [day_col, "boss_id"], "left")
+    place = [day_col, "boss_id", "job_id", "cp"]
+    f = (pages if places is None else places).select(*place).distinct()
+    f = join_block(f.join(cpf, [day_col, "cp"], "left"), blocks)
+    f = f.join(jq, [day_col, "job_id"], "left").join(bq, [day_col, "boss_id"], "left")
+    # one struct: its parts may be NULL, the struct is not
+    f = f.select(F.struct(*place).alias("_place"), *[c for c in f.columns if c not in place])
+    x = pages.withColumn("_place", F.struct(*place)).join(f, "_place", "left").drop("_place")
     x = join_profile(x, profiles, day_col)
 
     addf = [F.col(f"addf_{i}") for i in range(1, page_size + 1)]

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config as C, dates
+from ..functions.columns import composite_key
 from ..operators.bands import band_ratio_wide
 from ..operators.enrich import joined_rows, profile_rows
 from ..operators.features import quartile_features
@@ -37,10 +38,11 @@ def lookback_rows(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS,
     days = sorted({d for t in targets for d in dates.lookback_days(t, lookback)})
     if len(targets) == 1:
         return scan_days(info, days).withColumn(day_col, F.lit(targets[0]))
-    d = F.to_date(F.col(day_col))
-    shifted = F.explode(F.array(*[F.date_format(F.date_add(d, k), "yyyy-MM-dd") for k in range(1, lookback + 1)]))
-    return (scan_days(info, days).withColumn(day_col, shifted)
-            .where(F.col(day_col).isin(targets)))
+    # (source day, target) pairs: lookback rows for each target, whatever the table's size
+    pairs = info.sparkSession.createDataFrame(
+        [(d, t) for t in targets for d in dates.lookback_days(t, lookback)], f"_source string, `{day_col}` string")
+    return (scan_days(info, days).withColumnRenamed(day_col, "_source")
+            .join(F.broadcast(pairs), "_source").drop("_source"))
 
 
 def features_for(info: DataFrame, targets, lookback: int = C.LOOKBACK_DAYS):
@@ -72,9 +74,11 @@ def build_days(inputs: DayInputs, targets, info: DataFrame | None = None,
     if info is None:
         info = label_days(inputs, targets, lookback, spark)
     ratios, jq, bq, cq = features_for(info, targets, lookback)
-    pages = page_samples(scan_days(info, targets))
+    rows = scan_days(info, targets)
+    pages = page_samples(rows)
+    places = rows.select("ds", "boss_id", "job_id", composite_key("boss_city", "boss_position").alias("cp"))
     profiles = profile_rows(scan_days(inputs.impressions, targets))
-    joined = joined_rows(pages, ratios, jq, bq, cq, inputs.job_blocks, profiles)
+    joined = joined_rows(pages, ratios, jq, bq, cq, inputs.job_blocks, profiles, places=places)
     return final_rows(joined, q3_uses_q1=q3_uses_q1)
 
 

@@ -1,9 +1,12 @@
 """Multi-day back-fill: look-back rows keyed by target day."""
 
 import os
+import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from pyspark.sql import functions as F  # noqa: E402
+
 import __spark_entry__ as E  # noqa: E402
 from pagefeatures.operators import bands  # noqa: E402
 from pagefeatures.plans import daily  # noqa: E402
@@ -76,3 +79,42 @@ def test_run_day_writes_tables_idempotently(spark, tmp_shared):
     rows2 = sorted(map(str, again.collect()))
     lazy = sorted(map(str, E.queries()["final_rows"](spark, SF).collect()))
     assert rows1 == rows2 == lazy and len(rows1) > 0
+
+
+def _joined(spark, **more):
+    from pagefeatures.operators.enrich import joined_rows, profile_rows
+    c = Ctx.get(spark, SF)
+    t = DAYS[-1]
+    info = c.info()
+    return joined_rows(c.pages(), *daily.features_for(info, [t]), c.blocks, profile_rows(c.impressions, t), **more)
+
+
+def test_feature_places_may_be_more_than_the_pages(spark):
+    c = Ctx.get(spark, SF)
+    places = c.pages().select("ds", "boss_id", "job_id", "cp")
+    more = places.unionByName(places.withColumn("job_id", F.lit(None).cast("long"))).unionByName(places)
+    a, b = (sorted(map(str, d.collect())) for d in (_joined(spark), _joined(spark, places=more)))
+    assert a == b and a
+
+
+def test_null_keys_have_the_features_of_the_others(spark):
+    from pagefeatures.operators.enrich import joined_rows, profile_rows
+    c = Ctx.get(spark, SF)
+    t = DAYS[-1]
+    pages = c.pages().withColumn("boss_id", F.lit(None).cast("long"))
+    features = daily.features_for(c.info(), [t])
+    out = joined_rows(pages, *features, c.blocks, profile_rows(c.impressions, t))
+    seen = out.agg(F.count(F.lit(1)).alias("n"), F.count("boss_addf_num_3days").alias("boss"),
+                   F.count("cp_addf_num_3days").alias("cp"), F.count("job_addf_num_3days").alias("job")).first()
+    assert seen.n == pages.count() and seen.boss == 0 and seen.cp > 0 and seen.job > 0
+
+
+def test_page_rows_are_shuffled_twice_for_all_features(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark._jvm.PythonSQLUtils.explainString(_joined(spark)._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning", plan)
+    assert sum("addf_15#" in columns for columns in moved) == 2
