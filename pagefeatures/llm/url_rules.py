@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from .common import ascii_lower
+
 SEPARATORS = "[^a-z0-9]+"
 
 
@@ -78,7 +80,7 @@ def judge_urls(df: DataFrame, rules: Sequence[UrlRule] = SITE_RULES + WORD_RULES
     spark = df.sparkSession
     urls = (df.where(F.col(url_col).contains("://")).groupBy(F.col(url_col).alias("address")).agg(F.count(F.lit(1)).alias("n"))
             .select("address", F.concat(host_of(F.col("address")), path_of(F.col("address"))).alias("place")))
-    tokens = F.array_distinct(F.split(F.lower("place"), SEPARATORS))
+    tokens = F.array_distinct(F.split(ascii_lower(F.col("place")), SEPARATORS))  # A-Z alone, as the expressions fold
     wanted = sorted({t for r in rules for t in r.tokens})
     of_rules = F.array_intersect(tokens, F.array(*map(F.lit, wanted)).cast("array<string>"))
     counts = {r.token: r.n for r in urls.select(F.explode(of_rules).alias("token")).groupBy("token")
