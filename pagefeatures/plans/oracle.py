@@ -332,6 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "final_rows": with_(final_chain(), "SELECT * FROM final"),
         "final_rows_backfill": with_(final_chain(ALL_DAYS), "SELECT * FROM final"),
         "threshold_report": with_(final_chain(ALL_DAYS), _report()),
+        "report_file": with_(final_chain(ALL_DAYS), _report()),
         "tsv_roundtrip": with_(TEXT_CHAIN, "SELECT * FROM text"),
         "read_days_existing": with_(TEXT_CHAIN, f"SELECT {MODEL_KEYS}, "
                                     "'2020-07-22,2020-07-23,2020-07-24,2020-07-25' AS days_found FROM text"),

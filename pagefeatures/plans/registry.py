@@ -308,6 +308,14 @@ def q_threshold_report(spark, sf):
     return _shown(report.threshold_report(f), ["std"])
 
 
+def q_report_file(spark, sf):
+    """The threshold report as its one file has it."""
+    rows = q_threshold_report(spark, sf)
+    path = f"{shared_dir(spark)}/reports/{uuid.uuid4().hex}"
+    report.write_report(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 # ---------------------------------------------------------------- text, model rows
 
 def q_tsv_roundtrip(spark, sf):
