@@ -29,7 +29,7 @@ from .common import stored, whole_text
 ASSIGN = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{16,}"
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+=*"
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*"  # may follow "=": NAME=<run>
 KINDS = ("assign", "access", "hex", "random")
 
 DIGITS = "0123456789"

@@ -156,6 +156,25 @@ def test_false_discovery_rule(spark):
     assert sum(len(r.spans) for r in rows if r.doc_id == "r") >= 0.9 * 120
 
 
+def plain_runs(text):
+    """Runs with letters and digits outside known shapes, and the "=" that follow them."""
+    found = [(m.start(), 3, m.end()) for m in re.finditer(r"([A-Za-z0-9+/_-]+)=*", text) if len(m.group(1)) >= 20
+             and re.search("[A-Za-z]", m.group(1)) and re.search("[0-9]", m.group(1))]
+    return [r for r in found if not any(b[0] < r[2] and r[0] < b[2] for b in base_spans(text))]
+
+
+def test_runs_after_an_equals_sign(spark):
+    rng = np.random.default_rng(11)
+    alphabet = list(dict(secret_scan.ENCODINGS)["base62"])
+    names = ("AWS_SECRET_ACCESS_KEY=", "sig=", "auth=", "GET /a?x=1&key=", "GITHUB_PAT=ghp_", "a==", "sig: ", "auth = ", "token=", "é=")
+    texts = [f"{name}{''.join(rng.choice(alphabet, 40))}{end}" for name in names for end in ("", "==", "&b=2", "\nx=y")]
+    rows = secret_scan.scan_spans(spark.createDataFrame(enumerate(texts), "doc_id int, text string"), fdr=0.0, keep=("text",))
+    rows = rows.select("text", "spans", secret_scan.redact(F.col("text"), F.col("spans")).alias("out")).collect()
+    for r in rows:
+        assert [tuple(s) for s in r.spans if s.kind == 3] == plain_runs(r.text), r.text
+        assert "[SECRET]" in r.out and max(map(len, re.findall("[A-Za-z0-9]+", r.out))) < 20, r.out
+
+
 def test_redaction(docs, empty):
     rows = secret_scan.scan_spans(docs, keep=("doc_id", "text", "key", "id")).select(
         "text", "spans", secret_scan.redact(F.col("text"), F.col("spans")).alias("out")).collect()
