@@ -13,15 +13,20 @@ or pass text.  Runs are put into families by encoding and length (powers of
 two: short runs have little power, so they are ranked among each other), and in
 each family the Benjamini-Hochberg rule rejects randomness with the false
 discovery rate ``fdr``: of the runs called text, at most that share were
-random.  What is not rejected is reported as ``random``.  p-values are
-rounded up to a tenth of a decade, so the corpus enters the rule as a
-histogram of bounded size.
+random.  Where text prevails that rule alone would reject nearly every p up to
+``fdr``, so a second bound holds in every family: p above ``lost`` is never
+rejected, and of the random runs no more than about that share is lost.  What
+is not rejected is reported as ``random``.  Copies of a run count once.
+p-values are rounded up to a tenth of a decade, so the corpus enters the rule
+as a histogram of bounded size.
 
 Everything is DataFrame expressions.  Positions are code points.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored, whole_text
@@ -149,26 +154,28 @@ def p_bin(p: Column) -> Column:
     return F.when(p > 0, F.least(F.floor(F.log10(p) * -10), F.lit(LAST_BIN))).otherwise(F.lit(LAST_BIN)).cast("int")
 
 
-def rejected_from(histogram: dict[int, dict[int, int]], fdr: float) -> dict[int, int]:
-    """For each family the least bin whose runs are rejected as not random (Benjamini-Hochberg)."""
-    out = {}
+def rejected_from(histogram: dict[int, dict[int, int]], fdr: float, lost: float = 0.01) -> dict[int, int]:
+    """For each family the least bin whose runs are rejected as not random (Benjamini-Hochberg, and p at most ``lost``)."""
+    out, bound = {}, math.ceil(-10 * math.log10(lost) - 1e-9)
     for name, bins in histogram.items():
         total, below, least = sum(bins.values()), 0, LAST_BIN + 1
         for b in sorted(bins, reverse=True):
             below += bins[b]
             if 10 ** (-b / 10) <= fdr * below / total:
                 least = b
-        out[name] = least
+        out[name] = max(least, bound)
     return out
 
 
-def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+               lost: float = 0.01) -> DataFrame:
     """``keep`` columns, ``base`` and ``spans`` of every row: arrays of (start, kind, end), ordered by start and kind.
 
     ``kind`` counts in ``KINDS``; ends are exclusive.  ``base`` has the known
     shapes, ``spans`` also the runs that the battery can't tell from random,
     unless a known shape overlaps them.  A null or empty text has none,
-    repeated rows repeat (and count in the histogram), an empty table gives none.
+    repeated rows repeat (but their runs count once in the histogram), an empty
+    table gives none.
     """
     text = df.select(*keep, whole_text(text_col).alias(BODY))
     gates = ((ASSIGN, 0, 1, 12, F.col(BODY).contains("=") | F.col(BODY).contains(":")),
@@ -185,14 +192,15 @@ def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: t
     runs = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     tested = F.transform(runs, lambda r: let(battery(r["value"]), lambda t: F.struct(
         r["start"].alias("start"), r["kind"].alias("kind"), r["end"].alias("end"),
-        family(t["encoding"], t["n"]).alias("family"), p_bin(t["p"]).alias("bin"))))
+        family(t["encoding"], t["n"]).alias("family"), p_bin(t["p"]).alias("bin"),
+        F.xxhash64(F.regexp_replace(r["value"], "=+$", "")).alias("key"))))
     plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     rows = stored(text.select(*keep, F.transform("base", plain).alias("base"), tested.alias("runs")), "secret-spans")
 
     histogram: dict[int, dict[int, int]] = {}
-    for r in rows.select(F.inline("runs")).groupBy("family", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
+    for r in rows.select(F.inline("runs")).groupBy("family", "bin").agg(F.countDistinct("key").alias("n")).collect():
         histogram.setdefault(r.family, {})[r.bin] = r.n  # families x bins: bounded
-    limits = rejected_from(histogram, fdr)
+    limits = rejected_from(histogram, fdr, lost)
     if limits:
         table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
         random = F.filter("runs", lambda r: r["bin"] < F.element_at(table, r["family"]))

@@ -175,6 +175,24 @@ def test_runs_after_an_equals_sign(spark):
         assert "[SECRET]" in r.out and max(map(len, re.findall("[A-Za-z0-9]+", r.out))) < 20, r.out
 
 
+def test_random_runs_lost_are_bounded(spark):
+    # text prevails: one text-like run copied many times, and many distinct ones, beside random runs of its family
+    rng = np.random.default_rng(13)
+    alphabet = list(dict(secret_scan.ENCODINGS)["base62"])
+    random = {(f"r{k}", "".join(rng.choice(alphabet, 32))) for k in range(800)}
+    distinct = {(f"d{k}", f"theNameOfAnotherVariable{'abcdefgh'[k % 8]}{'ijklmnop'[k // 8 % 8]}{'qrstuvwx'[k // 64]}eeee{k % 10}") for k in range(512)}
+    copies = [("c", "thisIsTheOtherAnswerInTheRoom1ee")] * 20000
+    key = lambda w: (lambda k, n, p: k * 64 + int(math.log2(n)))(*plain_battery(w))
+    for text in (copies, [("c", w) for _, w in distinct for _ in range(20)]):
+        spans = {r.doc_id: r.spans for r in secret_scan.scan_spans(spark.createDataFrame([*random, *text], "doc_id string, text string")).collect()}
+        assert spans["c"] == []
+        judged = [(i, plain_battery(w)[2]) for i, w in random if key(w) == key(text[0][1]) and re.search('[0-9]', w)]
+        assert len(judged) > 700 and all(spans[i] for i, p in judged if p > 0.0101)
+        assert sum(not spans[i] for i, _ in judged) <= 0.02 * len(judged)
+    assert secret_scan.rejected_from({1: {0: 1, 14: 900}, 2: {20: 2, 30: 98}}, 0.05) == {1: 20, 2: 20}
+    assert secret_scan.rejected_from({1: {0: 1, 14: 900}}, 0.05, 0.04) == {1: 14}
+
+
 def test_redaction(docs, empty):
     rows = secret_scan.scan_spans(docs, keep=("doc_id", "text", "key", "id")).select(
         "text", "spans", secret_scan.redact(F.col("text"), F.col("spans")).alias("out")).collect()
