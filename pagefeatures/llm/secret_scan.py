@@ -1,12 +1,14 @@
 """Secret scans: known shapes, and a battery of randomness tests.
 
 Known shapes (``assign``, ``access``, ``hex``) are regular expressions.  The
-battery judges every other run of 20 or more code characters that has
-letters and digits.  The smallest alphabet that holds a run is its inferred
+battery judges every other run of 20 or more code characters that has a
+letter.  The smallest alphabet that holds a run is its inferred
 encoding.  If a run really is random in that encoding, these statistics have
 known distributions: chi-squared of symbol counts against a uniform
 alphabet (by symbol, and by digits, capitals, small letters and marks), the number of runs above and below the alphabet's middle, and the
-correlation of neighbouring symbols.  Their p-values combine by Bonferroni.
+correlation of neighbouring symbols.  Runs of small letters or of capitals
+alone have one class of symbols; there the sum of the letters' weights, which
+are higher for letters common in prose, takes the place of the classes.  Their p-values combine by Bonferroni.
 
 A corpus has very many runs, so a fixed limit would either drop true secrets
 or pass text.  Runs are put into families by encoding and length (powers of
@@ -40,12 +42,16 @@ KINDS = ("assign", "access", "hex", "random")
 DIGITS = "0123456789"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-#: name, alphabet; the first that holds a run is its encoding
+#: name, alphabet; the smallest that holds a run is its encoding
 ENCODINGS = (("hex", DIGITS + "abcdef"), ("HEX", DIGITS + "ABCDEF"), ("base32", UPPER + "234567"),
              ("base36", DIGITS + LOWER), ("BASE36", DIGITS + UPPER), ("base62", UPPER + LOWER + DIGITS),
              ("base64", UPPER + LOWER + DIGITS + "+/"), ("base64url", UPPER + LOWER + DIGITS + "-_"),
              ("mixed", UPPER + LOWER + DIGITS + "+/-_"))
 CLASSES = (DIGITS, UPPER, LOWER, "+/-_")
+#: encodings of runs of letters alone, numbered after ENCODINGS
+LETTERS = (("lower", LOWER), ("UPPER", UPPER), ("letters", UPPER + LOWER))
+# Percent of a to z in prose, the mean of English, German, French and Spanish.
+PROSE = (8.5, 1.6, 3.2, 4.5, 14.0, 1.4, 1.9, 3.0, 6.8, 0.4, 0.6, 4.5, 2.8, 7.6, 6.2, 1.9, 0.6, 6.7, 7.4, 6.8, 4.1, 1.2, 1.1, 0.2, 0.8, 0.5)
 LAST_BIN = 300
 BODY = "whole_text_searched"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -91,10 +97,16 @@ def normal_tail(z: Column) -> Column:
 def battery(run: Column) -> Column:
     """struct(encoding, n, p): the inferred encoding's place, the length, and the combined p-value of one run."""
     body = F.regexp_replace(run, "=+$", "")
-    sizes = F.array(*[F.lit(len(a)) for _, a in ENCODINGS])
-    alphabets = F.array(*[F.lit(a) for _, a in ENCODINGS])
-    encoding = F.coalesce(*[F.when(F.translate(body, a, "") == "", F.lit(k)) for k, (_, a) in enumerate(ENCODINGS)],
+    known = ENCODINGS + LETTERS
+    sizes = F.array(*[F.lit(len(a)) for _, a in known])
+    alphabets = F.array(*[F.lit(a) for _, a in known])
+    smallest = sorted(enumerate(known), key=lambda e: len(e[1][1]))
+    encoding = F.coalesce(*[F.when(F.translate(body, a, "") == "", F.lit(k)) for k, (_, a) in smallest],
                           F.lit(len(ENCODINGS) - 1))
+    roots = [math.sqrt(v) for v in PROSE]
+    middle = sum(roots) / len(roots)
+    spread = math.sqrt(sum((v - middle) ** 2 for v in roots) / len(roots))
+    weights = F.array(*[F.lit((v - middle) / spread) for v in roots])
 
     def with_codes(x: Column) -> Column:
         codes = F.transform(F.split(x["body"], ""), lambda c: F.instr(x["alphabet"], c).cast("double"))
@@ -127,7 +139,9 @@ def battery(run: Column) -> Column:
         k, n = x["k"], x["n"]
         z_chi = upper_z(k / n * x["squares"] - n, k - 1)
         by_class = F.aggregate(x["classes"], F.lit(0.0), lambda acc, c: acc + c["count"] * c["count"] * k / (n * c["size"])) - n
-        z_class = upper_z(by_class, F.size(x["classes"]).cast("double") - 1)
+        z_class = upper_z(by_class, F.greatest(F.size(x["classes"]).cast("double") - 1, F.lit(1.0)))
+        z_prose = F.aggregate(x["codes"], F.lit(0.0), lambda acc, c: acc + F.coalesce(F.get(weights, c.cast("int") - 1), F.lit(0.0))) / F.sqrt(n)
+        z_class = F.when(F.size(x["classes"]) > 1, z_class).otherwise(z_prose)
         runs = F.lit(1.0) + F.size(F.filter(x["pairs"], lambda p: (p["a"] > k / 2) != (p["b"] > k / 2)))
         mean = F.lit(2.0) * x["high"] * (n - x["high"]) / n + 1
         variance = (mean - 1) * (mean - 2) / (n - 1)
@@ -187,8 +201,7 @@ def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: t
         text = text.withColumn("found", F.when(gate, matches))
         text = text.withColumn(f"k{kind}", F.when(F.size("found") > 0, spans).otherwise(none)).drop("found")
     base = F.array_sort(F.concat("k0", "k1", "k2"))
-    text = text.select(*keep, base.alias("base"), F.filter("k3", lambda s: s["value"].rlike("[A-Za-z]") & s["value"].rlike("[0-9]"))
-                       .alias("runs"))
+    text = text.select(*keep, base.alias("base"), F.filter("k3", lambda s: s["value"].rlike("[A-Za-z]")).alias("runs"))
     runs = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     tested = F.transform(runs, lambda r: let(battery(r["value"]), lambda t: F.struct(
         r["start"].alias("start"), r["kind"].alias("kind"), r["end"].alias("end"),
