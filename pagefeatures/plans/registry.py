@@ -371,8 +371,8 @@ def q_encoded_rows(spark, sf):
     return out.withColumn("feature_sum", F.round("feature_sum", 6))
 
 
-#: mini-batches of half the rows, since there are few; 32 factors
-FIT = {"epochs": 5, "mini_batch_fraction": 0.5, "seed": 7}
+#: the defaults of ``regress.fit``, but for the seed
+FIT = {"seed": 7}
 
 
 def _fit(spark, sf):
