@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (bpe, exact_dedup, line_dedup, packing, quality_rules, resample, secret_scan, simhash, toxicity,
-               url_rules)
+from . import (alignment, bpe, exact_dedup, line_dedup, mixing, packing, quality_rules, resample, secret_scan, simhash,
+               toxicity, url_rules, vector_codes)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,15 +71,64 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                      public_tokenizers.path("piece_bpe_32k.model"), keep_groups=False)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(vector_codes.codebook_text(books).encode()).hexdigest()
+    return rows.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_importance_resampling, op2_secret_scan, op3_pattern_packing, op4_url_rules, op5_quality_rules,
-    op6_exact_dedup, op7_line_dedup, op8_toxicity, op9_simhash, op10_bpe)}
+    op6_exact_dedup, op7_line_dedup, op8_toxicity, op9_simhash, op10_bpe, op11_tokenizer_alignment,
+    op12_vector_codes, op13_source_mix)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = "|".join(r.name for r in url_rules.WORD_RULES)
 
+
+def vector_codes_sql(dims: int = 64, parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The codes of ``embeddings`` by plain distances (dot products of whole numbers, exact in doubles)."""
+    width = dims // parts
+    steps = [f"""
+        kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+                 WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        cut AS MATERIALIZED (SELECT vec_id, label, p, v[p * {width} + 1:p * {width} + {width}] AS x
+                             FROM kept CROSS JOIN range({parts}) AS r(p)),
+        book0 AS MATERIALIZED (SELECT p, e, x AS y FROM (
+            SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM cut) WHERE e < {entries})"""]
+    near = """
+        near{k} AS MATERIALIZED (SELECT vec_id, label, p, x, unnest(min([d, e])) AS best, generate_subscripts(min([d, e]), 1) AS i FROM (
+            SELECT c.*, e, list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y) AS d
+            FROM cut c JOIN book{k} USING (p)) GROUP BY vec_id, label, p, x)"""
+    mean = ", ".join(f"floor(sum(x[{j + 1}]) / count(*))" for j in range(width))
+    for k in range(rounds + 1):
+        steps.append(near.format(k=k))
+        if k < rounds:
+            steps.append(f"""
+        book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, y) AS y FROM book{k} LEFT JOIN (
+            SELECT p, best::BIGINT AS e, [{mean}] AS m FROM near{k} WHERE i = 2 GROUP BY p, best) USING (p, e))""")
+    return f"""
+        WITH {",".join(steps)},
+        coded AS (SELECT vec_id, label, string_agg(printf('%02x', best::BIGINT), '' ORDER BY p) FILTER (i = 2) AS code,
+                         sum(best) FILTER (i = 1)::BIGINT AS error FROM near{rounds} GROUP BY vec_id, label)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(list_transform(y, lambda v: v::BIGINT), ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded"""
+
+
 ORACLE_SQL = {
+    "op12_vector_codes": vector_codes_sql(),
     "op4_url_rules": rf"""
         WITH parts AS (
           SELECT page_id, {_LOWER.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
