@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -76,15 +77,68 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop: HDFS, object stores, local."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system (HDFS, object stores, local)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _at(spark, path)
     return bool(fs.exists(p))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder, if it exists, through the Hadoop file system."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    fs, p = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file or folder; ``new`` must not exist."""
+    fs, p = _at(spark, old)
+    _, to = _at(spark, new)
+    if not fs.rename(p, to):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def swap_in(spark: SparkSession, new: str, place: str) -> None:
+    """Put a finished folder in ``place``, where another one may be: that one leaves only now.
+
+    A failure between the two steps leaves ``new`` as it is, so the call can be repeated.
+    """
+    remove_path(spark, place)
+    rename_path(spark, new, place)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    Their functions are then found also where the package isn't installed.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        target = os.path.join(folder, "pagefeatures-code.zip")
+        with zipfile.ZipFile(target, "w") as z:
+            for at, _, names in os.walk(package):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(at, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        fs, shared = _at(spark, f"{shared_dir(spark)}/code/{sc.applicationId}/pagefeatures-code.zip")
+        _, local = _at(spark, f"file://{target}")
+        fs.copyFromLocalFile(True, True, local, shared)
+    sc.addPyFile(fs.makeQualified(shared).toString())
+    _SHIPPED.add(sc.applicationId)

@@ -116,3 +116,82 @@ def test_clear_tables_removes_only_own_tables(spark, tmp_shared):
     assert f"/tables/{spark.sparkContext.applicationId}/" in folder and path_exists(spark, folder)
     tables.remove_path(spark, folder)
     assert not path_exists(spark, folder) and path_exists(spark, kept)
+
+
+def _days(spark, path):
+    return sorted((r.x, r.ds) for r in tables.read_table(spark, path).collect())
+
+
+def test_an_empty_re_run_empties_the_day(spark, tmp_shared):
+    path = f"{tmp_shared}/t-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(1, "d1"), (2, "d2")], "x long, ds string")
+    tables.overwrite_day(df, path)
+    tables.overwrite_day(df.where("false"), path, days=["d1"])
+    assert _days(spark, path) == [(2, "d2")]
+    tables.overwrite_day(df.where("false"), path, days=["d2"])
+    assert _days(spark, path) == [] and tables.read_table(spark, path).columns == ["x", "ds"]
+    tables.overwrite_day(df, path, days=["d1", "d2"])
+    assert _days(spark, path) == [(1, "d1"), (2, "d2")]
+
+
+def test_rows_of_other_days_are_refused(spark, tmp_shared):
+    import pytest
+    path = f"{tmp_shared}/t-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(1, "d1"), (2, "d2")], "x long, ds string")
+    tables.overwrite_day(df, path)
+    with pytest.raises(ValueError, match="ds=d2"):
+        tables.overwrite_day(df, path, days=["d1"])
+    assert _days(spark, path) == [(1, "d1"), (2, "d2")]
+    assert [n for n in tables.child_names(spark, path) if n.startswith("_")] == []
+
+
+def test_a_crash_while_publishing(spark, tmp_shared, monkeypatch):
+    """Before the commit point the table is as it was; after it the next call finishes, from any step."""
+    import pytest
+    path = f"{tmp_shared}/t-{uuid.uuid4().hex}"
+    old = spark.createDataFrame([(1, "d1"), (2, "d2")], "x long, ds string")
+    new = spark.createDataFrame([(8, "d1"), (9, "d2")], "x long, ds string")
+    tables.overwrite_day(old, path)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(tables, "rename_path", broken)
+        tables.overwrite_day(new, path)
+    assert _days(spark, path) == [(1, "d1"), (2, "d2")]
+
+    real, calls = tables.swap_in, []
+
+    def once(spark, new, place):
+        calls.append(place)
+        if len(calls) > 1:
+            tables.remove_path(spark, place)  # the swap's first step, and then the crash
+            raise RuntimeError("lost")
+        real(spark, new, place)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(tables, "swap_in", once)
+        tables.overwrite_day(new, path)
+    assert _days(spark, path) == [(8, "d1")]  # d2 is still in the complete staging folder
+    tables.finish_publish(spark, path)
+    assert _days(spark, path) == [(8, "d1"), (9, "d2")]
+
+
+def test_run_folder_is_dropped_on_success_and_kept_for_a_retry(spark, tmp_shared):
+    import pytest
+    from pagefeatures.session import path_exists
+    name, made = uuid.uuid4().hex, []
+
+    def work(fail):
+        with tables.run_folder(spark, name) as folder:
+            for k in range(2):
+                df = spark.range(3).select((tables.F.col("id") + k).alias("x"), tables.F.lit(f"d{k}").alias("ds"))
+                out = tables.materialize(spark, df, "part")
+                made.append(sorted(out.inputFiles()))
+                if fail and k == 0:
+                    raise RuntimeError("lost")
+            return folder, sorted(map(tuple, out.collect()))
+    with pytest.raises(RuntimeError):
+        work(True)
+    folder, rows = work(False)
+    assert made[0] == made[1] != made[2]  # the retry read the finished table
+    assert rows == [(1, "d1"), (2, "d1"), (3, "d1")] and not path_exists(spark, folder)
