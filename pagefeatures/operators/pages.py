@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import config as C
 from ..functions.columns import composite_key, flag_in, score_band, weekday_number
@@ -37,8 +37,7 @@ def page_rows(info: DataFrame, score_col: str = "ctr_score", suc_col: str = "ctc
 
 
 def page_samples(info: DataFrame, page_size: int = C.PAGE_SIZE,
-                 edges: Sequence[float] = C.BAND_EDGES, day_col: str = "ds",
-                 hot_page_rows: int = 1_000_000, **row_opts) -> DataFrame:
+                 edges: Sequence[float] = C.BAND_EDGES, day_col: str = "ds", **row_opts) -> DataFrame:
     """Aggregate impressions to complete pages.
 
     A page is a group of the nine page keys (NULL is a group value) within
@@ -48,23 +47,17 @@ def page_samples(info: DataFrame, page_size: int = C.PAGE_SIZE,
     ``addf_1..`` / ``suc_1..`` (NULL scores are skipped, so the success list
     may be short: missing positions are NULL).
 
-    Plan: sizes first, lists second.  Counting pages is a map-side combined
-    aggregate; only rows of complete pages are then shuffled together
-    (a semi-join on the page key) and collected, so no list ever holds more
-    than ``page_size`` values.  A page key holding a large share of the
-    data (e.g. a NULL session) is incomplete by definition: keys with more
-    than ``hot_page_rows`` rows (at most rows / hot_page_rows of them) are
-    removed first by an anti-join that adaptive execution broadcasts when
-    its measured size is small, so their rows never reach one task.
+    Plan: one shuffle.  Rows are numbered by page and those beyond
+    ``page_size + 1`` left out, which Spark does before the shuffle too (a
+    window group limit): each task sends at most ``page_size + 1`` rows of
+    a page, enough to see that it is too large.  So a key that holds a large
+    share of the day (a NULL session, say) neither travels nor is collected,
+    and the aggregation finds its rows where the window left them.
     """
     rows = page_rows(info, edges=edges, day_col=day_col, **row_opts)
-    group = list(PAGE_KEYS) + [day_col]
-    keyed = rows.withColumn("_page", F.struct(*group))
-    sizes = keyed.groupBy("_page").agg(F.count(F.lit(1)).alias("_n"))
-    complete = sizes.where(F.col("_n") == F.lit(page_size)).select("_page")
-    oversized = sizes.where(F.col("_n") > F.lit(max(hot_page_rows, page_size))).select("_page")
-    kept = (keyed.join(oversized, "_page", "left_anti")
-            .join(complete, "_page", "left_semi"))
+    keyed = rows.withColumn("_page", F.struct(*PAGE_KEYS, day_col))
+    number = F.row_number().over(Window.partitionBy("_page").orderBy("addf_score"))
+    kept = keyed.withColumn("_number", number).where(F.col("_number") <= page_size + 1).drop("_number")
 
     nb = len(edges) + 1
     aggs = [F.count_if(F.col("band") == F.lit(b)).alias(f"pct{b}") for b in range(1, nb + 1)]
@@ -75,7 +68,7 @@ def page_samples(info: DataFrame, page_size: int = C.PAGE_SIZE,
              F.avg("suc_score").alias("avg_suc_score"),
              F.sort_array(F.collect_list("addf_score")).alias("_addf"),
              F.sort_array(F.collect_list("suc_score")).alias("_suc")]
-    agg = kept.groupBy("_page").agg(*aggs)
+    agg = kept.groupBy("_page").agg(*aggs).where(F.col("num") == page_size)
 
     keys = [F.col(f"_page.{k}").alias(k) for k in PAGE_KEYS]
     return agg.select(

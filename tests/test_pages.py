@@ -55,7 +55,19 @@ def test_null_key_is_a_group_value(spark):
     assert r.pos is None and r.cp == "A"
 
 
-def test_oversized_key_removed_before_grouping(spark):
-    rows = impressions(1, 15) + impressions(2, 40, scores=[0.3] * 40)
-    got = run(spark, rows, hot_page_rows=20)
-    assert set(got) == {1}
+def test_oversized_key_is_cut_before_the_shuffle(spark):
+    """A key with a million rows sends page_size + 1 of them from each task, in a plan with one shuffle."""
+    from pyspark.sql import functions as F
+
+    whole = spark.createDataFrame(impressions(1, 15), SCHEMA)
+    hot = (spark.range(0, 1_000_000, 1, 8).join(F.broadcast(spark.createDataFrame(impressions(2, 1, session=None), SCHEMA)))
+           .drop("id").select(*whole.columns))
+    out = page_samples(whole.unionByName(hot))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan.replace("BroadcastNestedLoopJoin", "")
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    assert {r.job_id for r in out.collect()} == {1}
+
+
+def test_a_page_of_the_limit_plus_one(spark):
+    assert run(spark, impressions(1, 16) + impressions(2, 15) + impressions(3, 200), page_size=15).keys() == {2}
