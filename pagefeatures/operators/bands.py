@@ -9,6 +9,8 @@ segment is combined before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -58,21 +60,29 @@ def band_ratio_wide(info: DataFrame, edges: Sequence[float] = C.BAND_EDGES,
     A band under its limit gives NULL ratio and count; cps with no band
     above its limit are dropped (a left join would give NULL anyway).
     """
-    rows = _band_rows(info, edges, contact, score_col, by)
-    nb = len(edges) + 1
+    return wide_ratios(band_counts(info, edges, contact, score_col, by), len(edges) + 1, min_count, ratio_name, count_name, by)
+
+
+def band_counts(info: DataFrame, edges: Sequence[float] = C.BAND_EDGES, contact: Sequence[str] = C.CONTACT_TYPES,
+                score_col: str = "ctr_score", by: Sequence[str] = ("ds",)) -> DataFrame:
+    """(by..., cp, n1.., s1..): rows and contacts of each band by segment.  Additive over rows, so over days."""
     aggs = []
-    for b in range(1, nb + 1):
+    for b in range(1, len(edges) + 2):
         inb = F.col("band") == F.lit(b)
-        aggs += [F.count_if(inb).alias(f"_n{b}"),
-                 F.sum(F.when(inb, F.col("flag"))).alias(f"_s{b}")]
-    agg = rows.groupBy(*by, "cp").agg(*aggs)
-    cols, keep = [F.col(c) for c in (*by, "cp")], []
-    for b in range(1, nb + 1):
-        ok = F.col(f"_n{b}") > F.lit(int(min_count[b - 1]))
-        cols.append(F.when(ok, F.try_divide(F.col(f"_s{b}"), F.col(f"_n{b}"))).alias(ratio_name.format(b)))
-        cols.append(F.when(ok, F.col(f"_n{b}")).alias(count_name.format(b)))
-        keep.append(ok)
-    any_ok = keep[0]
-    for k in keep[1:]:
-        any_ok = any_ok | k
-    return agg.where(any_ok).select(*cols)
+        aggs += [F.count_if(inb).alias(f"n{b}"), F.coalesce(F.sum(F.when(inb, F.col("flag"))), F.lit(0)).alias(f"s{b}")]
+    return _band_rows(info, edges, contact, score_col, by).groupBy(*by, "cp").agg(*aggs)
+
+
+def wide_ratios(counts: DataFrame, n_bands: int = C.N_BANDS, min_count: Sequence[int] = C.BAND_MIN_COUNT,
+                ratio_name: str = "pct{}_ratio", count_name: str = "pct{}_cnt", by: Sequence[str] = ("ds",),
+                add_up: bool = False) -> DataFrame:
+    """The wide form of ``band_ratio_wide`` from band counts; ``add_up`` first sums several rows of a segment (days)."""
+    bands = range(1, n_bands + 1)
+    if add_up:
+        counts = counts.groupBy(*by, "cp").agg(*[F.sum(f"{c}{b}").alias(f"{c}{b}") for b in bands for c in "ns"])
+    enough = {b: F.col(f"n{b}") > F.lit(int(min_count[b - 1])) for b in bands}
+    cols = [F.col(c) for c in (*by, "cp")]
+    for b in bands:
+        cols.append(F.when(enough[b], F.try_divide(F.col(f"s{b}"), F.col(f"n{b}"))).alias(ratio_name.format(b)))
+        cols.append(F.when(enough[b], F.col(f"n{b}")).alias(count_name.format(b)))
+    return counts.where(reduce(or_, enough.values())).select(*cols)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import config as C
 from ..functions.columns import fallback, ladder, mean_rounded, page_weight, strictness
 from ..sources.tables import scan_day
+from .features import place_quartiles, quartile_name
 
 PROFILE_KEYS = ("boss_id", "job_id", "sessionid", "page", "date")
 
@@ -58,21 +59,8 @@ def join_ratios(pages: DataFrame, ratios_wide: DataFrame, n_bands: int = C.N_BAN
     return pages.join(r, [day_col, "cp"], "left")
 
 
-def cp_features(ratios_wide: DataFrame, cp_quartiles: DataFrame, n_bands: int = C.N_BANDS,
-                day_col: str = "ds") -> DataFrame:
-    """Everything keyed by (day, cp) in one table, so pages join cp once."""
-    r = ratios_wide.select(day_col, "cp", *[f"pct{b}_ratio" for b in range(1, n_bands + 1)])
-    q = cp_quartiles.withColumnRenamed("num", "cp_addf_num_3days")
-    return r.join(q, [day_col, "cp"], "full")
-
-
-def _q(entity: str, i: int) -> str:
-    return f"addf_{entity}_score_q{i}_3days"
-
-
-def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss_q: DataFrame,
-                cp_q: DataFrame, blocks: DataFrame, profiles: DataFrame,
-                page_size: int = C.PAGE_SIZE, n_bands: int = C.N_BANDS,
+def joined_rows(pages: DataFrame, ratios_wide: DataFrame, quartiles: DataFrame, blocks: DataFrame,
+                profiles: DataFrame, page_size: int = C.PAGE_SIZE, n_bands: int = C.N_BANDS,
                 steps=C.PAGE_WEIGHT_STEPS,
                 day_col: str = "ds", places: DataFrame | None = None) -> DataFrame:
     """Page rows with every feature joined and the relative features derived.
@@ -85,16 +73,13 @@ def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss
     ``places`` lists these keys for at least all pages (a caller with a
     cheaper source than the finished pages gives them); the default is the
     pages' own.  A NULL key has the features of its other keys.
+    ``quartiles`` has all entities (``features.entity_quartiles``).
     """
-    cpf = cp_features(ratios_wide, cp_q, n_bands, day_col)
-    jq = job_q.withColumnRenamed("num", "job_addf_num_3days")
-    bq = boss_q.withColumnRenamed("num", "boss_addf_num_3days")
-
     # feature tables carry the target day: every join includes it
     place = [day_col, "boss_id", "job_id", "cp"]
     f = (pages if places is None else places).select(*place).distinct()
-    f = join_block(f.join(cpf, [day_col, "cp"], "left"), blocks)
-    f = f.join(jq, [day_col, "job_id"], "left").join(bq, [day_col, "boss_id"], "left")
+    f = place_quartiles(f, quartiles, day_col=day_col)
+    f = join_block(join_ratios(f, ratios_wide, n_bands, day_col), blocks)
     # one struct: its parts may be NULL, the struct is not
     f = f.select(F.struct(*place).alias("_place"), *[c for c in f.columns if c not in place])
     x = pages.withColumn("_place", F.struct(*place)).join(f, "_place", "left").drop("_place")
@@ -103,9 +88,9 @@ def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss
     addf = [F.col(f"addf_{i}") for i in range(1, page_size + 1)]
     derived = []
     for i in (1, 2, 3):
-        derived.append(strictness(_q("job", i), _q("boss", i), _q("cp", i)).alias(f"q{i}_strict"))
+        derived.append(strictness(quartile_name("job", i), quartile_name("boss", i), quartile_name("cp", i)).alias(f"q{i}_strict"))
     for i in (1, 2, 3):
-        derived.append(ladder(addf, fallback(_q("job", i), _q("boss", i), _q("cp", i))).alias(f"q{i}_base"))
+        derived.append(ladder(addf, fallback(quartile_name("job", i), quartile_name("boss", i), quartile_name("cp", i))).alias(f"q{i}_base"))
 
     return x.select(
         "boss_id", "job_id", "sessionid", "page", "list_hour", "date", "weekday", "city", "pos",
@@ -117,7 +102,7 @@ def joined_rows(pages: DataFrame, ratios_wide: DataFrame, job_q: DataFrame, boss
         mean_rounded([f"suc_{i}" for i in range(1, page_size + 1)], 3).alias("avg_suc_score"),
         *[f"suc_{i}" for i in range(1, page_size + 1)],
         *[f"addf_{i}" for i in range(1, page_size + 1)],
-        *[_q(e, i) for e in ("job", "boss", "cp") for i in (1, 2, 3)],
+        *[quartile_name(e, i) for e in ("job", "boss", "cp") for i in (1, 2, 3)],
         *derived,
         "job_addf_num_3days", "boss_addf_num_3days", "cp_addf_num_3days",
         page_weight("page", steps).alias("page_base"),

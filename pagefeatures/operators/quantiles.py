@@ -47,14 +47,16 @@ def _rank(p: float, total: str) -> Column:
     return F.greatest(F.expr(f"({total} div {of}) * {over} + ({total} % {of} * {over} + {of - 1}) div {of}"), F.lit(1).cast("long"))
 
 
-def _ranked(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(_g, _v, _rows, _hit0, _hit1, ...) from rows (_g, _v): the values that a rank falls on.
+def _ranked(rows: DataFrame, probs: Sequence[float], std: bool = False) -> DataFrame:
+    """(_g, _v, _rows, _hit0, _hit1, ...) from counted rows (_g, _v, _n): the values that a rank falls on.
 
     ``_hit{i}`` tells whether the i-th probability's rank does, ``_rows``
     counts all rows of the group.  A group without values has one row.
+    ``std`` adds ``_std``, the group's population standard deviation, from
+    sums that each bucket takes from its lower limit.
     """
     near = F.least(F.greatest(F.col("_v"), F.lit(-_FAR)), F.lit(_FAR))
-    counts = (rows.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = (rows.groupBy("_g", "_v").agg(F.sum("_n").alias("_n"))
               .withColumn("_bucket", F.coalesce(F.floor(near * F.lit(float(BUCKETS_PER_UNIT))), F.lit(_MISSING)))
               .repartition("_g", "_bucket"))
     group = Window.partitionBy("_g")
@@ -65,18 +67,42 @@ def _ranked(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
         """Whether each rank is among the ``n`` ranks that end at ``_upto``."""
         return [(F.col(f"_rank{i}") <= F.col("_upto")) & (F.col(f"_rank{i}") > F.col("_upto") - F.col(n)) for i in places]
 
-    buckets = (counts.groupBy("_g", "_bucket")
-               .agg(F.sum("_n").alias("_n"), F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("_m"))
+    low = F.col("_bucket") / F.lit(float(BUCKETS_PER_UNIT))
+    sums = [F.sum("_n").alias("_n"), F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("_m")]
+    if std:
+        sums += [F.sum((F.col("_v") - low) * F.col("_n")).alias("_s"), F.sum((F.col("_v") - low) ** 2 * F.col("_n")).alias("_ss")]
+    buckets = (counts.groupBy("_g", "_bucket").agg(*sums)
                .withColumn("_upto", F.sum("_m").over(group.orderBy("_bucket").rowsBetween(*upto)))
                .withColumns({"_rows": F.sum("_n").over(group), "_total": F.sum("_m").over(group)})
                .withColumns({f"_rank{i}": _rank(p, "_total") for i, p in enumerate(probs)}))
+    if std:
+        within = low + F.try_divide(F.col("_s"), F.col("_m"))
+        buckets = (buckets.withColumn("_mean", F.try_divide(F.sum(within * F.col("_m")).over(group), F.col("_total")))
+                   .withColumn("_std", F.sqrt(F.try_divide(F.sum(
+                       F.greatest(F.col("_ss") - F.try_divide(F.col("_s") ** 2, F.col("_m")), F.lit(0.0))
+                       + F.col("_m") * (within - F.col("_mean")) ** 2).over(group), F.col("_total")))))
+    shown = ["_rows", *["_std"] * std]
     wanted = (buckets.where(reduce(or_, hits("_m"), F.col("_total") == 0))
-              .select("_g", "_bucket", "_rows", (F.col("_upto") - F.col("_m")).alias("_before"), *[f"_rank{i}" for i in places]))
+              .select("_g", "_bucket", *shown, (F.col("_upto") - F.col("_m")).alias("_before"), *[f"_rank{i}" for i in places]))
     inside = (counts.join(wanted, ["_g", "_bucket"])
               .withColumn("_upto", F.col("_before") + F.sum("_n").over(
                   Window.partitionBy("_g", "_bucket").orderBy("_v").rowsBetween(*upto))))
     return (inside.where(reduce(or_, hits("_n"), F.col("_v").isNull()))
-            .select("_g", "_v", "_rows", *[h.alias(f"_hit{i}") for i, h in enumerate(hits("_n"))]))
+            .select("_g", "_v", *shown, *[h.alias(f"_hit{i}") for i, h in enumerate(hits("_n"))]))
+
+
+def counted_quantiles(counts: DataFrame, keys: Sequence[str], value: str, n: str, probs: Sequence[float],
+                      names: Sequence[str], count_name: str = "num") -> DataFrame:
+    """Quantiles of ``value`` per ``keys`` group from rows that stand for ``n`` rows each.
+
+    Counts of several tables (days, say) may simply be united: the same
+    group and value may come in any number of rows.
+    """
+    rows = counts.select(_group(keys).alias("_g"), _present(value).alias("_v"), F.col(n).alias("_n"))
+    found = _ranked(rows, probs).groupBy("_g").agg(
+        F.max("_rows").alias(count_name),
+        *[F.max(F.when(F.col(f"_hit{i}"), F.col("_v"))).alias(name) for i, name in enumerate(names)])
+    return found.select(*[F.col(f"_g.k{i}").alias(k) for i, k in enumerate(keys)], *names, count_name)
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str],
@@ -93,19 +119,15 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     keys, values = list(keys), list(values)
     names = names or {v: [f"{v}_q{i}" for i in range(len(probs))] for v in values}
     # several columns share the steps: one narrow row for each column's value
-    each = [F.struct(_group(keys, F.lit(j).alias("of")).alias("_g"), _present(v).alias("_v")) for j, v in enumerate(values)]
-    found = _ranked(df.select(F.inline(F.array(*each))) if len(each) > 1 else df.select(each[0].alias("x")).select("x.*"), probs)
+    each = [F.struct(_group(keys, F.lit(j).alias("of")).alias("_g"), _present(v).alias("_v"), F.lit(1).cast("long").alias("_n"))
+            for j, v in enumerate(values)]
+    found = _ranked(df.select(F.inline(F.array(*each))) if len(each) > 1 else df.select(each[0].alias("x")).select("x.*"), probs, std)
     out = found.groupBy(*[F.col(f"_g.k{i}").alias(f"_k{i}") for i in range(len(keys))]).agg(
         F.max("_rows").alias("_rows"),
+        *[F.max(F.when(F.col("_g.of") == j, F.col("_std"))).alias(f"_std{j}") for j in range(len(values)) if std],
         *[F.max(F.when((F.col("_g.of") == j) & F.col(f"_hit{i}"), F.col("_v"))).alias(f"_q{j}_{i}")
           for j in range(len(values)) for i in range(len(probs))])
-    out = out.select(F.struct(*[F.col(f"_k{i}").alias(f"k{i}") for i in range(len(keys))]).alias("_g"),
-                     "_rows", *[f"_q{j}_{i}" for j in range(len(values)) for i in range(len(probs))])
-    if std:
-        spread = df.groupBy(_group(keys).alias("_g")).agg(
-            *[F.stddev_pop(_present(v)).alias(f"_std{j}") for j, v in enumerate(values)])
-        out = out.join(spread, "_g")
-    cols = [F.col(f"_g.k{i}").alias(k) for i, k in enumerate(keys)]
+    cols = [F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)]
     for j, v in enumerate(values):
         cols += [F.col(f"_q{j}_{i}").alias(n) for i, n in enumerate(names[v])]
         cols += [F.col(f"_std{j}").alias(f"{v}_std")] if std else []

@@ -118,3 +118,87 @@ def test_page_rows_are_shuffled_twice_for_all_features(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning", plan)
     assert sum("addf_15#" in columns for columns in moved) == 2
+
+
+def test_stored_counts_give_the_same_features(spark):
+    """Look-back from day counts, for one target and for several, against rows counted directly."""
+    c = Ctx.get(spark, SF)
+    info = c.info()
+    partials = daily.day_partials(info)
+    for targets in (DAYS[-1:], DAYS):
+        direct = [daily.features_for(info, [t]) for t in targets]
+        counted = daily.features_for(None, targets, partials=partials)
+        together = daily.features_for(info, targets)
+        for k in range(2):
+            want = sorted(str(r) for d in direct for r in d[k].collect())
+            assert sorted(map(str, counted[k].collect())) == sorted(map(str, together[k].collect())) == want and want
+
+
+def test_backfill_copies_counts_and_not_rows(spark):
+    """Several targets: what is joined with the days they serve are counts by day."""
+    c = Ctx.get(spark, SF)
+    for feature in daily.features_for(c.info(), DAYS):
+        plan = feature._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.split("\n")
+        join = next(k for k, line in enumerate(lines) if "_source" in line and "Join" in line)
+        assert any("Aggregate" in line for line in lines[join:])
+
+
+def test_one_lookback_scan_for_all_quartiles(spark):
+    c = Ctx.get(spark, SF)
+    _, quartiles = daily.features_for(c.info(), DAYS[-1:])
+    plan = spark._jvm.PythonSQLUtils.explainString(quartiles._jdf.queryExecution(), "formatted")
+    tree = plan.split("(1)")[0]
+    assert tree.count("Exchange") - tree.count("ReusedExchange") <= 5  # the counts' exchange shows twice before it is reused
+    quartiles.collect()
+    done = quartiles._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert done.count("Exchange hashpartitioning") - done.count(" ReusedExchange ") <= 4
+    assert done.count("FileScan parquet") <= 2
+
+
+def test_run_day_reads_one_raw_day(spark, tmp_shared):
+    """With counts stored, the look-back days of the labelled table may be gone."""
+    import uuid
+
+    from pagefeatures import dates
+    from pagefeatures.session import remove_path
+    c = Ctx.get(spark, SF)
+    inputs, t = daily.DayInputs(c.scores, c.impressions, c.blocks), DAYS[-1]
+    info_path, out_path = (f"{tmp_shared}/{n}-{uuid.uuid4().hex}" for n in ("labelled", "final"))
+    daily.backfill_labels(inputs, dates.lookback_days(t), info_path)
+    for d in dates.lookback_days(t):
+        remove_path(spark, f"{info_path}/ds={d}")
+    got = sorted(map(str, daily.run_day(spark, inputs, t, info_path, out_path).collect()))
+    assert got == sorted(map(str, E.queries()["final_rows"](spark, SF).collect()))
+    # a day whose counts were never written is counted from its labelled rows
+    daily.backfill_labels(inputs, dates.lookback_days(t), info_path)
+    for n in ("bands", "scores"):
+        remove_path(spark, f"{info_path}-counts/{n}/ds={dates.lookback_days(t)[0]}")
+    assert got == sorted(map(str, daily.run_day(spark, inputs, t, info_path, out_path).collect()))
+
+
+def test_an_empty_day_re_run_is_empty(spark, tmp_shared):
+    import uuid
+
+    c = Ctx.get(spark, SF)
+    t = DAYS[-1]
+    info_path, out_path = (f"{tmp_shared}/{n}-{uuid.uuid4().hex}" for n in ("labelled", "final"))
+    assert daily.run_day(spark, daily.DayInputs(c.scores, c.impressions, c.blocks), t, info_path, out_path).count() > 0
+    nothing = daily.DayInputs(c.scores.where("false"), c.impressions, c.blocks)
+    assert daily.run_day(spark, nothing, t, info_path, out_path).collect() == []
+
+
+def test_backfill_leaves_no_intermediate_table(spark, tmp_shared):
+    import uuid
+
+    from pagefeatures.session import child_names
+    c = Ctx.get(spark, SF)
+    before = child_names(spark, f"{tmp_shared}/runs"), child_names(spark, tables_of(spark))
+    out = daily.backfill(spark, daily.DayInputs(c.scores, c.impressions, c.blocks), DAYS, f"{tmp_shared}/final-{uuid.uuid4().hex}")
+    assert sorted(map(str, out.collect())) == sorted(map(str, E.queries()["final_rows_backfill"](spark, SF).collect()))
+    assert (child_names(spark, f"{tmp_shared}/runs"), child_names(spark, tables_of(spark))) == before
+
+
+def tables_of(spark):
+    from pagefeatures.sources.tables import _own_tables
+    return _own_tables(spark)
