@@ -146,6 +146,13 @@ def _mean3(prefix: str) -> str:
     return f"CASE WHEN {n} > 0 THEN CAST((2 * {total} + {n} * 1000) // (2 * {n} * 1000) AS DOUBLE) / 1000 END"
 
 
+def _mean_without_nan(prefix: str) -> str:
+    values = "[" + ", ".join(f"{prefix}_{n}" for n in PLACES) + "]"
+    kept = f"[v FOR v IN {values} IF v IS NOT NULL AND NOT isnan(v)]"
+    total = f"list_sum([CAST(round(v * 1000000) AS BIGINT) FOR v IN {kept}])"
+    return f"CASE WHEN len({kept}) > 0 THEN CAST((2 * {total} + len({kept}) * 1000) // (2 * len({kept}) * 1000) AS DOUBLE) / 1000 END"
+
+
 WITH_QUARTILES = ("FROM sample LEFT JOIN q_job USING (ds, job_id) LEFT JOIN q_boss USING (ds, boss_id) "
                   "LEFT JOIN q_cp USING (ds, cp)")
 
@@ -195,6 +202,16 @@ FEATURES = [LABELLED, history((T,)), RATIOS, QUARTILES]
 PAGES = [LABELLED, sample((T,))]
 
 
+NAN = """spoiled AS (
+  SELECT * REPLACE (CASE WHEN (geek_id + exp_id) % 17 = 0 THEN 'NaN'::DOUBLE ELSE ctr_score END AS ctr_score,
+                    CASE WHEN (geek_id + exp_id) % 19 = 0 THEN 'NaN'::DOUBLE ELSE ctcvr_score END AS ctcvr_score) FROM labelled)"""
+
+
+def over_nan(*ctes: str) -> list[str]:
+    """The chain over labelled rows some of whose scores are NaN."""
+    return [LABELLED, NAN, *[c.replace("FROM labelled", "FROM spoiled").replace("labelled.ds", "spoiled.ds") for c in ctes]]
+
+
 def with_(ctes, body: str) -> str:
     pre = oracle_prelude()
     if ctes:
@@ -278,6 +295,80 @@ def _encoded() -> str:
             f"round({' + '.join(plain)} + {known} + {always}, 6) AS feature_sum FROM filled")
 
 
+# ---------------------------------------------------------------- the network's inputs and its forward pass
+
+def _list(items) -> str:
+    return "[" + ", ".join(items) + "]"
+
+
+def _hot(index: str, n: int) -> str:
+    return f"[CASE WHEN k = ({index}) THEN 1.0::DOUBLE ELSE 0.0 END FOR k IN range({n})]"
+
+
+def _joined_lists(lists) -> str:
+    return "list_concat(" + ", ".join(lists) + ")"
+
+
+def _wide() -> str:
+    raw = _list(f"{c}::DOUBLE" for c in C.ADDF_FEATURES if c != "avg_addf_score")
+    return _joined_lists([raw, *[_hot(f"len([b FOR b IN {[float(x) for x in lim]} IF b <= {c}])", len(lim) + 1)
+                                 for c, lim in C.BUCKET_LIMITS.items()]])
+
+
+def _plain() -> str:
+    return _joined_lists([_list(f"{c}::DOUBLE" for c in C.NUMERIC_FEATURES),
+                          *[_hot(f"list_position({list(C.VOCABULARIES[c])}, {c}) - 1", len(C.VOCABULARIES[c]))
+                            for c in C.CATEGORICAL_FEATURES]])
+
+
+def _bucket_of(c: str) -> str:
+    return f"(('0x' || substr(md5(coalesce(CAST({c} AS VARCHAR), '0')), 1, 15))::BIGINT % {C.HASH_SIZES[c]})"
+
+
+def _embedding(c: str) -> str:
+    digest = f"md5('42:{c}:' || {_bucket_of(c)} || ':' || k)"
+    return f"[(('0x' || substr({digest}, 1, 8))::BIGINT::DOUBLE / 2147483648 - 1) / sqrt(32) FOR k IN range(32)]"
+
+
+def _vector_numbers(name: str, value: str) -> str:
+    return (f"CAST(len({value}) AS INTEGER) AS n_{name}, CAST(len([x FOR x IN {value} IF x <> 0]) AS INTEGER) AS {name}_nnz, "
+            f"round(list_sum({value}), 6) AS {name}_sum")
+
+
+#: layer sizes of the network, and the first parameter of each layer
+LAYERS = ((205, 64), (64, 32), (32, 16), (16, 8), (102, 1))
+FIRST = [sum((a + 1) * b for a, b in LAYERS[:k]) for k in range(len(LAYERS))]
+DENSE_BLOCKS = -(-sum((a + 1) * b for a, b in LAYERS) // 32)
+
+
+def _given(block: str, place: str) -> str:
+    """The given weights: a fixed pattern over blocks of 32 parameters and places in them."""
+    return f"((({block}) * 31 + ({place}) * 17) % 101 - 35)::DOUBLE / 1000"
+
+
+def _flat(n: str) -> str:
+    return _given(f"({n}) // 32", f"({n}) % 32")
+
+
+def forward_chain() -> list[str]:
+    """Predictions of the network with given weights: one row a unit, layer by layer."""
+    first_block, parts = DENSE_BLOCKS, []
+    for c, n in C.HASH_SIZES.items():
+        parts.append(f"[{_given(f'{first_block} + {_bucket_of(c)}', 'k')} FOR k IN range(32)]")
+        first_block += n
+    steps = [f"""inputs AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, {MODEL_KEYS}, addf_num, {_wide()} AS wide, {_joined_lists([_plain(), *parts])} AS x0 FROM filled)"""]
+    for k, (a, b) in enumerate(LAYERS):
+        x = "list_concat(x, wide)" if k == len(LAYERS) - 1 else "x"
+        source = "SELECT id, x0 AS x, wide FROM inputs" if k == 0 else f"SELECT id, x, wide FROM layer{k} JOIN inputs USING (id)"
+        steps.append(f"""weights{k + 1} AS MATERIALIZED (
+  SELECT o, [{_flat(f'{FIRST[k]} + i * {b} + o')} FOR i IN range({a})] AS w, {_flat(f'{FIRST[k] + a * b} + o')} AS bias FROM range({b}) AS t(o)),
+layer{k + 1} AS MATERIALIZED (
+  SELECT id, list(greatest(list_dot_product({x}, w) + bias, 0) ORDER BY o) AS x FROM ({source}), weights{k + 1} GROUP BY id)""")
+    steps.append(f"predicted AS (SELECT {MODEL_KEYS}, addf_num, x[1] AS prediction FROM inputs JOIN layer{len(LAYERS)} USING (id))")
+    return steps
+
+
 def oracle_sql() -> dict[str, str]:
     lo, hi = "2020-07-14", "2020-07-26"
     q = {
@@ -286,7 +377,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_range": with_([], f"SELECT * FROM rank_scores WHERE ds BETWEEN '{lo}' AND '{hi}'"),
         "scan_dim": with_([], "SELECT * FROM job_blocks"),
         "distinct_rows": with_([], "SELECT DISTINCT * FROM job_blocks"),
-        "overwrite_day": with_([], "SELECT * FROM rank_scores"),
+        "overwrite_day": with_([], "SELECT * FROM rank_scores WHERE ds <> '2020-07-24'"),  # the day emptied at the end
         "weekday_number": with_([], f"SELECT {ROW_KEYS}, CAST(list_time AS DATE) AS date, "
                                     f"CAST(hour(list_time) AS INTEGER) AS list_hour, {WEEKDAY} AS weekday "
                                     "FROM impressions"),
@@ -302,6 +393,12 @@ def oracle_sql() -> dict[str, str]:
         "band_ratio_wide": with_(FEATURES, "SELECT * FROM segment"),
         **{f"quartiles_by_{e}": with_(FEATURES, f"SELECT * RENAME ({e}_addf_num_3days AS num) FROM q_{e}")
            for e in QUARTILE_KEYS},
+        "nan_band_ratio": with_(over_nan(history((T,)), RATIOS), "SELECT * FROM ratios"),
+        "nan_quartiles": with_(over_nan(history((T,)), QUARTILES),
+                               "SELECT ds, CASE without WHEN 3 THEN 'job' WHEN 5 THEN 'boss' ELSE 'cp' END AS entity, job_id, boss_id, cp, "
+                               "q[1] AS q1, q[2] AS q2, q[3] AS q3, n AS num FROM quartiles"),
+        "nan_pages": with_(over_nan(sample((T,))), f"SELECT {PAGE_KEYS}, num, addf_1, addf_15, {_mean3('addf')} AS avg_addf_score, "
+                           f"{_mean_without_nan('suc')} AS avg_suc_score FROM sample"),
         "page_samples": with_(PAGES, "SELECT * REPLACE (round(avg_addf_score, 9) AS avg_addf_score, "
                                      "round(avg_suc_score, 9) AS avg_suc_score) FROM sample"),
         "page_histogram": with_(PAGES, f"SELECT {PAGE_KEYS}, {', '.join(f'pct{b}' for b in BANDS)}, num FROM sample"),
@@ -348,7 +445,21 @@ def oracle_sql() -> dict[str, str]:
                                           + ", ".join(_hash(c, n) for c, n in C.HASH_SIZES.items())
                                           + " FROM filled"),
         "encoded_rows": with_(MODEL_CHAIN, _encoded()),
-        "shuffled_rows": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS} FROM filled"),
+        "wide_deep_vectors": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS}, {_vector_numbers('wide', 'wide')}, {_vector_numbers('deep', 'deep')} FROM ("
+                                   f"SELECT {MODEL_KEYS}, {_wide()} AS wide, {_joined_lists([_plain(), *map(_embedding, C.HASH_SIZES)])} AS deep FROM filled)"),
+        "embedding_lookup": with_(MODEL_CHAIN, f"SELECT {MODEL_KEYS}, " + ", ".join(
+            f"round(e_{c}[1], 9) AS {c}_first, round(e_{c}[32], 9) AS {c}_last, round(list_sum(e_{c}), 9) AS {c}_sum" for c in C.HASH_SIZES)
+            + f" FROM (SELECT {MODEL_KEYS}, " + ", ".join(f"{_embedding(c)} AS e_{c}" for c in C.HASH_SIZES) + " FROM filled)"),
+        "score_rows": with_(MODEL_CHAIN + forward_chain(), f"SELECT {MODEL_KEYS}, round(prediction, 9) AS prediction FROM predicted"),
+        "evaluate_splits": with_(MODEL_CHAIN + forward_chain(),
+                                 f"SELECT CASE ds WHEN '{T}' THEN 'test' ELSE 'train' END AS split, "
+                                 "round(sqrt(avg(pow(prediction - addf_num, 2))), 9) AS rmse, round(avg(abs(prediction - addf_num)), 9) AS mae, "
+                                 "round(avg(pow(prediction - addf_num, 2)), 9) AS mse, "
+                                 f"round(avg(pow(least(prediction, {C.PREDICTION_CAP}) - addf_num, 2)), 9) AS mse_clipped, "
+                                 "CAST(count(*) AS BIGINT) AS n FROM predicted GROUP BY ALL"),
+        "shuffled_rows": with_(MODEL_CHAIN, f"SELECT *, place // 1000 AS batch FROM (SELECT {MODEL_KEYS}, row_number() OVER (ORDER BY "
+                               f"('0x' || substr(md5(concat_ws('|', '11', {', '.join(f'CAST({k} AS VARCHAR)' for k in MODEL_KEYS.split(', '))})), 1, 15))::BIGINT, "
+                               f"{MODEL_KEYS}) - 1 AS place FROM filled)"),
         "eval_metrics": with_(final_chain(ALL_DAYS),
                               "SELECT round(sqrt(avg(pow(pct_sum - addf_num, 2))), 9) AS rmse, "
                               "round(avg(abs(pct_sum - addf_num)), 9) AS mae, "

@@ -11,11 +11,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config as C, dates
 from ..functions import columns as FC
-from ..operators import bands, encode, enrich, features, finalize, label, metrics, pages, regress, report
+from ..operators import bands, encode, enrich, features, finalize, label, metrics, network, pages, report
 from ..session import shared_dir
 from ..sources import tables, text
 from ..sources.fixtures import DAYS, TARGET_DAY, input_tables
@@ -86,12 +87,10 @@ class Ctx:
         return enrich.profile_rows(tables.scan_day(self.impressions, T))
 
     def quartiles(self, entity: str) -> DataFrame:
-        return self._memo("quartiles", lambda: features.quartile_features(self.lookback()))[entity]
+        return self._memo(f"quartiles-{entity}", lambda: features.score_quartiles(self.lookback(), entity))
 
     def joined(self) -> DataFrame:
-        return enrich.joined_rows(self.pages(), bands.band_ratio_wide(self.lookback()),
-                                  self.quartiles("job"), self.quartiles("boss"),
-                                  self.quartiles("cp"), self.blocks, self.profiles())
+        return enrich.joined_rows(self.pages(), *daily.features_for(self.info(), [T]), self.blocks, self.profiles())
 
     def final(self) -> DataFrame:
         return finalize.final_rows(self.joined())
@@ -136,13 +135,14 @@ def q_distinct_rows(spark, sf):
 
 
 def q_overwrite_day(spark, sf):
-    """Write all days, overwrite the target day twice, read the table back."""
+    """Write all days, overwrite the target day twice, empty the day before it, read the table back."""
     c = _ctx(spark, sf)
     path = f"{shared_dir(spark)}/tables/scores-{uuid.uuid4().hex}"
     tables.overwrite_day(c.scores, path)
     day = tables.scan_day(c.scores, T)
-    tables.overwrite_day(day, path)
-    tables.overwrite_day(day, path)
+    tables.overwrite_day(day, path, days=[T])
+    tables.overwrite_day(day, path, days=[T])
+    tables.overwrite_day(c.scores.where("false"), path, days=[LOOKBACK[0]])
     return tables.read_table(spark, path)
 
 
@@ -214,6 +214,31 @@ def q_page_histogram(spark, sf):
     return pages.page_histogram(_ctx(spark, sf).pages())
 
 
+# ---------------------------------------------------------------- scores that are not numbers
+
+def _with_nan(df: DataFrame) -> DataFrame:
+    """Every 17th score, and every 19th success score, is NaN."""
+    nan = F.lit(float("nan"))
+    return df.withColumns({"ctr_score": F.when((F.col("geek_id") + F.col("exp_id")) % 17 == 0, nan).otherwise(F.col("ctr_score")),
+                           "ctcvr_score": F.when((F.col("geek_id") + F.col("exp_id")) % 19 == 0, nan).otherwise(F.col("ctcvr_score"))})
+
+
+def q_nan_band_ratio(spark, sf):
+    return bands.band_ratio(_with_nan(_ctx(spark, sf).lookback()))
+
+
+def q_nan_quartiles(spark, sf):
+    """Quartiles of all three entities from one histogram."""
+    return features.entity_quartiles(features.score_counts(_with_nan(_ctx(spark, sf).lookback())))
+
+
+def q_nan_pages(spark, sf):
+    """Complete pages of the other scores, and their rounded means."""
+    rows = pages.page_samples(_with_nan(tables.scan_day(_ctx(spark, sf).info(), T)))
+    return rows.select(*PAGE_KEY_COLS, "num", "addf_1", "addf_15", *[
+        FC.mean_rounded([f"{k}_{i}" for i in range(1, C.PAGE_SIZE + 1)], 3).alias(f"avg_{k}_score") for k in ("addf", "suc")])
+
+
 # ---------------------------------------------------------------- joins and derived columns
 
 def q_ratio_join(spark, sf):
@@ -371,31 +396,68 @@ def q_encoded_rows(spark, sf):
     return out.withColumn("feature_sum", F.round("feature_sum", 6))
 
 
-#: the defaults of ``regress.fit``, but for the seed
+def q_wide_deep_vectors(spark, sf):
+    """Width, non-zero numbers and sum of the two input vectors, embeddings included."""
+    rows = encode.lookup_embeddings(encode.hash_indices(_model_rows(spark, sf)), encode.initial_embeddings(spark))
+    out = rows.select(*MODEL_KEYS, encode.wide_vector().alias("wide"), encode.deep_vector().alias("deep"))
+    shown = [c for v in ("wide", "deep") for c in (
+        F.size(v).alias(f"n_{v}"), F.size(F.filter(v, lambda x: x != 0)).alias(f"{v}_nnz"),
+        F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x), 6).alias(f"{v}_sum"))]
+    return out.select(*MODEL_KEYS, *shown)
+
+
+def q_embedding_lookup(spark, sf):
+    """First, last and summed value of each hashed field's embedding."""
+    rows = encode.lookup_embeddings(encode.hash_indices(_model_rows(spark, sf)), encode.initial_embeddings(spark))
+    return rows.select(*MODEL_KEYS, *[c for f in C.HASH_SIZES for c in (
+        F.round(F.get(f"{f}_embedding", F.lit(0)), 9).alias(f"{f}_first"), F.round(F.get(f"{f}_embedding", F.lit(31)), 9).alias(f"{f}_last"),
+        F.round(F.aggregate(f"{f}_embedding", F.lit(0.0), lambda a, x: a + x), 9).alias(f"{f}_sum"))])
+
+
+#: the defaults of ``network.fit``, but for the seed
 FIT = {"seed": 7}
 
 
 def _fit(spark, sf):
     """Fitted on all days but the target day."""
     def build():
-        rows = _model_rows(spark, sf)
-        return regress.fit(rows.where(F.col("ds") != T), label="addf_num", **FIT)
-    return _ctx(spark, sf)._memo("fm_model", build)
+        with tables.run_folder(spark):
+            return network.fit(_model_rows(spark, sf).where(F.col("ds") != T), MODEL_KEYS, **FIT)
+    return _ctx(spark, sf)._memo("network", build)
 
 
 def q_fit_and_score(spark, sf):
     """Label and prediction of the held-out target day."""
     rows = _model_rows(spark, sf).where(F.col("ds") == T)
-    return regress.score(_fit(spark, sf), rows).select(*MODEL_KEYS, "addf_num", "prediction")
+    return network.score(_fit(spark, sf), rows).select(*MODEL_KEYS, "addf_num", "prediction")
+
+
+def given_state() -> network.State:
+    """A network with given weights: a fixed pattern over blocks and places, which SQL can repeat."""
+    shape = network.Shape()
+    block, place = np.indices((shape.blocks, network.BLOCK))
+    params = ((block * 31 + place * 17) % 101 - 35) / 1000.0
+    return network.State(shape, params, np.zeros_like(params))
+
+
+def _given_scores(spark, sf) -> DataFrame:
+    return network.score(given_state(), _model_rows(spark, sf))
 
 
 def q_score_rows(spark, sf):
-    """Predictions of all days."""
-    return regress.score(_fit(spark, sf), _model_rows(spark, sf)).select(*MODEL_KEYS, "prediction")
+    """Predictions of all days by the network with given weights."""
+    return _shown(_given_scores(spark, sf).select(*MODEL_KEYS, "prediction"), ["prediction"])
+
+
+def q_evaluate_splits(spark, sf):
+    """Metrics of these predictions on the train and test splits."""
+    rows = encode.date_split(_given_scores(spark, sf), DAYS[0], DAYS[2], T)
+    return _shown(metrics.eval_metrics(rows, label="addf_num", by=["split"]), ["rmse", "mae", "mse", "mse_clipped"])
 
 
 def q_shuffled_rows(spark, sf):
-    return encode.shuffled(_model_rows(spark, sf), seed=11).select(*MODEL_KEYS)
+    """Place of every row in a seeded random order, and its batch of 1,000 rows."""
+    return encode.permuted(_model_rows(spark, sf), MODEL_KEYS, seed=11, batch_rows=1000).select(*MODEL_KEYS, "place", "batch")
 
 
 def q_train_evaluate(spark, sf):

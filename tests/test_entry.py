@@ -12,7 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from tools.check_oracle import rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"fit_and_score", "score_rows", "train_evaluate"}  # compared with plain Python in test_regress.py
+ROWS_ONLY = {"fit_and_score", "train_evaluate"}  # fitted models: test_network.py
 
 
 def own(names):
