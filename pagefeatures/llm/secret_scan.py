@@ -62,6 +62,41 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def running(values: Column, merge) -> Column:
+    """values[0], merge(values[0], values[1]) and so on: sums or maxima up to every place (not negative numbers).
+
+    Arrays grow by copying, so the places of a block of 256 are run through on
+    their own, and each block's is merged with what the blocks before come to:
+    the work grows with the length.
+    """
+    def inside(block: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, start, lambda acc, x: F.struct(
+            merge(acc["at"], x).alias("at"), F.array_append(acc["out"], merge(acc["at"], x)).alias("out")), lambda acc: acc["out"])
+
+    def joined(parts: Column) -> Column:
+        before = inside(F.transform(parts, lambda part: F.coalesce(F.get(part, F.size(part) - 1), F.lit(0))))
+        return let(before, lambda ends: F.flatten(F.transform(parts, lambda part, k: F.transform(
+            part, lambda x: merge(F.coalesce(F.get(ends, k - 1), F.lit(0)), x)))))
+    return let(values, lambda v: let(F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(F.size(v) - 1, F.lit(0)) / 256).cast("int")),
+        lambda k: inside(F.slice(v, k * 256 + 1, F.lit(256)))), joined))
+
+
+def added(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def count_below(n: Column, below) -> Column:
+    """How many of 0..n-1 fulfil ``below``, which holds up to some place and not beyond it (binary search)."""
+    first = F.struct(F.lit(0).alias("lo"), n.cast("int").alias("hi"))
+
+    def narrow(acc: Column, _: Column) -> Column:
+        return let(F.floor((acc["lo"] + acc["hi"]) / 2).cast("int"), lambda mid: F.when(acc["lo"] >= acc["hi"], acc).when(
+            below(mid), F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(32)), first, narrow, lambda acc: acc["lo"])
+
+
 def located(pattern: str, kind: int, text: str, group: int = 0, least: int = 0) -> tuple[Column, Column]:
     """Matches, and (from the matches in a column ``found``) the spans of those whose group has ``least`` characters or more.
 
@@ -69,17 +104,29 @@ def located(pattern: str, kind: int, text: str, group: int = 0, least: int = 0)
     Texts without a match are read once; others are also split at the
     matches, and the lengths of pieces and matches add up to positions.
     """
-    at = f"""filter(aggregate(sequence(0, size(m.found) - 1),
-        named_struct('at', 0, 'out', CAST(array() AS {SPAN})),
-        (acc, i) -> named_struct('at', acc.at + char_length(m.pieces[i]) + char_length(m.found[i]),
-            'out', array_append(acc.out, named_struct('start', acc.at + char_length(m.pieces[i]), 'kind', {kind},
-                'end', acc.at + char_length(m.pieces[i]) + char_length(m.found[i]),
-                'value', m.captured[i])))).out, s -> char_length(s.value) >= {least})"""
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    spans = F.expr(f"""get(transform(array(named_struct('found', found, 'pieces', split({text}, '{quoted}'),
-        'captured', regexp_extract_all({text}, '{quoted}', {group}))), m -> {at}), 0)""")
-    return matches, spans
+    whole = F.struct(F.col("found").alias("found"), F.split(text, pattern).alias("pieces"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("captured"))
+
+    def spans(m: Column) -> Column:
+        lengths = F.transform(m["found"], lambda f, i: F.char_length(F.get(m["pieces"], i)) + F.char_length(f))
+        return let(running(lengths, added), lambda ends: F.filter(F.transform(m["found"], lambda f, i: F.struct(
+            (F.get(ends, i) - F.char_length(f)).alias("start"), F.lit(kind).alias("kind"), F.get(ends, i).alias("end"),
+            F.get(m["captured"], i).alias("value"))), lambda s: F.char_length(s["value"]) >= least))
+    return matches, let(whole, spans)
+
+
+def without_overlap(runs: Column, base: Column) -> Column:
+    """The runs that no span of ``base`` (ordered by start) overlaps.
+
+    Of the spans that start before a run's end, the largest end decides.
+    """
+    def kept(pair: Column) -> Column:
+        return F.filter(pair["runs"], lambda r: let(
+            count_below(F.size(pair["base"]), lambda k: F.get(pair["base"], k)["start"] < r["end"]),
+            lambda n: (n == 0) | (F.get(pair["ends"], n - 1) <= r["start"])))
+    ends = running(F.transform(base, lambda b: b["end"]), F.greatest)
+    return F.when((F.size(runs) > 0) & (F.size(base) > 0), let(F.struct(runs.alias("runs"), base.alias("base"), ends.alias("ends")), kept)).otherwise(runs)
 
 
 def normal_tail(z: Column) -> Column:
@@ -189,9 +236,16 @@ def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: t
     shapes, ``spans`` also the runs that the battery can't tell from random,
     unless a known shape overlaps them.  A null or empty text has none,
     repeated rows repeat (but their runs count once in the histogram), an empty
-    table gives none.
+    table gives none.  Kept columns may have any names but the two of the
+    result; ``scan_rows`` takes those too.
     """
-    text = df.select(*keep, whole_text(text_col).alias(BODY))
+    return scan_rows(df, fdr, text_col, keep, lost).select("row.*", "base", "spans")
+
+
+def scan_rows(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+              lost: float = 0.01) -> DataFrame:
+    """``scan_spans`` with the kept columns in one struct ``row``, where no name can clash."""
+    text = df.select(F.struct(*[df[c] for c in keep]).alias("row"), whole_text(df[text_col]).alias(BODY))
     gates = ((ASSIGN, 0, 1, 12, F.col(BODY).contains("=") | F.col(BODY).contains(":")),
              (ACCESS, 1, 0, 0, F.col(BODY).contains("AKIA")), (HEX, 2, 0, 0, F.lit(True)), (RUN, 3, 0, 0, F.lit(True)))
     none = F.expr(f"CAST(array() AS {SPAN})")
@@ -200,15 +254,14 @@ def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: t
         # only texts that can match are searched, only texts that do are taken apart
         text = text.withColumn("found", F.when(gate, matches))
         text = text.withColumn(f"k{kind}", F.when(F.size("found") > 0, spans).otherwise(none)).drop("found")
-    base = F.array_sort(F.concat("k0", "k1", "k2"))
-    text = text.select(*keep, base.alias("base"), F.filter("k3", lambda s: s["value"].rlike("[A-Za-z]")).alias("runs"))
-    runs = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    tested = F.transform(runs, lambda r: let(battery(r["value"]), lambda t: F.struct(
+    plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+    base = F.array_sort(F.transform(F.concat("k0", "k1", "k2"), plain))
+    text = text.select("row", base.alias("base"), F.filter("k3", lambda s: s["value"].rlike("[A-Za-z]")).alias("runs"))
+    tested = F.transform(without_overlap(F.col("runs"), F.col("base")), lambda r: let(battery(r["value"]), lambda t: F.struct(
         r["start"].alias("start"), r["kind"].alias("kind"), r["end"].alias("end"),
         family(t["encoding"], t["n"]).alias("family"), p_bin(t["p"]).alias("bin"),
         F.xxhash64(F.regexp_replace(r["value"], "=+$", "")).alias("key"))))
-    plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
-    rows = stored(text.select(*keep, F.transform("base", plain).alias("base"), tested.alias("runs")), "secret-spans")
+    rows = stored(text.select("row", "base", tested.alias("runs")), "secret-spans")
 
     histogram: dict[int, dict[int, int]] = {}
     for r in rows.select(F.inline("runs")).groupBy("family", "bin").agg(F.countDistinct("key").alias("n")).collect():
@@ -219,7 +272,7 @@ def scan_spans(df: DataFrame, fdr: float = 0.05, text_col: str = "text", keep: t
         random = F.filter("runs", lambda r: r["bin"] < F.element_at(table, r["family"]))
     else:
         random = F.col("runs")
-    return rows.select(*keep, "base", F.array_sort(F.concat("base", F.transform(random, plain))).alias("spans"))
+    return rows.select("row", "base", F.array_sort(F.concat("base", F.transform(random, plain))).alias("spans"))
 
 
 def spans_text(spans: str) -> Column:
@@ -228,11 +281,27 @@ def spans_text(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span (they may overlap) replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, start, lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
-        .otherwise(acc["out"]).alias("out")), lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+def redact(text: Column, spans: Column, mark: str = "[SECRET]", part: int = 4096) -> Column:
+    """The text with every span (they may overlap) replaced by a mark; ``spans`` are ordered by start.
+
+    Done in parts of the text, each with the spans that reach into it, so the
+    work grows with the text.
+    """
+    def of_part(x: Column, piece: Column, number: Column) -> Column:
+        left = number * part
+        first = count_below(F.size(x["ends"]), lambda k: F.get(x["ends"], k) <= left)
+        after = count_below(F.size(x["spans"]), lambda k: F.get(x["spans"], k)["start"] < left + F.char_length(piece))
+        start = F.struct(left.cast("int").alias("at"), F.lit("").alias("out"))
+        here = F.slice(x["spans"], (first + 1).cast("int"), F.greatest(after - first, F.lit(0)).cast("int"))
+        return F.aggregate(here, start, lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(piece, acc["at"] - left + 1, s["start"] - acc["at"]), F.lit(mark)))
+            .otherwise(acc["out"]).alias("out")),
+            lambda acc: F.concat(acc["out"], F.when(acc["at"] < left + F.char_length(piece), F.substr(piece, acc["at"] - left + 1)).otherwise("")))
+
+    def done(x: Column) -> Column:
+        return F.array_join(F.transform(x["pieces"], lambda piece, number: of_part(x, piece, number)), "")
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{part}}}"), F.lit(0))
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return F.when(F.size(spans) > 0, let(F.struct(pieces.alias("pieces"), spans.alias("spans"), ends.alias("ends")), done)).otherwise(text)
