@@ -5,7 +5,7 @@ sequence is cut.  Packing needs no more than the histogram of piece lengths
 (at most ``capacity`` numbers, so the driver's work does not grow with the
 corpus):
 
-1. lengths fall into ``classes`` of equal width; every pattern of up to
+1. lengths fall into ``classes`` of equal width (but for rounding); every pattern of up to
    ``depth`` classes that fills a sequence is enumerated;
 2. repeat counts of the patterns are fitted to the histogram of classes by
    non-negative least squares (active set), rounded down, and each repeat
@@ -128,7 +128,7 @@ def class_patterns(classes: int, depth: int) -> np.ndarray:
     """Every pattern of 1 to ``depth`` classes, largest first, whose classes add up to ``classes``.
 
     Class c holds the lengths over (c-1)/classes and up to c/classes of a
-    sequence, so such a pattern always fits.  Unused places are 0.
+    sequence, rounded down, so such a pattern always fits.  Unused places are 0.
     """
     found = [(classes,)]
     partial = [(a,) for a in range(1, classes)]
@@ -186,34 +186,32 @@ def plan_sequences(histogram: dict[int, int], capacity: int = 4096, classes: int
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
-    width = capacity // classes if capacity % classes == 0 else None
+    limits = [c * capacity // classes for c in range(classes + 1)]
     groups: list[tuple[int, list[tuple[int, int]]]] = []
-    if width:
-        by_class = left[1:].reshape(classes, width).sum(axis=1)
-        patterns = class_patterns(classes, depth)
-        counts = np.floor(fit_counts(patterns, by_class) + 1e-9).astype(np.int64)
-        for k in np.argsort(-counts, kind="stable"):
-            need = int(counts[k])
-            wanted = [int(c) for c in patterns[k] if c]
-            while need > 0:
-                # the longest pieces left in each class, the last one as long as still fits,
-                # as often as all of them last
-                got: list[int] = []
-                for c in wanted:
-                    most = c * width if len(got) < len(wanted) - 1 else capacity - sum(got)
-                    span = range(most, (c - 1) * width, -1)
-                    length = next((n for n in span if left[n] > got.count(n)), 0)
-                    if not length:
-                        break
-                    got.append(length)
-                if len(got) < len(wanted):
+    by_class = np.add.reduceat(np.append(left, 0), [n + 1 for n in limits])[:-1] if classes <= capacity else np.zeros(classes, np.int64)
+    patterns = class_patterns(classes, depth)
+    counts = np.floor(fit_counts(patterns, by_class) + 1e-9).astype(np.int64)
+    for k in np.argsort(-counts, kind="stable"):
+        need = int(counts[k])
+        wanted = [int(c) for c in patterns[k] if c]
+        while need > 0:
+            # the longest pieces left in each class, the last one as long as still fits,
+            # as often as all of them last
+            got: list[int] = []
+            for c in wanted:
+                most = limits[c] if len(got) < len(wanted) - 1 else capacity - sum(got)
+                length = next((n for n in range(most, limits[c - 1], -1) if left[n] > got.count(n)), 0)
+                if not length:
                     break
-                runs = [(n, got.count(n)) for n in sorted(set(got), reverse=True)]
-                times = min(need, *(int(left[n]) // m for n, m in runs))
-                for n, m in runs:
-                    left[n] -= times * m
-                groups.append((times, runs))
-                need -= times
+                got.append(length)
+            if len(got) < len(wanted):
+                break
+            runs = [(n, got.count(n)) for n in sorted(set(got), reverse=True)]
+            times = min(need, *(int(left[n]) // m for n, m in runs))
+            for n, m in runs:
+                left[n] -= times * m
+            groups.append((times, runs))
+            need -= times
     room: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}
     for times, runs in groups:
         room.setdefault(capacity - sum(n * m for n, m in runs), []).append((times, runs))
@@ -287,7 +285,8 @@ def pack(df: DataFrame, vocab_path: str, capacity: int = 4096, end_id: int = 1,
         k = rank.to_numpy() - first
         return pd.DataFrame({"sequence_id": base + k // n, "offset": offset + k % n * length.to_numpy()})
 
-    placed = (pieces.join(starts, ["part", "length"])
+    # as many rows as tasks x lengths: merged, never broadcast
+    placed = (pieces.join(starts.hint("merge"), ["part", "length"])
               .withColumn("place", place("length", F.col("rank") + F.col("before"))))
     return placed.select(id_col, "piece", "start", "length", "ids_crc32", "place.sequence_id", "place.offset",
                          *["ids"] * keep_ids)
