@@ -41,13 +41,14 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret in the text replaced by a mark and n_chars counted again."""
-    rows = secret_scan.scan_spans(docs, keep=tuple(docs.columns))
-    text = secret_scan.redact(F.col("text"), F.col("spans"))
-    out = rows.withColumn("text", text)
+    rows = secret_scan.scan_rows(docs, keep=tuple(docs.columns))
+    text = secret_scan.redact(F.col("row").getField("text"), F.col("spans"))
+    rows = rows.select("row", (F.size("spans") > 0).alias("changed"), text.alias("text"))
+    kept = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        kept["n_chars"] = F.when(F.col("changed"), count).otherwise(kept["n_chars"])
+    return rows.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
