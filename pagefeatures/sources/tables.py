@@ -140,6 +140,12 @@ def run_folder(spark, name: str | None = None):
     remove_path(spark, folder)
 
 
+def current_run() -> str | None:
+    """Folder of the run that is under way, if any."""
+    run = _RUN.get()
+    return run[0] if run else None
+
+
 def materialize(spark, df: DataFrame, name: str, day_col: str | None = "ds",
                 rebalance: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
