@@ -4,9 +4,11 @@ Features are the distinct character n-grams of a whole text (lower case, runs
 of white space as one blank), hashed into ``1 << BITS`` buckets.  Labelled
 texts give each bucket the ratio r = log(share of toxic texts with it / share
 of other texts with it); the buckets whose ratio is best supported are kept.
-A text's vector holds r for each kept bucket that it has, over the root of
-their number, so that long texts don't score by length; a logistic
-regression over these vectors is the classifier.
+A text's vector holds r for each kept bucket that it has, over the fourth root
+of their number: long texts then score little by length, and a few toxic words
+in a long text still count.  A logistic regression over these vectors is the
+classifier.  How many buckets are kept, the root and the decay were chosen by
+validation on a fourth of the learning rows; with all buckets it finds fewer.
 
 The fit reads a bounded sample of labelled rows (``max_rows``, a parameter).
 Everything that reaches the driver is bounded by it and by ``max_features``;
@@ -25,6 +27,8 @@ from .common import ship_code, stored, whole_text
 
 BITS = 18
 SIZES = (3, 4, 5)
+#: a vector is divided by the number of its features to this power
+POWER = 0.25
 
 
 def ngram_buckets(text: str) -> np.ndarray:
@@ -67,12 +71,12 @@ class Model:
     def score(self, text: str) -> float:
         weights = self.weight[np.unique(ngram_buckets(text))]
         weights = weights[~np.isnan(weights)]
-        z = self.offset + (weights.sum(dtype=np.float64) / np.sqrt(len(weights)) if len(weights) else 0.0)
+        z = self.offset + (weights.sum(dtype=np.float64) / len(weights) ** POWER if len(weights) else 0.0)
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
 def fit_logistic(row: np.ndarray, feature: np.ndarray, value: np.ndarray, labels: np.ndarray, features: int,
-                 rounds: int = 100, step: float = 0.05, decay: float = 1e-6) -> tuple[np.ndarray, float]:
+                 rounds: int = 200, step: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and offset of a logistic regression on sparse rows, by Adam on the whole sample."""
     w = np.zeros(features + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -87,7 +91,7 @@ def fit_logistic(row: np.ndarray, feature: np.ndarray, value: np.ndarray, labels
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_features: int = 1 << 11,
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_features: int = 1400,
           least_texts: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           learn: Column | None = None) -> Model:
     """Fit on at most ``max_rows`` labelled rows, chosen by the hash of their id.
@@ -135,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_featur
     sizes = np.array([len(x) for x in sample.column("features")], np.int64)
     feature = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x.values, np.int64) for x in sample.column("features"))])
     row = np.repeat(np.arange(len(y)), sizes)
-    value = ratios[feature] / np.sqrt(sizes[row]) if len(feature) else np.zeros(0)
+    value = ratios[feature] / sizes[row] ** POWER if len(feature) else np.zeros(0)
     weights, offset = fit_logistic(row, feature, value, y, len(ratios))
     weight = np.full(1 << BITS, np.nan, np.float32)
     for k, b in enumerate(best):
