@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagefeatures.llm import exact_dedup, packing, secret_scan, simhash, toxicity
 from pagefeatures.llm.common import ascii_lower, stored, whole_text
+from pagefeatures.sources.tables import run_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over all of ``documents``."""
+    """The last stage's rows over all of ``documents``.
+
+    Tables between and within the stages are dropped when the last one is written, and stay if a stage fails.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{k}")
-    return docs
+    with run_folder(spark):
+        for k, (_, stage) in enumerate(STAGES[:-1]):
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{k}")
+        return stored(STAGES[-1][1](spark, docs, sf_dir), "pipeline", result=True)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, ship_package
+from ..sources.tables import current_run
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -29,32 +27,9 @@ def ascii_lower(text: Column) -> Column:
             .otherwise(F.translate(text, UPPER, UPPER.lower())))
 
 
-_SHIPPED: set[str] = set()
-
-
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application.
-
-    Their functions are then found also where the package isn't installed.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    with tempfile.TemporaryDirectory() as folder:
-        target = os.path.join(folder, "pagefeatures-code.zip")
-        with zipfile.ZipFile(target, "w") as z:
-            for at, _, names in os.walk(package):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        full = os.path.join(at, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
-        jvm = sc._jvm
-        shared = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/llm-code/{sc.applicationId}/pagefeatures-code.zip")
-        files = shared.getFileSystem(sc._jsc.hadoopConfiguration())
-        files.copyFromLocalFile(True, True, jvm.org.apache.hadoop.fs.Path(f"file://{target}"), shared)
-    sc.addPyFile(files.makeQualified(shared).toString())
-    _SHIPPED.add(sc.applicationId)
+    """Send this package to the Python workers, once for each application."""
+    ship_package(spark)
 
 
 def clear_shared(spark: SparkSession) -> None:
@@ -72,14 +47,16 @@ def _root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/llm-tables/{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: str | None = None, result: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage: later steps, and retries after the loss of an
-    executor, read the table and don't repeat the work behind it.
+    executor, read the table and don't repeat the work behind it.  Within
+    ``sources.tables.run_folder`` the table goes with the run, unless it is
+    the run's ``result``.
     """
     spark = df.sparkSession
-    path = f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{(not result and current_run()) or _root(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
