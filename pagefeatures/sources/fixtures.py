@@ -25,8 +25,8 @@ from ..session import path_exists, shared_dir
 DAYS = ("2020-07-22", "2020-07-23", "2020-07-24", "2020-07-25")
 TARGET_DAY = "2020-07-25"
 
-# Four days, four jobs per boss, pages of at most 15 impressions; scores of a
-# million steps, negative and NULL ones, NULL positions, out-of-vocabulary categories on purpose.
+# Four days, four jobs per boss, pages of at most 15 impressions; scores in
+# thousandths and between, negative and NULL ones, NULL positions, out-of-vocabulary categories on purpose.
 EXPO_SQL = """
 WITH base AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_extendedprice,
@@ -49,7 +49,7 @@ SELECT boss_id, job_id, l_orderkey AS geek_id, l_linenumber AS exp_id,
        concat('s', CAST(job_id % 7 AS STRING)) AS sessionid,
        page, CAST(pos_in_page AS STRING) AS rank,
        CASE WHEN cents % 211 = 0 THEN CAST(-0.5 AS DOUBLE)
-            ELSE CAST(cents % 1000 * 1000 + l_partkey % 1000 AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS ctr_score,
+            ELSE CAST(cents % 1000 * 1000 + (l_partkey % 3) * (l_partkey % 333) AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS ctr_score,
        CASE WHEN (l_partkey + l_orderkey) % 50 = 0 THEN CAST(NULL AS DOUBLE)
             ELSE CAST((cents + 7 * l_partkey) % 1000 AS DOUBLE) / CAST(2000 AS DOUBLE) END AS ctcvr_score,
        CASE (l_orderkey * 3 + l_linenumber * 7 + l_partkey) % 10
