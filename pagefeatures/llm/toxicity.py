@@ -7,8 +7,8 @@ of other texts with it); the buckets whose ratio is best supported are kept.
 A text's vector holds r for each kept bucket that it has, over the fourth root
 of their number: long texts then score little by length, and a few toxic words
 in a long text still count.  A logistic regression over these vectors is the
-classifier.  How many buckets are kept, the root and the decay were chosen by
-validation on a fourth of the learning rows; with all buckets it finds fewer.
+classifier.  How many buckets are kept, the root and the decay were chosen with a
+fourth of the learning rows of sf0.1 for validation; with all buckets it finds fewer.
 
 The fit reads a bounded sample of labelled rows (``max_rows``, a parameter).
 Everything that reaches the driver is bounded by it and by ``max_features``;
