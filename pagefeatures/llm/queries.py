@@ -94,7 +94,7 @@ QUERIES = {f.__name__: f for f in (
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-_WORDS = "|".join(r.name for r in url_rules.WORD_RULES)
+_PATTERNS = ", ".join(["(NULL, NULL)", *(f"('{r.name}', '{r.pattern}')" for r in url_rules.WORD_RULES + url_rules.PATTERN_RULES)])
 
 
 def vector_codes_sql(dims: int = 64, parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
@@ -138,10 +138,10 @@ ORACLE_SQL = {
             WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
             WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
             WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts),
-        words AS (SELECT *, unnest([NULL, {', '.join(f"'{r.name}'" for r in url_rules.WORD_RULES)}]) AS word FROM ruled),
+        rules(word, pattern) AS (VALUES {_PATTERNS}),
+        words AS (SELECT ruled.*, word, pattern FROM ruled CROSS JOIN rules),
         found AS (SELECT page_id, host, path, rule, max_by(word, (length(word), word)) AS word FROM words
-                  WHERE word IS NULL OR regexp_matches(host || path, '(?i)(^|[^a-z0-9])' || word || '($|[^a-z0-9])')
-                  GROUP BY ALL)
+                  WHERE word IS NULL OR regexp_matches(host || path, pattern) GROUP BY ALL)
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL OR word IS NOT NULL THEN 'block'
                     ELSE 'allow' END AS verdict,

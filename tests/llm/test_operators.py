@@ -331,6 +331,52 @@ def test_nonnegative_fit():
 
 
 # 4 -----------------------------------------------------------------------------------------------------------------
+def glob_fits(glob, place):
+    """A pattern rule by its parts: each follows the one before, the first and last at an anchor."""
+    fold = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    parts, place = fold(glob.strip("|")).split("*"), fold(place)
+    at = 0
+    for k, part in enumerate(parts):
+        if k == 0 and glob.startswith("|"):
+            if not place.startswith(part):
+                return False
+            at = len(part)
+            continue
+        if k == len(parts) - 1 and glob.endswith("|"):
+            return place.endswith(part) and len(place) - len(part) >= at
+        found = place.find(part, at)
+        if found < 0:
+            return False
+        at = found + len(part)
+    return True
+
+
+def test_pattern_rules(spark):
+    assert {r.name: r.tokens for r in map(url_rules.pattern_rule, ("|ads.*/banner/", "/cgi-bin/*.pl|", "|www.*x.example.*/es/*html|", "tag/a*b/feed", "*"))} == {
+        "|ads.*/banner/": ("ads", "banner"), "/cgi-bin/*.pl|": ("bin", "cgi", "pl"), "|www.*x.example.*/es/*html|": ("es", "example", "www"),
+        "tag/a*b/feed": (), "*": ()}
+    urls = [f"http://{h}/{p}" for h in ("ads.x.com", "www.a-x.example.org", "blog.q-x.example.org", "xads.com")
+            for p in ("a/banner/1", "cgi-bin/a.pl", "cgi-bin/a.plx", "es/1.HTML", "es/1.html/", "tag/x/feed/", "TAG/x/y/feed/z", "print/9.html")]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for rule in url_rules.PATTERN_RULES:
+        got = {r.page_id for r in url_rules.judge_urls(df, rules=[rule]).where("verdict = 'block'").collect()}
+        assert got == {i for i, u in enumerate(urls) if glob_fits(rule.name, u[7:])}, rule.name
+
+
+def test_a_rule_moves_to_the_token_that_has_become_rare(spark):
+    rule = url_rules.pattern_rule("/tag/*/feed/")
+
+    def filed(counts):
+        rows = [(["tag"],)] * counts["tag"] + [(["feed", "other"],)] * counts["feed"]
+        return url_rules.rule_index(spark.createDataFrame(rows, "tokens array<string>"), [rule]).first().token
+    assert (filed({"tag": 5, "feed": 2}), filed({"tag": 1, "feed": 2}), filed({"tag": 2, "feed": 2}), filed({"tag": 0, "feed": 1})) == (
+        "feed", "tag", "feed", "tag")
+    many = [url_rules.pattern_rule(f"/section{k}/*/page{k}.html|") for k in range(3000)]
+    df = spark.createDataFrame([(k, f"http://x.org/section{k}/a/page{k}.html") for k in range(0, 3000, 7)], "page_id long, url string")
+    got = {r.page_id: r.rule for r in url_rules.judge_urls(df, rules=many).collect()}
+    assert got == {k: f"/section{k}/*/page{k}.html|" for k in range(0, 3000, 7)}
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://", "http://net", "http://net/", "HTTP://A.NET/x", "https://x.example.net/en/1?q#f", "https://example.net/en",
             "https://EXAMPLE.net/EN/1", "http://xexample.net/en/1", "http://example.net:80/en/", "http://a.example.com/de/", "http://b.org/fr/1", "http://org/fr/",
@@ -351,6 +397,7 @@ def test_url_rules(spark):
             if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[0])):
                 best = rule, verdict
         word = any(re.search(rf"(?ia)(^|[^a-z0-9]){w.name}($|[^a-z0-9])", host + path) for w in url_rules.WORD_RULES)
+        word = word or any(glob_fits(w.name, host + path) for w in url_rules.PATTERN_RULES)
         return host, path, best and best[0], best[1] if best else "block" if word else "allow"
 
     rows = url_rules.judge_urls(df).collect()
