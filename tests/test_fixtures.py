@@ -1,6 +1,9 @@
 """Input tables: numbered once, the three tables are columns of that result."""
 
-from pagefeatures.sources import fixtures
+from pyspark.sql import functions as F
+
+from pagefeatures import config as C
+from pagefeatures.sources import fixtures, text
 
 
 def raw_folder(spark, tmp_path):
@@ -31,3 +34,26 @@ def test_inputs_are_numbered_once(spark, tmp_path, monkeypatch):
     for name, df in plain.items():
         assert got[name].columns == df.columns and got[name].count() > 0
         assert got[name].exceptAll(df).isEmpty() and df.exceptAll(got[name]).isEmpty()
+
+
+def test_days_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    """Inputs and training text are not sorted by day before they are written; the setting is put back."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name, None)
+    for kind in ("parquet", "csv"):
+        def write(self, path, *args, _write=getattr(DataFrameWriter, kind), **kw):
+            seen.append(int(spark.conf.get(name, "0")))
+            return _write(self, path, *args, **kw)
+        monkeypatch.setattr(DataFrameWriter, kind, write)
+    rows = spark.sql("SELECT id AS x, concat('2020-07-', 10 + id % 11) AS ds FROM range(200)")  # more days than are kept open
+    got = fixtures._write_once(spark, rows, f"{tmp_path}/days")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+    kinds = {f.name: f.dataType.simpleString() for f in text.text_schema()}
+    final = spark.range(40).select(*[F.lit(None).cast(kinds[c]).alias(c) if c != "boss_id" else F.col("id").alias(c)
+                                     for c in C.TEXT_COLUMNS], F.concat(F.lit("2020-07-1"), F.col("id") % 3).alias("ds"))
+    text.write_text(final, f"{tmp_path}/text")
+    back = text.read_days(spark, f"{tmp_path}/text", "2020-07-10", "2020-07-12", cols=["boss_id"])
+    assert sorted(map(tuple, back.collect())) == sorted((i, f"2020-07-1{i % 3}") for i in range(40))
+    assert seen and min(seen) > 1 and spark.conf.get(name, None) == before
