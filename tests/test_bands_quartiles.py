@@ -87,3 +87,22 @@ def test_whole_number_ranks(spark):
         for p in (0.0, 0.1, 0.25, 0.75, 0.9, 1.0):
             got = spark.range(1).select(_rank(p, f"{n}L").alias("r")).first().r
             assert got == max(1, math.ceil(Fraction(str(p)) * n))
+
+
+def test_place_quartiles_count_rows_once(spark, tmp_path):
+    """Both reads of the score counts share their stages; a NULL key has no quartiles, though its rows have some."""
+    from pagefeatures.operators.features import entity_quartiles, place_quartiles
+    spark.sql("""SELECT '2020-07-25' AS ds, e.entity, IF(e.entity = 'job', id % 3, NULL) AS job_id,
+                        IF(e.entity = 'boss' AND id % 2 = 0, id % 4, NULL) AS boss_id, IF(e.entity = 'cp', 'c', NULL) AS cp,
+                        id / 40D AS score, 1L AS n
+                 FROM range(40) LATERAL VIEW explode(array('job', 'boss', 'cp')) e AS entity""").write.parquet(f"{tmp_path}/counts")
+    places = spark.createDataFrame([("2020-07-25", 0, 0, "c"), ("2020-07-25", 1, None, "c"), ("2020-07-25", None, 2, None)],
+                                   "ds string, job_id long, boss_id long, cp string")
+    out = place_quartiles(places, entity_quartiles(spark.read.parquet(f"{tmp_path}/counts")))
+    rows = {(r.job_id, r.boss_id, r.cp): r for r in out.collect()}
+    assert rows[0, 0, "c"].boss_addf_num_3days == 10 and rows[0, 0, "c"].job_addf_num_3days == 14
+    assert rows[1, None, "c"].boss_addf_num_3days is None and rows[1, None, "c"].addf_boss_score_q1_3days is None
+    assert rows[1, None, "c"].cp_addf_num_3days == 40
+    assert rows[None, 2, None].job_addf_num_3days is None and rows[None, 2, None].cp_addf_num_3days is None
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan
