@@ -57,3 +57,28 @@ def test_days_are_written_side_by_side(spark, tmp_path, monkeypatch):
     back = text.read_days(spark, f"{tmp_path}/text", "2020-07-10", "2020-07-12", cols=["boss_id"])
     assert sorted(map(tuple, back.collect())) == sorted((i, f"2020-07-1{i % 3}") for i in range(40))
     assert seen and min(seen) > 1 and spark.conf.get(name, None) == before
+
+
+def test_only_the_numbered_rows_are_written(spark, tmp_path):
+    """The three tables are selections of one written table: pruned by day and by column, written no second time."""
+    from pagefeatures.session import child_names
+    from pagefeatures.sources import tables
+
+    got = fixtures.input_tables(spark, raw_folder(spark, tmp_path))
+    (folder,) = {f.split("/ds=")[0] for df in got.values() for f in df.inputFiles()}
+    assert folder.endswith("/expo") and child_names(spark, folder.rsplit("/", 1)[0]) == ["expo"]
+    day = tables.scan_day(got["impressions"], fixtures.TARGET_DAY).select("boss_id", "deal_type")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ds" in plan and "ReadSchema: struct<boss_id:bigint,deal_type:string>" in plan
+
+
+def test_materialized_days_are_written_side_by_side(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    from pagefeatures.sources import tables
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet",
+                        lambda self, *a, **kw: (seen.append(int(spark.conf.get(name, "0"))), write(self, *a, **kw))[1])
+    rows = spark.sql("SELECT id AS x, concat('2020-07-', 10 + id % 11) AS ds FROM range(200)")
+    back = tables.materialize(spark, rows, "side")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect())) and min(seen) > 1
