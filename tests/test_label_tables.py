@@ -195,3 +195,51 @@ def test_run_folder_is_dropped_on_success_and_kept_for_a_retry(spark, tmp_shared
     folder, rows = work(False)
     assert made[0] == made[1] != made[2]  # the retry read the finished table
     assert rows == [(1, "d1"), (2, "d1"), (3, "d1")] and not path_exists(spark, folder)
+
+
+def _plain(scores, outs):
+    from pagefeatures.operators.label import INFO_COLUMNS, OUTCOME_COLUMNS
+    keys = ["boss_id", "job_id", "geek_id", "exp_id", "sessionid", "ds"]
+    return scores.distinct().join(outs.select(*keys, *OUTCOME_COLUMNS), keys).select(*INFO_COLUMNS, "ds")
+
+
+def _label_rows(spark, n, hot=0):
+    """n impressions, each twice, every ninth session NULL; the first ``hot`` share a key but not a score."""
+    from pyspark.sql import functions as F
+    i = F.when(F.col("id") < hot, F.lit(0)).otherwise(F.col("id"))
+    base = spark.range(n).crossJoin(spark.range(2).select(F.col("id").alias("copy"))).select(
+        i.alias("boss_id"), (i % 7).alias("job_id"), i.alias("geek_id"), F.lit(1).alias("exp_id"),
+        F.when(F.col("id") % 9 != 8, F.lit("s")).alias("sessionid"), F.concat(F.lit("d"), i % 3).alias("ds"), "id", "copy")
+    scores = base.select("boss_id", "job_id", "geek_id", "exp_id", "sessionid", F.lit(1).cast("long").alias("page"),
+                         F.lit("1").alias("rank"), (F.col("id") / n).alias("ctr_score"), F.lit(0.1).alias("ctcvr_score"), "ds")
+    outs = base.where((F.col("id") >= hot) | (F.col("id") == 0)).select(
+        "boss_id", "job_id", "geek_id", "exp_id", "sessionid", F.concat(F.lit("t"), "copy").alias("deal_type"),
+        F.lit("eng").alias("boss_position"), F.lit("A").alias("boss_city"), F.lit(None).cast("timestamp").alias("list_time"), "ds")
+    return scores.localCheckpoint(), outs.localCheckpoint()  # stored rows: no column is a constant to the planner
+
+
+def test_label_shuffles_usual_keys_once(spark):
+    """Without a hot key no row is shuffled on all its columns: the distinct works where the join's shuffle put it."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores, outs = _label_rows(spark, 3000)
+        df = label_impressions(scores, outs)
+        qe = df._jdf.queryExecution()
+        got = sorted(map(str, df.collect()))
+        final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+        assert got == sorted(map(str, _plain(scores, outs).collect())) and len(got) > 5000
+        assert not [x for x in final.splitlines() if "hashpartitioning" in x and "ctr_score" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_label_of_hot_and_differently_typed_keys(spark):
+    from pyspark.sql import functions as F
+    scores, outs = _label_rows(spark, 2000, hot=700)
+    want = sorted(map(str, _plain(scores, outs).collect()))
+    assert len(want) > 3000 and sorted(map(str, label_impressions(scores, outs).collect())) == want
+    # an int key joins a long one, though their hashes differ
+    wide = outs.withColumn("exp_id", F.col("exp_id").cast("long"))
+    assert label_impressions(scores, wide).count() == len(want)
+    assert label_impressions(scores.where("false"), outs).isEmpty()
