@@ -106,3 +106,19 @@ def test_place_quartiles_count_rows_once(spark, tmp_path):
     assert rows[None, 2, None].job_addf_num_3days is None and rows[None, 2, None].cp_addf_num_3days is None
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_united_counts_need_one_shuffle_less(spark):
+    """Rows that are counts of a few tables are added up in their bucket, with the same result."""
+    from pyspark.sql import functions as F
+    from pagefeatures.operators.quantiles import counted_quantiles
+
+    rows = spark.range(900).select(F.when(F.col("id") % 5 != 0, F.col("id") % 5).alias("k"),
+                                   F.when(F.col("id") % 11 != 0, (F.col("id") % 37) / 37).alias("v"),
+                                   (F.col("id") % 4 + 1).alias("n"))
+    rows = rows.unionByName(spark.sql("SELECT 9L AS k, CAST('NaN' AS DOUBLE) AS v, 2L AS n"))
+    a, b = [counted_quantiles(rows, ["k"], "v", "n", (0.25, 0.5, 0.75), ["q1", "q2", "q3"], few=few) for few in (False, True)]
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and b.count() == 6
+    exchanges = [d._jdf.queryExecution().sparkPlan().toString().count("Exchange")
+                 + d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (a, b)]
+    assert exchanges[1] < exchanges[0]
