@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -64,6 +65,23 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None, result: bo
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: str = "2m"):
+    """Python tasks that run within the block get their rows in Arrow batches of about ``limit`` bytes, or one longer row.
+
+    By Spark's default a batch may take 64 MB, which both the executor and
+    its Python worker hold, each with copies of their own.  The setting is
+    put back at the end of the block.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class WordCache(dict):
     """word -> value, computed on first use and bounded in size.
 

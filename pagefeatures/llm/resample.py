@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordCache, ship_code, stored, whole_text
+from .common import WordCache, ship_code, small_batches, stored, whole_text
 
 #: keys are compared at this many steps to one
 STEPS = 1_000_000
@@ -28,7 +28,7 @@ STEPS = 1_000_000
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> WordCache:
-    return WordCache(lambda word: xxhash.xxh64_intdigest(word), limit=200_000)
+    return WordCache(lambda word: xxhash.xxh64_intdigest(word), limit=50_000)
 
 
 def ngram_buckets(text: str, buckets: int) -> np.ndarray:
@@ -50,8 +50,9 @@ def ngram_counts(texts: DataFrame, buckets: int) -> np.ndarray:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
 
-    rows = (texts.select(whole_text("text").alias("text")).mapInArrow(run, "bucket long, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).collect())  # at most ``buckets`` rows
+    with small_batches(texts.sparkSession):
+        rows = (texts.select(whole_text("text").alias("text")).mapInArrow(run, "bucket long, n long")
+                .groupBy("bucket").agg(F.sum("n").alias("n")).collect())  # at most ``buckets`` rows
     counts = np.zeros(buckets, np.int64)
     for r in rows:
         counts[r.bucket] = r.n
@@ -63,6 +64,22 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + len(target))) - np.log((raw + 1) / (raw.sum() + len(raw)))
 
 
+def log_weights(texts: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """(id, log_weight) of rows (id, text): the ratios of a text's n-grams added up.
+
+    A task passes on ids and sums alone, so no row with its text waits for a result.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(ratios)
+    id_col, kind = texts.columns[0], texts.schema[0].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            sums = [float(shared.value[ngram_buckets(t, len(shared.value))].sum()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], names=[id_col, "log_weight"])
+
+    return texts.mapInArrow(run, f"`{id_col}` {kind}, log_weight double")
+
+
 def kth_largest(rows: DataFrame, k: int, col: str = "step") -> int | None:
     """The k-th largest value of a long column, by histograms of ever finer bins; None if there is none."""
     if k < 1:
@@ -98,19 +115,13 @@ def importance_sample(docs: DataFrame, target: DataFrame, share: float, buckets:
     raw_counts = ngram_counts(texts, buckets)
     # a merge join at every size: the list of targets grows with the corpus
     target_counts = ngram_counts(texts.join(chosen.hint("merge"), id_col, "left_semi"), buckets)
-    shared = spark.sparkContext.broadcast(log_ratios(target_counts, raw_counts))
-
-    @F.pandas_udf("double")
-    def weight(text):
-        ratios = shared.value
-        return text.map(lambda t: float(ratios[ngram_buckets(t, len(ratios))].sum())).astype("float64")
-
+    weights = log_weights(texts, log_ratios(target_counts, raw_counts))
     # 52 bits of the hash: uniform in (0, 1), never 0 or 1
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
     noise = -F.log(-F.log(uniform))
-    rows = stored(texts.select(id_col, weight("text").alias("log_weight"))
-                  .withColumn("sample_key", F.col("log_weight") + noise)
-                  .withColumn("step", F.floor(F.col("sample_key") * STEPS).cast("long")), "resample-weights")
+    with small_batches(spark):
+        rows = stored(weights.withColumn("sample_key", F.col("log_weight") + noise)
+                      .withColumn("step", F.floor(F.col("sample_key") * STEPS).cast("long")), "resample-weights")
     least = kth_largest(rows, round(rows.count() * share))
     kept = F.lit(False) if least is None else F.col("step") >= F.lit(least)
     return rows.select(id_col, "log_weight", "sample_key", kept.alias("kept"))

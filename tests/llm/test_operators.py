@@ -11,6 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -77,6 +78,29 @@ def test_importance_resampling_empty(docs, empty):
     assert all(r.kept for r in resample.importance_sample(docs, empty, 1.0).collect())
 
 
+def test_importance_resampling_holds_small_batches(spark, monkeypatch):
+    """Tasks get batches bounded in bytes, and hand on no texts beside the weights."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, real = spark.conf.get(name), {}, resample.stored
+
+    def watched(df, table):
+        seen[table] = spark.conf.get(name), df._jdf.queryExecution().executedPlan().toString()
+        return real(df, table)
+
+    monkeypatch.setattr(resample, "stored", watched)
+    df = spark.range(30).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('w', id, ' '), 50000)").alias("text")).coalesce(1)
+    assert resample.importance_sample(df, df.where("doc_id < 9"), 0.5).count() == 30
+    limit, plan = seen["resample-weights"]
+    assert limit == "2m" and "MapInArrow" in plan and "ArrowEvalPython" not in plan and spark.conf.get(name) == before
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["bytes", "n"]) for b in batches)
+
+    with common.small_batches(spark):
+        found = df.mapInArrow(sizes, "bytes long, n long").collect()
+    assert sum(r.n for r in found) == 30 and len(found) > 1 and max(r.bytes for r in found) < 3 << 20
+
+
 def test_word_buckets():
     a, b = resample.ngram_buckets("A bc a", 1 << 40), resample.ngram_buckets("a BC a", 1 << 40)
     assert a.tolist() == b.tolist() and len(a) == 5 and a[0] == a[2] and len(resample.ngram_buckets("", 10)) == 0
