@@ -33,13 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import byte_alphabet
-from .common import ship_code, stored, whole_text
+from .common import ship_code, small_batches, stored, whole_text
 
 #: Text bytes of a chunk, and of the documents that a worker holds as arrays at once (or one document, if larger).
-CHUNK_BYTES, BLOCK_BYTES = 16 << 20, 2 << 20
+CHUNK_BYTES, BLOCK_BYTES = 16 << 20, 512 << 10
 SPACE_MARK = "▁"
 #: Words whose ids a worker keeps (two generations).
-KEPT_WORDS = 200_000
+KEPT_WORDS = 60_000
 #: White space at the start, a space at the end, or a space before white space (fixed values: the white space of Unicode).
 ODD_SPACE = (r"(?:^| )(?:[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)")
 
@@ -187,6 +187,37 @@ def unpack_codes(data: bytes, n: int) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view(np.uint32).ravel()
 
 
+class Links:
+    """The links of a chunk: its distinct pairs with their counts, and for each block its links as places among them.
+
+    A link takes four bytes, and a pair sixteen, until the chunk is written.
+    """
+
+    def __init__(self):
+        self.pairs, self.counts, self.blocks = pa.array([], pa.int64()), np.empty(0, np.int64), []
+
+    def add(self, links: pa.Table) -> None:
+        packed = (links["a"].to_numpy().astype(np.int64) << 32) + links["b"].to_numpy()
+        coded = pa.array(packed).dictionary_encode()
+        place = pc.index_in(coded.dictionary, self.pairs)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        place = pc.fill_null(place, 0).to_numpy().astype(np.uint32)
+        place[new] = len(self.pairs) + np.arange(new.sum())
+        self.pairs = pa.concat_arrays([self.pairs, coded.dictionary.filter(pa.array(new))])
+        self.counts = np.concatenate([self.counts, np.zeros(new.sum(), np.int64)])
+        indices = coded.indices.to_numpy()
+        self.counts[place] += np.bincount(indices, minlength=len(place))
+        self.blocks.append(place[indices])
+
+    def by_count(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(a, b, n) of the pairs, the commonest first, then by a and b; and each pair's place in that order."""
+        keys = self.pairs.to_numpy()
+        order = np.lexsort((keys, -self.counts))
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        return keys[order] >> 32, keys[order] & 0xFFFFFFFF, self.counts[order], rank
+
+
 def aligned_chunks(df: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str, keep_groups: bool) -> DataFrame:
     """Rows of documents and, at the end of each chunk, one row of its pairs (where ``pairs`` isn't null).
 
@@ -198,18 +229,15 @@ def aligned_chunks(df: DataFrame, a_path: str, b_path: str, id_col: str, text_co
               "pairs array<struct<a: int, b: int, n: long>>")
     pair_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]))
 
-    def rows_of(chunk: int, parts: list) -> pa.RecordBatch:
-        ids, docs, links = ([p[k] for p in parts] for k in range(3))
-        docs, links = pa.concat_tables(docs), pa.concat_tables(links)
-        counts = links.group_by(["a", "b"], use_threads=False).aggregate([("a", "count")]).sort_by(
-            [("a_count", "descending"), ("a", "ascending"), ("b", "ascending")])
-        packed = lambda t: (t["a"].to_numpy().astype(np.int64) << 32) + t["b"].to_numpy()
-        codes = pc.index_in(pa.array(packed(links)), pa.array(packed(counts))).to_numpy(zero_copy_only=False)
-        cuts = np.cumsum(docs["n_links"].to_numpy())
-        binary = [pack_codes(x) for x in np.split(codes, cuts[:-1])]
+    def rows_of(chunk: int, parts: list, links: Links) -> pa.RecordBatch:
+        ids, docs = ([p[k] for p in parts] for k in range(2))
+        a, b, count, rank = links.by_count()
+        binary = [pack_codes(x) for d, codes in zip(docs, links.blocks)
+                  for x in np.split(rank[codes], np.cumsum(d["n_links"].to_numpy())[:-1])]
+        docs = pa.concat_tables(docs)
         n = docs.num_rows
         with_null = lambda x: pa.concat_arrays([x, pa.nulls(1, x.type)])
-        pairs = pa.StructArray.from_arrays([counts[c].combine_chunks() for c in ("a", "b", "a_count")], ["a", "b", "n"])
+        pairs = pa.StructArray.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(count)], ["a", "b", "n"])
         return pa.RecordBatch.from_arrays(
             [pa.array([chunk] * (n + 1), pa.int64()), with_null(pa.concat_arrays(ids)),
              *[with_null(docs[c].combine_chunks()) for c in ("n_a", "n_b", "n_groups", "n_links")],
@@ -219,22 +247,23 @@ def aligned_chunks(df: DataFrame, a_path: str, b_path: str, id_col: str, text_co
 
     def run(batches):
         tool, task = two_tokenizers(a_path, b_path), TaskContext.get().partitionId()
-        parts, held, number = [], 0, 0
+        parts, links, held, number = [], Links(), 0, 0
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).to_numpy()
             block = (np.cumsum(sizes) - sizes) // BLOCK_BYTES
             for at in np.flatnonzero(np.diff(block, prepend=-1)) if len(block) else []:
                 part = batch.slice(at, int(np.searchsorted(block, block[at], "right")) - int(at))
-                docs, links = align(tool, part.column(1))
+                docs, found = align(tool, part.column(1))
                 if not keep_groups:
                     docs = docs.set_column(4, "groups", pa.array([x and hashlib.sha256(x.encode()).hexdigest() for x in docs["groups"].to_pylist()], pa.string()))
-                parts.append((part.column(0), docs, links))
+                parts.append((part.column(0), docs))
+                links.add(found)
                 held += int(sizes[block == block[at]].sum())
                 if held >= CHUNK_BYTES:
-                    yield rows_of(task << 32 | number, parts)
-                    parts, held, number = [], 0, number + 1
+                    yield rows_of(task << 32 | number, parts, links)
+                    parts, links, held, number = [], Links(), 0, number + 1
         if parts:
-            yield rows_of(task << 32 | number, parts)
+            yield rows_of(task << 32 | number, parts, links)
 
     return df.select(F.col(id_col), whole_text(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -262,12 +291,13 @@ def align_tokenizers(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc
     A null or empty text has no tokens, nor has one that an encoding doesn't
     give back byte by byte; its numbers are 0.  A repeated row counts again, a
     null id stays null, an empty table gives no rows, other columns don't
-    matter.  A worker holds a chunk of documents (16 MiB of text, or one
-    longer text) as Arrow arrays.  Both files must be on every machine.
+    matter.  A worker holds a block of documents (512 KiB of text, or one longer
+    text) as Arrow arrays, and for a chunk of them (16 MiB) four bytes a link.  Both files must be on every machine.
     """
     ship_code(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
-    chunks = stored(aligned_chunks(df, a_path, b_path, id_col, text_col, keep_groups), "aligned")
+    with small_batches(df.sparkSession):
+        chunks = stored(aligned_chunks(df, a_path, b_path, id_col, text_col, keep_groups), "aligned")
 
     def look_up(docs: pa.Table, counts: pa.Table) -> pa.Table:
         n = counts.num_rows
@@ -275,9 +305,12 @@ def align_tokenizers(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc
         code = counts["code"].to_numpy()
         count[code], best[code] = counts["count"].to_numpy(), counts["best"].to_numpy()
         links = docs["n_links"].to_pylist()
-        codes = [unpack_codes(x, k) for x, k in zip(docs["codes"].to_pylist(), links)]
+        sums = []
+        for data, k in zip(docs["codes"].to_pylist(), links):
+            codes = unpack_codes(data, k)
+            sums.append((int(best[codes].sum()), int(count[codes].sum())))
         out = [docs[c] for c in ("id", "n_a", "n_b", "n_groups", "n_links")]
-        out += [pa.array([int(v[c].sum()) for c in codes], pa.int64()) for v in (best, count)]
+        out += [pa.array([x[k] for x in sums], pa.int64()) for k in range(2)]
         return pa.table(out + [docs["groups"]], names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     docs = chunks.where("pairs IS NULL").drop("pairs").withColumnRenamed("chunk", "of_chunk")

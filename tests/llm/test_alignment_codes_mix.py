@@ -109,6 +109,35 @@ def test_alignment_blocks_and_long_text():
     assert alignment.unpack_codes(alignment.pack_codes(codes[:0]), 0).tolist() == []
 
 
+def test_alignment_links_of_a_chunk():
+    """Between blocks a link takes four bytes; the pairs stand by count, then by ids."""
+    links, count, want = alignment.Links(), Counter(), []
+    pick = random.Random(5)
+    for size in (0, 900, 1, 3000, 0):
+        pairs = [(int(pick.expovariate(0.1)), pick.randrange(6)) for _ in range(size)]
+        links.add(pa.table({"a": pa.array([a for a, _ in pairs], pa.int32()), "b": pa.array([b for _, b in pairs], pa.int32())}))
+        count.update(pairs)
+        want.append(pairs)
+    assert sum(x.nbytes for x in links.blocks) == 4 * 3901
+    a, b, n, rank = links.by_count()
+    listed = list(zip(a.tolist(), b.tolist()))
+    assert list(zip(listed, n.tolist())) == sorted(count.items(), key=lambda x: (-x[1], x[0]))
+    assert [[listed[k] for k in rank[codes]] for codes in links.blocks] == want
+
+
+def test_alignment_holds_small_batches(spark, monkeypatch):
+    """The tokenizing tasks get batches bounded in bytes, and texts longer than a batch or a block stay whole."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, real = spark.conf.get(name), [], alignment.stored
+    monkeypatch.setattr(alignment, "stored", lambda df, table: seen.append(spark.conf.get(name)) or real(df, table))
+    rows = [(k, f"some words {k} and more. " * (100_000 if k == 2 else 20_000)) for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.groups for r in alignment.align_tokenizers(df, A_PATH, B_PATH).select("doc_id", "groups").collect()}
+    assert seen == ["2m"] and spark.conf.get(name) == before
+    tool = alignment.two_tokenizers(A_PATH, B_PATH)
+    assert got == {k: alignment.align(tool, pa.array([t]))[0]["groups"][0].as_py() for k, t in rows}
+
+
 # 12 ----------------------------------------------------------------------------------------------------------------
 def brute_codes(rows, parts=4, entries=256, rounds=4):
     """(sorted (id, code, error, label_error), codebooks text) with loops over whole numbers."""
