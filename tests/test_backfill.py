@@ -202,3 +202,47 @@ def test_backfill_leaves_no_intermediate_table(spark, tmp_shared):
 def tables_of(spark):
     from pagefeatures.sources.tables import _own_tables
     return _own_tables(spark)
+
+
+def test_backfill_moves_pages_once_more_and_reads_one_day_alone(spark):
+    """Features, and pages with them, are written on the way; what is left moves the pages to their profiles."""
+    from pagefeatures.sources import tables
+    c = Ctx.get(spark, SF)
+    info = c.info()
+    with tables.run_folder(spark):
+        rows = daily.build_days(daily.DayInputs(c.scores, c.impressions, c.blocks), DAYS, info=info)
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = spark._jvm.PythonSQLUtils.explainString(rows.where(F.col("ds") == DAYS[1])._jdf.queryExecution(), "formatted")
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning", plan)
+        assert sum("addf_15#" in columns for columns in moved) == 1 and len(moved) == 3
+        assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 2
+        assert len(re.findall(r"PartitionFilters: \[.*?= %s\)" % DAYS[1], plan)) == 2
+        day = sorted(map(str, rows.where(F.col("ds") == DAYS[1]).collect()))
+        assert day and day == sorted(map(str, daily.build_day(daily.DayInputs(c.scores, c.impressions, c.blocks), DAYS[1], info=info).collect()))
+
+
+def test_written_features_of_null_and_repeated_places(spark):
+    """Places with NULL parts keep their features when these are written; a place with two blocks gives two rows."""
+    from pagefeatures.operators import enrich
+    from pagefeatures.sources import tables
+    place = "ds string, boss_id long, job_id long, cp string"
+    pages = spark.createDataFrame([("d1", 1, 10, "a"), ("d1", None, 10, "a"), ("d1", 1, None, None), ("d2", 1, 10, "a"), ("d2", 1, 10, "a")], place)
+    kinds = "ds string, entity string, job_id long, boss_id long, cp string, q1 double, q2 double, q3 double, num long"
+    quartiles = spark.createDataFrame([("d1", "job", 10, None, None, 1.0, 2.0, 3.0, 7), ("d1", "boss", None, 1, None, 4.0, 5.0, 6.0, 8),
+                                       ("d1", "boss", None, None, None, 9.0, 9.0, 9.0, 9), ("d2", "cp", None, None, "a", 7.0, 8.0, 9.0, 9)], kinds)
+    ratios = spark.createDataFrame([("d1", "a", *[0.1 * b for b in range(1, 9)])], "ds string, cp string, " + ", ".join(f"pct{b}_ratio double" for b in range(1, 9)))
+    blocks = spark.createDataFrame([(1, 10, 2), (1, 10, 11), (1, 10, 2)], "boss_id long, job_id long, business int")
+    features = enrich.place_features(pages, ratios, quartiles, blocks)
+    with tables.run_folder(spark):
+        written = tables.materialize(spark, features, "features", day_col=None)
+        got = sorted(map(str, enrich.join_features(pages, written).collect()))
+        shown = [(r.ds, r.boss_id, r.job_id, r.addf_job_score_q1_3days, r.addf_boss_score_q1_3days, r.addf_cp_score_q1_3days, r.pct1_ratio, r.business_type)
+                 for r in enrich.join_features(pages, written).collect()]
+    assert got == sorted(map(str, enrich.join_features(pages, features).collect()))
+    assert sorted(map(str, shown)) == sorted(map(str, [
+        ("d1", 1, 10, 1.0, 4.0, None, 0.1, 2), ("d1", 1, 10, 1.0, 4.0, None, 0.1, 11), ("d1", None, 10, 1.0, None, None, 0.1, 0),
+        ("d1", 1, None, None, 4.0, None, None, 0), *[("d2", 1, 10, None, None, 7.0, None, k) for k in (2, 11)] * 2]))

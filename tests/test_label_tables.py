@@ -243,3 +243,36 @@ def test_label_of_hot_and_differently_typed_keys(spark):
     wide = outs.withColumn("exp_id", F.col("exp_id").cast("long"))
     assert label_impressions(scores, wide).count() == len(want)
     assert label_impressions(scores.where("false"), outs).isEmpty()
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    """Every write that later steps read drops its shuffle files at once, not when garbage is collected."""
+    import time
+
+    from pyspark.sql import functions as F
+    from pagefeatures import config as C
+    from pagefeatures.sources import fixtures, text
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    rows = spark.range(500).select(F.col("id").alias("x"), F.concat(F.lit("2020-07-1"), F.col("id") % 3).alias("ds"))
+    counted = rows.repartition(3, "ds").groupBy("x", "ds").agg(F.count(F.lit(1)).alias("n"))  # one shuffle
+    schema = text.text_schema(C.FINAL_COLUMNS)
+    final = counted.select(*[(F.col("x") if f.name == "boss_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields], "ds")
+    writes = {"materialize": lambda: len(tables.materialize(spark, counted, "freed").collect()),
+              "overwrite_day": lambda: (tables.overwrite_day(counted, f"{tmp_path}/day"), len(tables.read_table(spark, f"{tmp_path}/day").collect()))[1],
+              "write_once": lambda: len(fixtures._write_once(spark, counted, f"{tmp_path}/once").collect()),
+              "write_text": lambda: (text.write_text(final, f"{tmp_path}/text"), 500)[1]}
+    for what, write in writes.items():
+        old = _shuffle_files(spark)
+        assert write() == 500, what
+        left, until = {1}, time.time() + 10
+        while left and time.time() < until:  # they are dropped in the background
+            time.sleep(0.1)
+            left = _shuffle_files(spark) - old
+        assert not left, what
+    assert spark.conf.get(name, None) == before
