@@ -246,3 +246,19 @@ def test_written_features_of_null_and_repeated_places(spark):
     assert sorted(map(str, shown)) == sorted(map(str, [
         ("d1", 1, 10, 1.0, 4.0, None, 0.1, 2), ("d1", 1, 10, 1.0, 4.0, None, 0.1, 11), ("d1", None, 10, 1.0, None, None, 0.1, 0),
         ("d1", 1, None, None, 4.0, None, None, 0), *[("d2", 1, 10, None, None, 7.0, None, k) for k in (2, 11)] * 2]))
+
+
+def test_training_text_is_written_a_day_at_a_time(spark, tmp_shared, monkeypatch):
+    """No job holds the shuffle files of several days beside the text, and no table between is left."""
+    from pagefeatures.plans import registry
+    from pagefeatures.session import child_names
+    c, fresh = Ctx.get(spark, SF), Ctx(spark, SF)
+    fresh._parts.update(info=c.info(), tables=c.tables)
+    folders = lambda: (child_names(spark, tables_of(spark)), child_names(spark, f"{tmp_shared}/runs"))
+    before, write, days = folders(), registry.text.write_text, []
+    monkeypatch.setattr(registry.text, "write_text", lambda rows, base, some=None, *a, **kw: (days.append(some), write(rows, base, some, *a, **kw))[1])
+    fresh.text_base()
+    assert days == [[d] for d in DAYS] and folders() == before
+    keys = ["boss_id", "job_id", "sessionid", "page", "addf_15", "job_addf_num_3days", "ds"]
+    got, want = (sorted(map(str, d.select(*keys).collect())) for d in (fresh.text_rows(), E.queries()["final_rows_backfill"](spark, SF)))
+    assert got == want and want
